@@ -1,10 +1,11 @@
 """Toxic passages by maximum-scoring segments.
 
-A token's score is its log-odds between toxic and other documents with an informative Dirichlet
-prior, kept only where its z-score is significant; every other token costs ``drift``. In a text, a
+A token's score is the lower confidence bound of its log-odds between toxic and other documents with
+an informative Dirichlet prior, kept only where its z-score is significant; every other token costs ``drift``. In a text, a
 linear-time scan finds all maximal-scoring segments. The best segment's score is set against what
 clean texts of that length reach by chance: for those, the maximum follows an extreme-value law with
-E = K * n * exp(-lambda * score), whose two parameters are fitted to clean labelled documents.
+E = K * n * exp(-lambda * score), whose two parameters are fitted to clean labelled documents (as is
+the level of significance, by log-loss on documents that the log-odds haven't seen).
 Passages with E below ``PASSAGE_E`` are reported; a logistic curve over -log E, fitted to labelled
 documents that the log-odds haven't seen, turns the best passage into a probability.
 
@@ -94,9 +95,13 @@ class ToxicModel:
         return p if self.slope else 0.0, sum(v > -math.log(PASSAGE_E) for v in values), best
 
 
-def dirichlet_log_odds(toxic: np.ndarray, other: np.ndarray, strength: float = 500.0) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of each token between two counts, with a prior in proportion to both together; and z-scores."""
-    prior = strength * (toxic + other) / max((toxic + other).sum(), 1)
+def dirichlet_log_odds(toxic: np.ndarray, other: np.ndarray, strength: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each token between two counts; and z-scores.
+
+    The prior is ``strength`` times the counts of both together, so a token needs a handful of
+    documents on one side, and none on the other, to be significant.
+    """
+    prior = strength * (toxic + other)
     a, b = toxic + prior, other + prior
     delta = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
     return delta, delta / np.sqrt(1 / a + 1 / b)
@@ -123,7 +128,7 @@ def fit_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     fit_rows: int = FIT_ROWS,
-    least_z: float = 4.0,
+    least_z: tuple[float, ...] = (2.5, 3.0, 4.0, 5.0, 6.0, 7.0),
     drift: float = 0.5,
 ) -> ToxicModel:
     """Learn from labelled rows outside fold 0: folds 1 to 3 give the log-odds, fold 4 the calibration."""
@@ -164,37 +169,46 @@ def fit_toxicity(
     if not len(counts) or not counts["toxic"].sum():
         return model
     delta, z = dirichlet_log_odds(counts["toxic"].to_numpy(float), counts["other"].to_numpy(float))
-    keep = z >= least_z
-    model.scores = dict(zip(counts["word"][keep], np.minimum(delta[keep], 8.0).tolist()))
-
-    held = sample.filter("__fold = 4")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # The lower end of the log-odds' 95 % interval: rare tokens count less than well-attested ones.
+    lower = delta - 1.96 * delta / np.where(z == 0, 1.0, z)
+    drafts = []
+    for least in least_z:
+        keep = (z >= least) & (lower > 0)
+        drafts.append(ToxicModel(dict(zip(counts["word"][keep], lower[keep].tolist())), drift))
+    shared = docs.sparkSession.sparkContext.broadcast(drafts)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            found = [own.passages(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1).cast(pa.int32()),
-                    pa.array([n for n, _ in found], pa.int64()),
-                    pa.array([max((s for s, _, _ in segments), default=0.0) for _, segments in found], pa.float64()),
-                ],
-                ["y", "n", "best"],
-            )
-
-    seen = held.mapInArrow(scanned, "y int, n long, best double").toPandas().sort_values(["y", "n", "best"])
+            rows = [
+                (y, n, k, max((s for s, _, _ in segments), default=0.0))
+                for y, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+                for k, own in enumerate(shared.value)
+                for n, segments in [own.passages(text)]
+            ]
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["y", "n", "draft", "best"])
+
+    seen = sample.filter("__fold = 4").mapInArrow(scanned, "y int, n long, draft int, best double").toPandas()
+    fitted = [_calibrated(own, seen[seen["draft"] == k]) for k, own in enumerate(drafts)]
+    return min(fitted, key=lambda pair: pair[0])[1]
+
+
+def _calibrated(model: ToxicModel, seen) -> tuple[float, ToxicModel]:
+    """Fit the extreme-value law and the logistic curve to held-out rows; the log-loss there and the model."""
+    seen = seen.sort_values(["y", "n", "best"])
     clean = seen[(seen["y"] == 0) & (seen["n"] > 0)]
-    if len(clean) < 10 or not seen["y"].any():
-        return model
-    # Gumbel by moments over clean maxima above chance level, after taking out the length.
+    if len(clean) < 10 or not seen["y"].any() or not model.scores:
+        return math.inf, model
+    # Gumbel by moments over the maxima of clean texts, after taking out their length.
     best, n = clean["best"].to_numpy(), clean["n"].to_numpy(float)
-    spread = max(float(best.std()), 0.25)
-    model.rate = math.pi / (math.sqrt(6) * spread)
+    model.rate = math.pi / (math.sqrt(6) * max(float(best.std()), 0.25))
     model.log_k = float(np.mean(model.rate * best - np.log(n))) - 0.5772156649
     x = np.array([model.minus_log_e(s, k) for s, k in zip(seen["best"], seen["n"])])
-    model.slope, model.intercept = fit_logistic(x, seen["y"].to_numpy(float))
-    return model
+    y = seen["y"].to_numpy(float)
+    model.slope, model.intercept = fit_logistic(x, y)
+    p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.intercept, -30, 30)))
+    return float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))), model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
