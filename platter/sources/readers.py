@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from platter.functions.text import decode_bytes
 from platter.schemas import ENRICHMENT, RAW_REVIEW, REVIEW
@@ -38,11 +42,6 @@ def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date", kind: str |
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """Captured pages, gzipped or not, as ``capture_file, timestamp, html``; the timestamp is the name up to '_'."""
-    import gzip
-
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
     @F.arrow_udf(T.BinaryType())
     def unzipped(blobs: pa.Array) -> pa.Array:
         raw = blobs.to_pylist()
