@@ -59,7 +59,7 @@ def roots_of(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """Label the nodes of ``edges`` (``u``, ``v``: non-null, comparable) with the smallest node they reach.
 
-    Returns ``node``, ``component`` for every node that has an edge to another node. Large-star and
+    Returns ``node``, ``component`` for every node that is not itself the smallest of its component. Large-star and
     small-star steps alternate until the edges are stars; each step is a grouped minimum (combined on
     the map side, so a hub is no hot key) and a join that adaptive execution may split. Each round is
     checkpointed: a lost executor costs one round at most, and the plan never grows.
