@@ -15,8 +15,10 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +142,11 @@ class ByteCodec:
                     out[n] = ids
         return out
 
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after another, and the number of ids of each word."""
+        made = self.encode_words(words)
+        return np.concatenate(made) if made else np.zeros(0, np.int32), np.array([len(m) for m in made], dtype=np.int64)
+
     def _merge_matrix(self, words: list[bytes], width: int) -> list[np.ndarray]:
         padded = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8).reshape(-1, width)
         sizes = np.array([len(w) for w in words])
@@ -216,30 +223,31 @@ class ByteCodec:
 
 
 class WordMemory:
-    """Encodes lists of words through a bounded memory of words met before."""
+    """Encodes lists of words through a bounded memory of words met before.
+
+    ``encode`` gives the ids of a list of words one after another, and the number of ids of each word.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[np.ndarray]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
+        # A word that isn't known yet gets the next number by being looked up.
+        self.index: dict[str, int] = defaultdict(count().__next__)
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of ``words`` one after another, and the number of ids of each word."""
         if len(self.index) > self.most:
             self._reset()
-        index = self.index
-        new = list({w for w in words if w not in index})
-        if new:
-            made = list(self.encode(new))
-            sizes = np.array([len(m) for m in made], dtype=np.int64)
+        rows = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        fresh = len(self.index) - len(self.starts)
+        if fresh:
+            made, sizes = self.encode(list(islice(reversed(self.index), fresh))[::-1])
             starts = len(self.flat) + np.cumsum(sizes) - sizes
-            index.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-            self.flat = np.concatenate([self.flat, *made]).astype(np.int32, copy=False)
+            self.flat = np.concatenate([self.flat, made]).astype(np.int32, copy=False)
             self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-        rows = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
         sizes = self.sizes[rows]
         ends = np.cumsum(sizes)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[rows] - ends + sizes, sizes)
@@ -291,7 +299,7 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path)
-        split, memory = splitter(pattern), WordMemory(own.encode_words)
+        split, memory = splitter(pattern), WordMemory(own.encode_flat)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_slices(texts):

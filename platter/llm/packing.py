@@ -19,9 +19,11 @@ packed like others; an empty table gives an empty result; other columns are igno
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ PIECES = "piece int, start long, length long, ids_crc32 long"
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    # A task has one core; the library's own threads would only share it.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
 
 
@@ -55,9 +59,10 @@ class TextTokenizer:
         self.split = splitter(pattern)
         self.memory = WordMemory(self._words)
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(m.ids, dtype=np.int32) for m in made]
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [m.ids for m in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        return np.fromiter(chain.from_iterable(made), dtype=np.int32, count=int(sizes.sum())), sizes
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         plain = [t if not any(s in t for s in self.special) else "" for t in texts]

@@ -206,7 +206,7 @@ def test_bpe_long_and_mixed_words():
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
     rng = random.Random(6)
     texts = ["".join(rng.choices("abAB \n\t12é中🙂ſ\x1c' sreth", k=rng.randint(0, 80))) for _ in range(500)] + ["a" * 3000, "中" * 700, " " * 2000, "".join(rng.choices("abcd", k=2500))]
-    ids, ends = bpe.batched_ids(texts, bpe.splitter(public_tokenizers.PATTERN), bpe.WordMemory(bpe.codec(path).encode_words, most=50))
+    ids, ends = bpe.batched_ids(texts, bpe.splitter(public_tokenizers.PATTERN), bpe.WordMemory(bpe.codec(path).encode_flat, most=50))
     assert [x.tolist() for x in np.split(ids, ends[:-1])] == [library.encode_ordinary(t) for t in texts]
 
 
