@@ -25,8 +25,23 @@ def work_items(rows: DataFrame, bucket: list[str], spread_by: str, block: int =
     more rows; Spark broadcasts it when its measured size allows and joins it by shuffle otherwise.
     """
     counts = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    blocks = F.ceil(F.col("__n") / F.lit(block)).cast("int")
-    sized = rows.join(counts, bucket).withColumn("__blocks", blocks).drop("__n")
+    return _paired(rows.join(counts, bucket), spread_by, block)
+
+
+def split_hot(rows: DataFrame, bucket: list[str], spread_by: str, block: int = BLOCK, broadcast_rows: int = 200_000) -> DataFrame:
+    """As ``work_items``, for wide rows whose buckets nearly all hold several: only buckets over ``block`` rows are looked up.
+
+    There is at most one such bucket a ``block`` of rows. They are counted before they are joined: up to
+    ``broadcast_rows`` (a few MB) are broadcast, so the rows are shuffled once; more are joined by shuffle.
+    """
+    hot = reliable(rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > block))
+    side = F.broadcast(hot) if hot.count() <= broadcast_rows else hot
+    return _paired(rows.join(side, bucket, "left").withColumn("__n", F.coalesce("__n", F.lit(1))), spread_by, block)
+
+
+def _paired(counted: DataFrame, spread_by: str, block: int) -> DataFrame:
+    """Deal the rows of each bucket of ``__n`` rows to the pairs of its sub-blocks."""
+    sized = counted.withColumn("__blocks", F.ceil(F.col("__n") / F.lit(block)).cast("int")).drop("__n")
     sub = F.pmod(F.xxhash64(spread_by), F.col("__blocks")).cast("int")
     paired = sized.withColumn("sub", sub).withColumn(
         "__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))

@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from platter.llm.common import complete_groups, group_edges, reliable
-from platter.llm.components import BLOCK, connected_components, dealt, roots_of, work_items
+from platter.llm.components import BLOCK, connected_components, dealt, roots_of, split_hot
 
 
 def rotation(dim: int, index: int, seed: int = 7) -> np.ndarray:
@@ -36,33 +37,45 @@ def rotation(dim: int, index: int, seed: int = 7) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def table_plan(rows: int, threshold: float, miss: float) -> tuple[int, int]:
-    """Key width in bits and number of tables: small buckets, and at most ``miss`` at the threshold."""
-    bits = max(6, min(28, round(math.log2(max(rows, 2) / 16))))
+def table_plan(rows: int, threshold: float, miss: float, bucket_rows: int = 256) -> tuple[int, int]:
+    """Key width in bits and number of tables: about ``bucket_rows`` rows a bucket, and at most ``miss`` at the threshold.
+
+    Every table ships every row once, while a comparison inside a bucket is a few dozen multiplications,
+    so wide buckets and few tables are the cheaper choice.
+    """
+    bits = max(4, min(28, round(math.log2(max(rows, 2) / bucket_rows))))
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-agree)))
 
 
-def key_codes(unit: np.ndarray, bits: int, tables: int, seed: int = 7) -> np.ndarray:
-    """Keys ``[rows, tables]``: consecutive slices of the sign codes of as many rotations as needed."""
-    dim, signs, have = unit.shape[1], [], 0
-    while have < bits * tables:
-        signs.append(unit @ rotation(dim, len(signs), seed) > 0)
-        have += dim
-    flat = np.concatenate(signs, axis=1)[:, : bits * tables].reshape(len(unit), tables, bits)
-    return flat @ (1 << np.arange(bits, dtype=np.int64))
+def normalised(raw: np.ndarray) -> np.ndarray:
+    """The rows of ``raw`` at unit length in double precision, without overflow or underflow on the way."""
+    unit = raw.astype(np.float64)
+    unit /= np.abs(unit).max(axis=1, keepdims=True)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def sign_bits(unit: np.ndarray, count: int, seed: int = 7) -> np.ndarray:
+    """The first ``count`` sign bits ``[rows, count]`` of as many rotations as needed; the first ``dim`` are the code."""
+    dim = unit.shape[1]
+    turns = range(math.ceil(count / dim))
+    return np.concatenate([unit @ rotation(dim, k, seed) > 0 for k in turns], axis=1)[:, :count]
+
+
+def keys_of(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """Keys ``[rows, tables]``: consecutive slices of the sign bits."""
+    return signs[:, : bits * tables].reshape(len(signs), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def code_and_factor(unit: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign code of the first rotation and its correction factor."""
-    turned = unit @ rotation(unit.shape[1], 0, seed)
-    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / math.sqrt(unit.shape[1])
+def correction_factor(unit: np.ndarray, seed: int = 7) -> np.ndarray:
+    """``<code / sqrt(d), rotated vector>`` of every row."""
+    return np.abs(unit @ rotation(unit.shape[1], 0, seed)).sum(axis=1) / math.sqrt(unit.shape[1])
 
 
 def candidate_mask(unit: np.ndarray, code: np.ndarray, factor: np.ndarray, threshold: float, z: float, seed: int = 7) -> np.ndarray:
     """Which pairs (code row, query row) may reach the threshold by their upper confidence bound."""
     dim = unit.shape[1]
-    signs = np.where(np.unpackbits(code, axis=1, count=dim) > 0, 1.0, -1.0) / math.sqrt(dim)
+    signs = np.where(code > 0, 1.0, -1.0) / math.sqrt(dim)
     estimate = signs @ (unit @ rotation(dim, 0, seed)).T / factor[:, None]
     error = z * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2) / math.sqrt(max(dim - 1, 1))
     return estimate + error[:, None] >= threshold
@@ -73,15 +86,19 @@ def vector_components(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     threshold: float = 0.9,
-    miss: float = 0.02,
+    miss: float = 0.01,
     z: float = 4.0,
     block: int = BLOCK,
 ) -> DataFrame:
     """Every row's ``id_col``, ``n_links``, ``component_id`` and ``kept`` (see the module's text)."""
-    value = F.col(vec_col).cast("array<double>")
+    held = vectors.schema[vec_col].dataType
+    single = isinstance(held, ArrayType) and isinstance(held.elementType, FloatType)
+    kind = np.float32 if single else np.float64  # single precision is shipped as it is and widened where it is used
+    value = F.col(vec_col) if single else F.col(vec_col).cast("array<double>")
+    plus = F.lit(0.0).cast("float" if single else "double")
     bad = F.exists("__v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists("__v", lambda x: x != 0.0)
-    rows = vectors.select(F.col(id_col), F.transform(value, lambda x: x + F.lit(0.0)).alias("__v")).withColumn(
+    rows = vectors.select(F.col(id_col), F.transform(value, lambda x: x + plus).alias("__v")).withColumn(
         "__v", F.when(F.col("__v").isNotNull() & ~bad & ~zero, F.col("__v"))
     )
     usable = rows.filter(F.col("__v").isNotNull())
@@ -95,36 +112,32 @@ def vector_components(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             frame = pa.Table.from_batches([batch])
-            lists = frame.column("__v").combine_chunks()
-            sizes = lists.value_lengths().to_numpy()
+            sizes = frame.column("__v").combine_chunks().value_lengths().to_numpy()
             for dim in np.unique(sizes):
                 part = frame.filter(pa.array(sizes == dim))
                 raw = part.column("__v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-                big = np.abs(raw).max(axis=1, keepdims=True)
-                unit = raw / big
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                keys = key_codes(unit, bits, tables)
-                code, factor = code_and_factor(unit)
+                unit = normalised(raw)
+                signs = sign_bits(unit, max(dim, bits * tables))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("class").combine_chunks(),
                         part.column("copies").combine_chunks(),
                         pa.array(np.full(len(unit), dim, dtype=np.int32)),
-                        pa.array([row.tobytes() for row in unit], pa.binary()),
-                        pa.array([row.tobytes() for row in code], pa.binary()),
-                        pa.array(factor),
-                        pa.array(list(keys), pa.list_(pa.int64())),
+                        pa.array([row.tobytes() for row in raw.astype(kind)], pa.binary()),
+                        pa.array([row.tobytes() for row in np.packbits(signs, axis=1)], pa.binary()),
+                        pa.array(correction_factor(unit)),
+                        pa.array(list(keys_of(signs, bits, tables)), pa.list_(pa.int64())),
                     ],
-                    ["class", "copies", "dim", "unit", "code", "factor", "keys"],
+                    ["class", "copies", "dim", "raw", "signs", "factor", "keys"],
                 )
 
-    coded = classes.mapInArrow(
-        encode, "class long, copies long, dim int, unit binary, code binary, factor double, keys array<long>"
+    coded = classes.select("class", "copies", "__v").mapInArrow(
+        encode, "class long, copies long, dim int, raw binary, signs binary, factor double, keys array<long>"
     )
-    tabled = coded.select("*", F.posexplode("keys").alias("tab", "key"))
+    tabled = coded.select("class", "copies", "dim", "raw", "signs", "factor", F.posexplode("keys").alias("tab", "key"))
     bucket = ["dim", "tab", "key"]
     order = [*bucket, "left_block", "right_block"]
-    items = dealt(work_items(tabled, bucket, "class", block), bucket)
+    items = dealt(split_hot(tabled, bucket, "class", block), bucket)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in complete_groups(batches, order, 8192):
@@ -133,22 +146,21 @@ def vector_components(
             sub, tab = table.column("sub").to_numpy(), table.column("tab").to_numpy()
             dims, factors = table.column("dim").to_numpy(), table.column("factor").to_numpy()
             left, right = table.column("left_block").to_numpy(), table.column("right_block").to_numpy()
-            units, codes = table.column("unit").combine_chunks(), table.column("code").combine_chunks()
-            keys = table.column("keys").combine_chunks()
+            raws, packed = table.column("raw").combine_chunks(), table.column("signs").combine_chunks()
             for a, b in zip(edges[:-1], edges[1:]):
                 if b - a < 2:
                     continue
                 dim = int(dims[a])
-                unit = np.frombuffer(b"".join(units[a:b].to_pylist()), dtype=np.float64).reshape(b - a, dim)
-                code = np.frombuffer(b"".join(codes[a:b].to_pylist()), dtype=np.uint8).reshape(b - a, -1)
-                maybe = np.triu(candidate_mask(unit, code, factors[a:b], threshold, z), 1)
+                unit = normalised(np.frombuffer(b"".join(raws[a:b].to_pylist()), dtype=kind).reshape(b - a, dim))
+                signs = np.unpackbits(np.frombuffer(b"".join(packed[a:b].to_pylist()), dtype=np.uint8).reshape(b - a, -1), axis=1)
+                maybe = np.triu(candidate_mask(unit, signs[:, :dim], factors[a:b], threshold, z), 1)
                 if left[a] != right[a]:
                     maybe &= sub[a:b, None] != sub[None, a:b]
                 i, j = np.nonzero(maybe)
                 if not len(i):
                     continue
                 if tab[a]:  # an earlier table has compared the pairs that agree on one of its keys
-                    own = keys[a:b].flatten().to_numpy().reshape(b - a, -1)[:, : tab[a]]
+                    own = keys_of(signs, bits, int(tab[a]))
                     fresh = np.concatenate(
                         [(own[i[k : k + 65536]] != own[j[k : k + 65536]]).all(axis=1) for k in range(0, len(i), 65536)]
                     )
@@ -172,14 +184,16 @@ def vector_components(
     labels = connected_components(stars.select("u", "v"))
     links = stars.groupBy("u").agg(F.sum("links").alias("links"))
     per_class = (
-        classes.join(labels, classes["class"] == labels["node"], "left")
-        .join(links, classes["class"] == links["u"], "left")
-        .select("class", "__v", "least", "copies", F.coalesce("component", "class").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+        classes.select("class", "least", "copies")
+        .join(labels, F.col("class") == labels["node"], "left")
+        .join(links, F.col("class") == links["u"], "left")
+        .select("class", "least", "copies", F.coalesce("component", "class").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     )
     least = per_class.groupBy("label").agg(F.min("least").alias("component_id"))
     settled = per_class.join(least, "label").select(
-        "__v", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"
+        "class", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"
     )
+    settled = classes.select("class", "__v").join(settled, "class").drop("class")
     linked = usable.join(settled, "__v").select(id_col, "n_links", "component_id")
     alone = rows.filter(F.col("__v").isNull()).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
