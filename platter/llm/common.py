@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,20 +15,27 @@ from pyspark.sql import functions as F
 SPACE_CLASS = "\\x20\\x09-\\x0D"
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a checkpoint that outlives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) one below the
+    warehouse, which the driver and the executors share by definition."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) a
-    folder below the warehouse is chosen, which the driver and the executors share by definition.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a checkpoint in the shared folder, which outlives lost executors."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: as ``reliable``, but compressed and read by column."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.toDF(*[f"c{k}" for k in range(len(df.columns))]).write.parquet(path)  # names may differ in case only
+    return df.sparkSession.read.parquet(path).toDF(*df.columns)
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The text as a string, a null text as the empty one."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

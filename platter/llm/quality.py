@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platter.llm.common import SPACE_CLASS, reliable, text_or_empty
+from platter.llm.common import SPACE_CLASS, reliable, text_or_empty, written
 
 SYMBOLS = "#*$%&|<>"
 
@@ -107,7 +107,15 @@ def host_verdicts(figures: DataFrame, host_col: str = "source", limit: float = 0
     return hosts.select("__host", "docs", "failed", rate.alias("host_rate"), (rate >= limit).alias("host_suspect"))
 
 
-def _joined(figures: DataFrame, verdicts: DataFrame, host_col: str) -> DataFrame:
+def _joined(figures: DataFrame, verdicts: DataFrame, host_col: str, broadcast_bytes: int = 16 << 20) -> DataFrame:
+    """Figures with their host's verdict; the hosts are measured, and only up to ``broadcast_bytes`` broadcast.
+
+    Beyond that the join shuffles, and adaptive execution splits the partition of a hot host.
+    """
+    verdicts = verdicts.select("__host", "host_suspect")
+    size = verdicts.agg(F.sum(F.coalesce(F.octet_length("__host"), F.lit(0)) + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        verdicts = F.broadcast(verdicts)
     kept = ~F.col("__q_base") & ~(F.col("host_suspect") & F.col("__q_soft"))
     return figures.join(verdicts, figures[host_col].eqNullSafe(verdicts["__host"]), "left").withColumn("__q_kept", kept)
 
@@ -130,7 +138,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = 0.5) -> DataFrame:
-    """The rows that pass, with their columns: figures are computed where the rows are, no text is shuffled."""
-    figures = measured(docs, text_col)
-    verdicts = host_verdicts(figures, host_col, limit)
-    return _joined(figures, verdicts, host_col).filter("__q_kept AND __q_row >= 0").select(docs.columns)
+    """The rows that pass, with their columns; the rows and their flags are written once, so no text is judged twice."""
+    flagged = written(measured(docs, text_col).select(*docs.columns, "__q_base", "__q_soft"))
+    verdicts = host_verdicts(flagged, host_col, limit)
+    return _joined(flagged, verdicts, host_col).filter("__q_kept").select(docs.columns)
