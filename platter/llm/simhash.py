@@ -118,7 +118,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Where an id occurs on several rows, one of them stays.
     """
-    found = simhash_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, radius)
+    return first_of_each(docs, simhash_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, radius), id_col)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``found`` (``id_col``, ``component_id``) names first of their component, and those without an id."""
     heads = reliable(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("__rows")))
     kept = docs.join(heads.select(id_col), id_col, "left_semi")
     if heads.filter("__rows > 1").limit(1).count():

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from platter.llm import bpe, chat, components, langid, packing, pii, quality, queries, secrets, simhash, toxicity, vectors
+from platter.llm import bpe, chat, components, langid, nearcopies, packing, pii, quality, queries, secrets, simhash, toxicity, vectors
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -363,3 +363,50 @@ def test_pipeline(spark):
         assert kept.columns == docs.columns
     packed = corpus_pipeline.run(spark, DATA)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.select("doc_id").collect()}
+
+
+def shingle_set(text):
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = [w for w in re.split("[\x20\x09-\x0d]+", words) if w]
+    return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_texts():
+    """Texts of 60 to 200 words with copies in which up to a tenth of the words differ, one apart or as a block."""
+    rng, vocabulary, out = random.Random(8), [f"w{k}" for k in range(500)], []
+    for _ in range(40):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(60, 200))]
+        out.append(" ".join(words))
+        for _ in range(4):
+            copy, at = list(words), rng.randrange(50)
+            for k in range(rng.randint(1, 8)):
+                copy[at + k if rng.random() < 0.7 else rng.randrange(len(copy))] = "X"
+            out.append(" ".join(copy))
+    return out
+
+
+def test_near_copies_equal_brute_force(spark, docs, odd):
+    texts = spark.createDataFrame([(10_000 + k, t, "en", "s", len(t)) for k, t in enumerate(near_texts())], DOCS)
+    both = docs.unionByName(odd.filter("doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id") - 100)).unionByName(texts)
+    rows = [(r["doc_id"], shingle_set(r["text"])) for r in both.select("doc_id", "text").collect()]
+    links = [(a, b) for n, (a, x) in enumerate(rows) for b, y in rows[:n] if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and jaccard(x, y) >= 0.8]
+    label = closure([a for a, _ in rows], links)
+    got = nearcopies.similar_components(both, block=4).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((a, label[a]) for a, _ in rows)
+    assert len({a for a, b in label.items() if a >= 10_000 and a != b}) > 60
+
+
+def test_pipeline_drops_edited_copies(spark):
+    """No pair of the stage's output has five-word Jaccard 0.8 or more; two bits of a fingerprint leave most of them."""
+    texts = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(near_texts())], DOCS)
+    kept = corpus_pipeline.near_dedup(spark, texts, DATA)
+    sets = [shingle_set(r["text"]) for r in kept.collect()]
+    assert kept.columns == texts.columns and not [1 for n, a in enumerate(sets) for b in sets[:n] if jaccard(a, b) >= 0.8]
+
+
+def test_near_copies_of_odd_rows(odd):
+    assert sorted(str(r["doc_id"]) for r in nearcopies.keep_one_of_each(odd).collect()) == ["1", "4", "5", "6", "None"]
