@@ -450,6 +450,34 @@ def _report(spark, sf_dir):
     return match.match_report(wanted, matches, match.best_track(views.tracks(spark, sf_dir)))
 
 
+def _fuzzy_report(spark, sf_dir):
+    """As ``_report``, with containment from the operator's three words on."""
+    wanted = views.wants(spark, sf_dir)
+    matches = match.best_matches(wanted, views.catalogue(spark, sf_dir))
+    return match.match_report(wanted, matches, match.best_track(views.tracks(spark, sf_dir)))
+
+
+@register()
+def match_report_fuzzy(spark, sf_dir):
+    """The report with both branches of the matching; SQL has no multisets of words, so it is tested by brute force."""
+    return _fuzzy_report(spark, sf_dir).select("want_id", "matched", "confidence", "track_id", F.coalesce("popularity", F.lit(-1)).alias("popularity"))
+
+
+@register()
+def track_list_fuzzy(spark, sf_dir):
+    return match.track_list(_fuzzy_report(spark, sf_dir))
+
+
+@register()
+def match_summary_fuzzy(spark, sf_dir):
+    return match.match_summary(_fuzzy_report(spark, sf_dir))
+
+
+@register()
+def delivery_batches_fuzzy(spark, sf_dir):
+    return match.assign_batches(match.track_list(_fuzzy_report(spark, sf_dir)))
+
+
 @register(_MATCH + "SELECT want_id, track_id IS NOT NULL AS matched, CASE WHEN album IS NOT NULL THEN 'exact' END AS confidence, track_id, coalesce(popularity, -1) AS popularity FROM report")
 def match_report(spark, sf_dir):
     popularity = F.coalesce("popularity", F.lit(-1)).alias("popularity")

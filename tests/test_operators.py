@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platter.functions import genres, text
 from platter.operators import candidates, captures, extract, match, reviews, select, stats
 from platter.operators.select import Selection
+from platter.plans import queries, views
 from platter.sources import readers, sinks
 
 
@@ -243,3 +244,41 @@ def test_sources_and_sinks(spark, tmp_path):
     index = readers.read_capture_index(spark, str(tmp_path / "index.json"))
     kept = captures.distinct_captures(captures.filter_captures(index))
     assert [r["url"] for r in kept.collect()] == ["http://a/review/1"]
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
+    report = queries._fuzzy_report(spark, SMALL).localCheckpoint()
+    monkeypatch.setattr(queries, "_fuzzy_report", lambda *_: report)
+    cut = lambda df, name, kind: df.withColumn("tokens", text.title_tokens(name)).withColumn("various", kind).collect()
+    wanted = cut(views.wants(spark, SMALL), "album", F.col("artist") == "Various Artists")
+    listed = cut(views.catalogue(spark, SMALL), "name", F.col("album_type") == "compilation")
+    tracks = {}
+    for t in views.tracks(spark, SMALL).collect():
+        tracks[t["album_id"]] = min(tracks.get(t["album_id"], (1,)), (-t["popularity"], t["track_no"], t["id"]))
+
+    def contained(x, y):
+        short, long = (x, y) if len(x) <= len(y) else (y, x)
+        extra = Counter(long) - Counter(short)
+        return len(short) >= 3 and not Counter(short) - Counter(long) and not {t for t in extra if t.isdigit() or t in text.NUMBER_WORDS} - {"1"}
+
+    want = {}
+    for w in wanted:
+        fits = [c for c in listed if c["various"] and w["various"] or not c["various"] and not w["various"] and c["artists"] == [w["artist"]]]
+        found = [(Counter(c["tokens"]) != Counter(w["tokens"]), c["ordinal"], c["id"]) for c in fits if Counter(c["tokens"]) == Counter(w["tokens"]) or contained(w["tokens"], c["tokens"])]
+        kind, track = (("fuzzy" if min(found)[0] else "exact"), tracks.get(min(found)[2])) if found else (None, None)
+        want[w["want_id"]] = (track is not None, kind, track and track[2], -track[0] if track else -1)
+    got = {r["want_id"]: tuple(r)[1:] for r in queries.match_report_fuzzy(spark, SMALL).collect()}
+    assert got == want
+    fuzzy = {k for k, v in want.items() if v[1] == "fuzzy"}
+    assert fuzzy and fuzzy == {k for k in want if k % 7 == 0}
+    first = {}
+    for k in sorted(want):
+        if want[k][0]:
+            first.setdefault(want[k][2], k)
+    assert {tuple(r) for r in queries.track_list_fuzzy(spark, SMALL).collect()} == set(first.items())
+    assert tuple(queries.match_summary_fuzzy(spark, SMALL).first()) == (len(want), sum(v[0] for v in want.values()), len(fuzzy), len(first))
+    order = {t: n for n, t in enumerate(sorted(first, key=first.get))}
+    assert {(r["track_id"], r["ordinal"], r["batch"]) for r in queries.delivery_batches_fuzzy(spark, SMALL).collect()} == {(t, n, n // 100) for t, n in order.items()}
