@@ -93,6 +93,12 @@ def _sorted(name: str, how: str, order: str) -> None:
     query.__name__ = name
     register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews ORDER BY {order}, id LIMIT 200")(query)
 
+    def every_row(spark, sf_dir):
+        return select.run_selection(views.reviews(spark, sf_dir), Selection(sort=how)).select(SHOWN)
+
+    every_row.__name__ = f"full_{name}"
+    register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews WHERE score IS NOT NULL ORDER BY {order}, id")(every_row)
+
 
 _sorted("sort_score", "score", "score DESC NULLS LAST, artist")
 _sorted("sort_score_asc", "score-asc", "score ASC NULLS LAST, artist")

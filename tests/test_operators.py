@@ -282,3 +282,12 @@ def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
     assert tuple(queries.match_summary_fuzzy(spark, SMALL).first()) == (len(want), sum(v[0] for v in want.values()), len(fuzzy), len(first))
     order = {t: n for n, t in enumerate(sorted(first, key=first.get))}
     assert {(r["track_id"], r["ordinal"], r["batch"]) for r in queries.delivery_batches_fuzzy(spark, SMALL).collect()} == {(t, n, n // 100) for t, n in order.items()}
+
+
+@pytest.mark.parametrize("how, key", [
+    ("score", lambda r: (-r["score"], r["artist"], r["id"])), ("score_asc", lambda r: (r["score"], r["artist"], r["id"])),
+    ("date", lambda r: (r["review_date"], r["artist"], r["id"])), ("artist", lambda r: (r["artist"].lower(), r["album"].lower(), r["id"])),
+])
+def test_full_sorts_keep_every_row(spark, how, key):
+    rows = queries.QUERIES[f"full_sort_{how}"](spark, SMALL).collect()
+    assert len(rows) == views.table(spark, SMALL, "lineitem").count() > 200 and rows == sorted(rows, key=key)
