@@ -402,6 +402,36 @@ def unverified_candidates(spark, sf_dir):
     return candidates.unverified_low_confidence(_collapsed(spark, sf_dir), _truth(spark, sf_dir), below=2.0).select("artist", "album")
 
 
+def _whole_truth(spark, sf_dir):
+    """Known scores of all parts; some are off, every tenth album is unknown to the pages."""
+    part = views.table(spark, sf_dir, "part")
+    known = part.groupBy("p_brand", "p_name").agg(F.max("p_partkey").alias("k"), F.max_by(F.col("p_size") % 10, "p_partkey").alias("s"))
+    album = F.when(F.col("k") % 10 == 0, F.concat(F.lit("Lost "), F.col("p_name"))).otherwise(F.col("p_name"))
+    score = (F.col("s") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("double").alias("score")
+    return known.select(F.upper("p_brand").alias("artist"), album.alias("album"), score, (F.lit(1990) + F.col("k") % 9).cast("int").alias("release_year"))
+
+
+@register()
+def compare_to_whole_truth(spark, sf_dir):
+    return candidates.compare_to_truth(_collapsed(spark, sf_dir), _whole_truth(spark, sf_dir))
+
+
+@register()
+def validation_scorecard_whole(spark, sf_dir):
+    found = _collapsed(spark, sf_dir)
+    return candidates.validation_scorecard(candidates.compare_to_truth(found, _whole_truth(spark, sf_dir)), found)
+
+
+@register()
+def misses_by_year_whole(spark, sf_dir):
+    return candidates.misses_by_year(compare_to_whole_truth(spark, sf_dir))
+
+
+@register()
+def unverified_candidates_whole(spark, sf_dir):
+    return candidates.unverified_low_confidence(_collapsed(spark, sf_dir), _whole_truth(spark, sf_dir), below=2.0).select("artist", "album")
+
+
 def _corpus(spark, sf_dir):
     """Every fourth candidate's album is already in the corpus."""
     part = views.table(spark, sf_dir, "part").select("p_brand", "p_name").distinct().filter(F.length("p_name") % 4 == 0)
@@ -552,6 +582,25 @@ def page_texts(spark, sf_dir):
     return pages.select("page_id", "text", text.find_reviewer("text").alias("reviewer"), text.clean_field(F.substring("text", 1, 200)).alias("head"))
 
 
+@register()
+def clean_texts_full(spark, sf_dir):
+    """All documents, those with entities too; DuckDB can't resolve entities, so it is tested by brute force."""
+    return views.table(spark, sf_dir, "documents").select("doc_id", text.clean_text("text").alias("clean"))
+
+
+@register()
+def loose_keys_full(spark, sf_dir):
+    """Keys of the texts themselves; tested by brute force."""
+    return views.table(spark, sf_dir, "documents").select("doc_id", text.loose_key("text").alias("loose"))
+
+
+@register()
+def page_texts_full(spark, sf_dir):
+    """As ``page_texts``, with the field cleaned from the whole text."""
+    pages = views.table(spark, sf_dir, "pages").select("page_id", text.strip_tags("html").alias("text"))
+    return pages.select("page_id", "text", text.find_reviewer("text").alias("reviewer"), text.clean_field("text").alias("head"))
+
+
 @register(f"SELECT page_id, {_URL_KEY} AS url_key FROM pages")
 def url_keys(spark, sf_dir):
     return views.table(spark, sf_dir, "pages").select("page_id", text.url_key("url").alias("url_key"))

@@ -1,7 +1,10 @@
 """Golden cases and properties of the library's operators."""
 
 import gzip
+import html
 import random
+import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -291,3 +294,23 @@ def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
 def test_full_sorts_keep_every_row(spark, how, key):
     rows = queries.QUERIES[f"full_sort_{how}"](spark, SMALL).collect()
     assert len(rows) == views.table(spark, SMALL, "lineitem").count() > 200 and rows == sorted(rows, key=key)
+
+
+def test_whole_texts_equal_brute_force(spark, tmp_path):
+    texts = ["if (a &amp;&amp; b) { c; }", "A &amp;lt;b&gt;  c\n d ;", "plain  text", "x & y; z", "The Caf&eacute; (live) and é EP", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    pages = [f"<p>{' ' * n}{'-' * m}Title {n} - by Ann Example</p>" for n, m in ((0, 0), (3, 150), (0, 260))]
+    spark.createDataFrame(list(enumerate(pages)), "page_id int, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    clean = {k: re.sub(r"\s+", " ", html.unescape(html.unescape(t or ""))).strip() for k, t in enumerate(texts)}
+    assert {r["doc_id"]: r["clean"] for r in queries.clean_texts_full(spark, str(tmp_path)).collect()} == clean
+    plain = [re.sub(r"\(.*?\)", " ", unicodedata.normalize("NFKD", (t or "").lower())) for t in texts]
+    loose = {k: re.sub("[^a-z0-9]+", "", re.sub(r"\b(the|a|an|ep|lp|and)\b", " ", t)) for k, t in enumerate(plain)}
+    assert {r["doc_id"]: r["loose"] for r in queries.loose_keys_full(spark, str(tmp_path)).collect()} == loose
+    heads = {r["page_id"]: r["head"] for r in queries.page_texts_full(spark, str(tmp_path)).collect()}
+    assert heads == {0: "Title 0", 1: "Title 3", 2: "Title 0"}
+
+
+def test_whole_truth_has_every_part(spark):
+    part = views.table(spark, SMALL, "part").select("p_brand", "p_name").distinct().count()
+    got = Counter(r["status"] for r in queries.compare_to_whole_truth(spark, SMALL).collect())
+    assert sum(got.values()) == part and min(got["hit"], got["wrong_score"], got["miss"]) > 0
