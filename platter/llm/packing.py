@@ -4,9 +4,9 @@ Documents become token pieces of at most ``capacity`` tokens. Only the histogram
 (at most ``capacity`` numbers) reaches the driver, where the packing is planned: the covering program
 "fewest sequences so that every length is covered as often as it occurs", one variable for each way
 to fill a sequence, is solved by multiplicative weights. Each round prices the lengths by their
-weights, finds the best configuration by a knapsack dynamic program over the capacity, and lowers
-the weights of the lengths that it covers. The fractional solution is rounded down, the rest is
-solved again on what is left, and the last pieces go by best fit, still as counts per length.
+weights, finds the best configurations by a knapsack dynamic program over the capacity, and lowers
+the weights of the lengths that they cover. The fractional solution is rounded down, the rest is
+solved again on what is left, and the rounding rest goes by best fit, still as counts per length.
 
 The plan is a table of runs ("these pieces of length L, by rank, go to these sequences at this
 offset"), whose size depends on the number of lengths, not on the documents. Ranks come from
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from platter.llm.bpe import WordMemory, batched_ids, splitter, text_slices
 from platter.llm.common import reliable, text_or_empty
 
+#: Weights start at this power of the length, which saves the short pieces for the gaps beside long ones.
+TILT = 1.5
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -119,58 +121,105 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int, id
     )
 
 
-def best_configuration(value: np.ndarray, limit: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack pricing: the lengths (with repeats) of total at most ``capacity`` with the greatest value.
+class Knapsack:
+    """Best fillings of every capacity by bounded copies of some lengths, for given prices.
 
-    The dynamic program runs over the capacity with repeats allowed; copies beyond ``limit`` (what is
-    left of a length) are dropped from the answer.
+    ``best[c]`` is the greatest price of pieces that add up to exactly ``c`` tokens (minus infinity
+    where none do). Copies are bounded by binary splitting, so each length costs a few vector steps.
     """
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1, dtype=np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        n = upto[c]
-        best[c], pick[c] = best[c - 1], -1
-        if n:
-            gains = value[:n] + best[c - lengths[:n]]
-            k = int(gains.argmax())
-            if gains[k] > best[c]:
-                best[c], pick[c] = gains[k], k
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        k = int(pick[c])
-        if k < 0:
-            c -= 1
-            continue
-        if out.get(k, 0) < limit[k]:
-            out[k] = out.get(k, 0) + 1
-        c -= int(lengths[k])
-    return out
-
-
-def fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, rate: float) -> list[tuple[dict[int, int], float]]:
-    """Multiplicative weights for the covering program: configurations and how often each is used."""
+
+    def __init__(self, price: np.ndarray, lengths: np.ndarray, limit: np.ndarray, capacity: int):
+        self.best = np.full(capacity + 1, -np.inf)
+        self.best[0] = 0.0
+        self.steps: list[tuple[int, int]] = []  # (index of the length, copies)
+        taken = []
+        for k, size in enumerate(lengths.tolist()):
+            room, copies = min(int(limit[k]), capacity // size), 1
+            while room > 0:
+                n = min(copies, room)
+                room, copies = room - n, copies * 2
+                gain = self.best[: capacity + 1 - n * size] + n * price[k]
+                better = np.zeros(capacity + 1, dtype=bool)
+                better[n * size :] = gain > self.best[n * size :]
+                self.best[n * size :] = np.maximum(self.best[n * size :], gain)
+                self.steps.append((k, n))
+                taken.append(better)
+        self.lengths, self.taken = lengths, taken
+        filled = np.where(np.isfinite(self.best), np.arange(capacity + 1), 0)
+        self.fullest = np.maximum.accumulate(filled)
+
+    def fillings(self, totals: np.ndarray) -> np.ndarray:
+        """Copies ``[totals, lengths]`` of the best fillings of reachable ``totals``, traced back together."""
+        left, out = totals.copy(), np.zeros((len(totals), len(self.lengths)), dtype=np.int64)
+        for (k, n), better in zip(reversed(self.steps), reversed(self.taken)):
+            used = better[left]
+            out[used, k] += n
+            left = left - used * (n * self.lengths[k])
+        return out
+
+
+def columns_of(price: np.ndarray, lengths: np.ndarray, limit: np.ndarray, capacity: int, wanted: np.ndarray) -> np.ndarray:
+    """Configurations ``[columns, lengths]``, those of the dearest lengths (a token) first.
+
+    One dynamic program prices them all: for every ``wanted`` length, the dearest of the fullest
+    configurations that hold it.
+    """
+    table = Knapsack(price, lengths, limit, capacity)
+    order = np.lexsort((-lengths, -price / lengths))
+    order = order[wanted[order]]
+    found = table.fillings(table.fullest[capacity - lengths[order]])
+    found[np.arange(len(order)), order] += 1
+    return found[(found <= limit).all(axis=1)]
+
+
+def fractional(
+    lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 24, rate: float = 6.0, block: int = 64, seed: int = 5
+) -> list[tuple[tuple[tuple[int, int], ...], float]]:
+    """Multiplicative weights for the covering program: configurations and how often each is used.
+
+    A length's weight falls with the share of its demand that is covered. Each round prices a block
+    of ``block`` lengths (the least covered quarter and others drawn by what they lack; all of them
+    where there are few) and uses its configurations until no length of the block gains more than
+    half of its demand (or one piece). The rounds end when everything is covered.
+    """
+    draw = np.random.default_rng(seed)
     covered = np.zeros(len(lengths))
-    used: dict[tuple, float] = {}
-    step = max(1.0, float((lengths * demand).sum()) / capacity / rounds)
-    for _ in range(rounds):
-        weights = lengths * np.exp(-rate * (covered / demand - (covered / demand).min()))
-        found = best_configuration(weights, demand, lengths, capacity)
-        if not found:
-            break
-        times = min([step, *(max(demand[k] / n / 4, 1.0) for k, n in found.items())])
-        key = tuple(sorted(found.items()))
-        used[key] = used.get(key, 0.0) + times
-        for k, n in found.items():
-            covered[k] += n * times
+    used: dict[tuple[tuple[int, int], ...], float] = {}
+    for _ in range(rounds * max(1, -(-len(lengths) // block))):
+        share = covered / demand
+        weights = lengths**TILT * np.exp(-rate * (share - share.min()))
+        if len(lengths) <= block:
+            some = np.arange(len(lengths))
+        else:
+            low = np.lexsort((-lengths, share))[: block // 4]
+            chance = np.maximum(1 - share, 0.02) 
+            chance[low] = 0
+            some = np.sort(np.concatenate([low, draw.choice(len(lengths), block - len(low), replace=False, p=chance / chance.sum())]))
+        allowed = np.maximum(demand[some] / 2, 1.0)
+        for column in columns_of(weights[some], lengths[some], np.ceil(demand[some]), capacity, share[some] < 1):
+            at = np.flatnonzero(column)
+            times = float((allowed[at] / column[at]).min())
+            if times < 0.25:
+                continue
+            allowed[at] -= times * column[at]
+            key = tuple((int(lengths[some[k]]), int(column[k])) for k in at)
+            used[key] = used.get(key, 0.0) + times
+            covered[some[at]] += times * column[at]
         if (covered >= demand).all():
             break
-    return [(dict(key), x) for key, x in used.items()]
+    return list(used.items())
+
 
+def plan(histogram: dict[int, int], capacity: int, passes: int = 30) -> tuple[np.ndarray, int, int]:
+    """Runs ``(length, first rank, end rank, first sequence, copies in a sequence, offset)``, the number of
+    sequences, and how many pieces below ``capacity`` best fit had to place.
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = 100, rate: float = 8.0, passes: int = 2) -> tuple[np.ndarray, int]:
-    """Runs ``(length, first rank, end rank, first sequence, copies in a sequence, offset)`` and the number of sequences."""
+    The program is solved and its amounts are rounded down (amounts below one: to one, while pieces are
+    left), configurations with the longest pieces first, until a quarter of the tokens is placed; then
+    what remains is solved again. A pass takes configurations that lack at most as many tokens as there
+    were passes before it. When a pass places less than a tenth of the pieces left, best fit places the
+    rounding rest. The prices "length / capacity" bound the sequences from below by tokens / capacity.
+    """
     left = {size: count for size, count in histogram.items() if count > 0}
     taken: dict[int, int] = dict.fromkeys(left, 0)
     runs: list[tuple[int, int, int, int, int, int]] = []
@@ -188,68 +237,44 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 100, rate: floa
 
     if left.get(capacity):
         use({capacity: 1}, left[capacity])
-    for _ in range(passes):
-        lengths = np.array(sorted(size for size, count in left.items() if count))
-        if not len(lengths) or sum(left.values()) < 4 * len(lengths):
+    for turn in range(passes):
+        lengths = np.array(sorted(size for size, count in left.items() if count), dtype=np.int64)
+        before = sum(left.values())
+        if not before:
             break
         demand = np.array([left[int(size)] for size in lengths], dtype=float)
-        for config, x in sorted(fractional(lengths, demand, capacity, rounds, rate), key=lambda c: -c[1]):
-            sized = {int(lengths[k]): n for k, n in config.items()}
-            times = min([int(x), *(left[size] // n for size, n in sized.items())])
-            # Full sequences only: a part-filled one is left to the best fit below.
-            if times > 0 and sum(size * n for size, n in sized.items()) >= capacity - 1:
-                use(sized, times)
+        found = fractional(lengths, demand, capacity, seed=turn)
+        fill = {key: sum(size * n for size, n in key) for key, _ in found}
+        most = max(fill.values(), default=0)
+        tokens, placed = sum(size * n for size, n in left.items()), 0
+        for whole in (True, False):
+            for key, amount in sorted(found, key=lambda c: (fill[c[0]] < most - turn, -c[0][-1][0], -c[1], c[0])):
+                # A configuration with room to spare would waste it in every sequence: the fullest ones only.
+                if fill[key] < most - turn or 4 * placed > tokens:
+                    break
+                times = min([int(amount) if whole else 1, *(left[size] // n for size, n in key)])
+                if times > 0:
+                    use(dict(key), times)
+                    placed += times * fill[key]
+        if before - sum(left.values()) < before / 10:
+            break
+    rest = sum(left.values())
     _best_fit(left, capacity, use)
     table = np.array(runs, dtype=np.int64).reshape(-1, 6)
-    return table[np.lexsort((table[:, 1], table[:, 0]))], sequences
+    return table[np.lexsort((table[:, 1], table[:, 0]))], sequences, rest
 
 
 def _best_fit(left: dict[int, int], capacity: int, use) -> None:
-    """Best fit decreasing on counts: identical fillings are opened together, as often as pieces allow."""
-    sizes = sorted((s for s, n in left.items() if n), reverse=True)
-    while sizes:
-        config, room = {}, capacity
-        free = {s: left[s] for s in sizes}
-        while True:
-            at = next((s for s in sizes if s <= room and free[s]), None)
-            if at is None:
-                break
-            config[at] = config.get(at, 0) + 1
-            free[at] -= 1
-            room -= at
-        if room:
-            config = _improved(config, room, {s: n for s, n in left.items() if n}, capacity)
+    """The rounding rest, largest piece first: the others are chosen so that the sequence is as full as can be."""
+    while any(left.values()):
+        sizes = np.array(sorted(s for s, n in left.items() if n), dtype=np.int64)
+        limit = np.array([left[int(s)] for s in sizes])
+        limit[-1] -= 1
+        table = Knapsack(sizes.astype(float), sizes, limit, capacity - int(sizes[-1]))
+        copies = table.fillings(table.fullest[-1:])[0]
+        copies[-1] += 1
+        config = {int(s): int(n) for s, n in zip(sizes, copies) if n}
         use(config, min(left[s] // n for s, n in config.items()))
-        sizes = [s for s in sizes if left[s]]
-
-
-def _improved(config: dict[int, int], room: int, free: dict[int, int], capacity: int) -> dict[int, int]:
-    """Fill better than greedily: keep the largest piece, fill the rest by reachable sums (bounded copies)."""
-    largest = max(config)
-    target = capacity - largest
-    reach = np.full(target + 1, -1, dtype=np.int64)
-    reach[0] = 0
-    for size in sorted(free, reverse=True):
-        copies = min(free[size] - (size == largest), target // size)
-        for _ in range(min(copies, 8)):
-            fresh = np.flatnonzero((reach[size:] < 0) & (reach[: target + 1 - size] >= 0)) + size if size <= target else []
-            if not len(fresh):
-                break
-            # A sum reached in this pass may be built on in the next one only: copies stay bounded.
-            reach[fresh] = size
-        if reach[target] >= 0:
-            break
-    best = int(np.flatnonzero(reach >= 0).max())
-    if capacity - room >= largest + best:
-        return config
-    out, count = {largest: 1}, best
-    while count:
-        size = int(reach[count])
-        out[size] = out.get(size, 0) + 1
-        count -= size
-    if any(out[s] > free[s] for s in out):
-        return config
-    return out
 
 
 def pack(
@@ -261,7 +286,7 @@ def pack(
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = reliable(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
     histogram = {r["length"]: r["n"] for r in offsets.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
-    runs, _ = plan(histogram, capacity)
+    runs, _, _ = plan(histogram, capacity)
     shared = docs.sparkSession.sparkContext.broadcast(runs)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -177,7 +178,8 @@ def test_packing(spark, docs, odd):
 def test_plan_places_every_piece_once():
     rng = random.Random(4)
     histogram = {rng.randint(1, 64): rng.randint(1, 50) for _ in range(40)} | {64: 7}
-    runs, sequences = packing.plan(histogram, 64)
+    runs, sequences, rest = packing.plan(histogram, 64)
+    assert rest <= 0.1 * sum(histogram.values())
     load, count = {}, {}
     for size, first, end, start, copies, offset in runs.tolist():
         count[size] = count.get(size, 0) + end - first
@@ -188,6 +190,37 @@ def test_plan_places_every_piece_once():
     assert all(v == set(range(len(v))) and len(v) <= 64 for v in load.values())
 
 
+def test_knapsack_equals_brute_force():
+    rng = random.Random(5)
+    for _ in range(30):
+        lengths = np.array(sorted(rng.sample(range(1, 15), 4)))
+        price, limit = np.array([rng.uniform(0.5, 2) * s for s in lengths]), np.array([rng.randint(1, 3) for _ in lengths])
+        table, best = packing.Knapsack(price, lengths, limit, 20), {}
+        for copies in itertools.product(*(range(n + 1) for n in limit)):
+            total = int(lengths @ copies)
+            if total <= 20:
+                best[total] = max(best.get(total, 0.0), float(price @ copies))
+        reachable = np.array(sorted(best))
+        assert np.array_equal(np.flatnonzero(np.isfinite(table.best)), reachable)
+        found = table.fillings(reachable)
+        assert np.array_equal(found @ lengths, reachable) and (found <= limit).all()
+        assert np.allclose(found @ price, [best[int(t)] for t in reachable]) and np.allclose(table.best[reachable], found @ price)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_program_places_nearly_all_pieces(sf):
+    """On the given tables at most a tenth of the shorter pieces is left to best fit, and sequences stay near the bound."""
+    texts = duckdb.sql(f"SELECT coalesce(text, '') FROM read_parquet('/root/testdata/{sf}/documents.parquet')").fetchall()
+    tokenizer, histogram = packing.TextTokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN), {}
+    for start in range(0, len(texts), 500):
+        for ids in tokenizer.ids([t for (t,) in texts[start : start + 500]]):
+            for _, size in packing.cut(np.append(ids, 0), 2048):
+                histogram[size] = histogram.get(size, 0) + 1
+    _, sequences, rest = packing.plan(histogram, 2048)
+    assert rest <= 0.1 * sum(n for size, n in histogram.items() if size < 2048)
+    assert sequences <= 1.002 * sum(size * n for size, n in histogram.items()) / 2048 + 1
+
+
 def test_bpe_equals_library(docs, odd):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
