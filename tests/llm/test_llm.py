@@ -328,12 +328,96 @@ def test_grammar_tells_credentials_from_words():
     rng = random.Random(10)
     key = lambda: "sk" + "".join(rng.choices("0123456789abcdefXYZ", k=24))
     word = lambda: "".join(rng.choice(["ing", "er", "the", "an", "or", "ti"]) for _ in range(7))
-    grammar = secrets.Grammar([key() for _ in range(200)], [word() for _ in range(200)], 0.3)
+    grammar = secrets.Grammar([key() for _ in range(200)], [word() for _ in range(200)], [word() for _ in range(500)])
     assert sum(grammar.score(key()) > grammar.margin for _ in range(50)) >= 48
     assert not any(grammar.score(word()) > grammar.margin for _ in range(50))
     text = f"see {key()} now"
     assert secrets.redacted(text, grammar) == "see [SECRET] now"
     assert secrets.redacted("password=abcdefghijkl0 AKIA" + "A" * 16, None) == "password=[SECRET] [SECRET]"
+    # Unlabelled secrets among the ordinary tokens don't hide their own kind.
+    mixed = secrets.Grammar([key() for _ in range(50)], [word() for _ in range(150)] + [key() for _ in range(50)], [word() for _ in range(300)] + [key() for _ in range(30)])
+    assert sum(mixed.score(key()) > mixed.margin for _ in range(50)) >= 48
+
+
+@pytest.mark.parametrize("labelled", [3, 60])
+def test_planted_secrets_are_found_in_a_table(spark, docs, labelled):
+    """Tokens of a format that only labels show, without keyword, prefix or hex run: each is found, and nothing else."""
+    rng = random.Random(12)
+    key = lambda: "-".join("".join(rng.choices("0123456789ghjkmnpqrstvwxyzGHJKMNPQRSTVWXYZ", k=8)) for _ in range(4))
+    rows = [(5_000 + k, f"set api_key = {key()} here") for k in range(labelled)] + [(6_000 + k, f"the value {key()} leaked") for k in range(40)]
+    both = docs.unionByName(spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS))
+    found = {r["doc_id"]: r for r in secrets.find_secrets(both).collect()}
+    assert all(f"format:10:{10 + 35}" in found[6_000 + k]["spans"] for k in range(40))
+    assert all(r["n_format"] == 0 for k, r in found.items() if k < 5_000)
+    assert all(found[5_000 + k]["n_likely"] == 1 for k in range(labelled)) and sum(r["n_candidates"] for r in found.values()) > 500
+
+
+def plain_merging(words, bound):
+    """Red-blue merging over nested dictionaries, written plainly: the language as a function of a word."""
+
+    def node():
+        return {"n": {}, "to": {}}
+
+    def tree(into, word):
+        for c in word:
+            into["n"][c] = into["n"].get(c, 0) + 1
+            into = into["to"].setdefault(c, node())
+        into["n"]["$"] = into["n"].get("$", 0) + 1
+
+    def close(x, y):
+        n, m = sum(x["n"].values()), sum(y["n"].values())
+        if n and m and any(abs(x["n"].get(c, 0) / n - y["n"].get(c, 0) / m) > bound * (n**-0.5 + m**-0.5) for c in {*x["n"], *y["n"]}):
+            return False
+        return all(close(x["to"][c], t) for c, t in y["to"].items() if c in x["to"]) if n and m else True
+
+    def fold(x, y):
+        for c, k in y["n"].items():
+            x["n"][c] = x["n"].get(c, 0) + k
+        for c, t in y["to"].items():
+            if c in x["to"]:
+                fold(x["to"][c], t)
+            else:
+                x["to"][c] = t
+
+    root = node()
+    for word in words:
+        tree(root, word)
+    red = [root]
+    while True:
+        blue = [(r, c) for r in red for c in sorted(r["to"]) if not any(r["to"][c] is x for x in red)]
+        if not blue:
+            break
+        parent, c = blue[0]
+        state = parent["to"][c]
+        same = next((r for r in red if close(r, state)), None)
+        if same is None:
+            red.append(state)
+        else:
+            parent["to"][c] = same
+            fold(same, state)
+
+    def counts(word):
+        at, out = root, []
+        for c in word:
+            out.append(at["n"])
+            at = at["to"].get(c, root)
+        return [*out, at["n"]]
+
+    return counts
+
+
+def test_merging_equals_a_plain_version():
+    rng = random.Random(13)
+    for alpha in (0.9, 0.3, 0.05):
+        words = ["".join(rng.choices(["g", "G", "0", "+"], weights=[4, 2, 2, 1], k=rng.randint(1, 6))) for _ in range(60)] + ["g0" * k for k in range(1, 6)]
+        made = secrets.Automaton(words, alpha)
+        counts = plain_merging([w.translate(str.maketrans("gG0+", "luds")) for w in words], made.bound)
+        for word in words + ["".join(rng.choices("gG0+", k=5)) for _ in range(40)]:
+            symbols, state, path = word.translate(str.maketrans("gG0+", "luds")), 0, []
+            for c in symbols:
+                path.append(dict(made.count[state]))
+                state = made.next[state].get(c, 0)
+            assert [*path, dict(made.count[state])] == counts(symbols)
 
 
 def test_language(spark):
