@@ -4,12 +4,16 @@ The template is only ever called: for each turn the conversation's prefix is ren
 with it, and with a probe character in place of its text. Where the longer output continues the
 shorter one, the difference is the turn's span; the probe's place in it tells what stands before and
 after the text. Where it doesn't continue it, the template rewrites history: the turn is flagged
-(``rewrites``) and gets no span.
+(``rewrites``) and gets no span. The probe is a private-use character that neither the turn nor the
+output holds.
 
-A template may declare that a turn's rendering depends on at most ``context`` earlier turns; then only
-those are rendered again, which keeps long conversations linear. Turns are streamed in order from a
-sorted partition, so no conversation is ever held whole (a digest over one conversation is read in
-one task, as digests are).
+Whole prefixes are rendered, so one conversation is held by one task and costs time in the square of
+its turns. A caller who knows that a turn's rendering depends on at most ``context`` earlier turns may
+say so: then only those are rendered again and held, which is linear, and rewriting farther back
+goes unseen.
+
+Reading back parses the output of a conversation as one string, whatever rows it came in. A
+conversation with a flagged turn has no output: its row has ``n_turns`` and nulls.
 
 Edge cases: a null text or role is empty; equal turn numbers are ordered by role and text; a null
 conversation id is one conversation; repeated rows are repeated turns; an empty table gives an empty
@@ -27,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Turn = tuple[str, str]
-PROBE = "\ue000"
+#: Private-use characters that may stand for a text.
+PROBES = range(0xE000, 0xF900)
 
 #: The control strings of ``bracket_template`` and what stands for them inside texts.
 CONTROL = {
@@ -76,27 +81,54 @@ def bracket_template(turns: list[Turn]) -> str:
     return "".join(out)
 
 
-def read_turn(rendered: str) -> Turn:
-    """The role and text of one turn rendered by ``bracket_template``."""
-    found = _TURN.fullmatch(rendered)
-    if found is None:
-        raise ValueError("not a turn of this template")
-    if found["role"] is not None:
-        return unescape(found["role"]), unescape(found["other"])
-    role = found.lastgroup
-    return role, unescape(found[role])
+class OutputReader:
+    """Reads turns from the output of ``bracket_template`` as it grows.
+
+    Texts hold no control string, so the first end mark is a turn's own, and a turn can be taken as
+    soon as it is complete: only the incomplete end of the output is held.
+    """
+
+    def __init__(self):
+        self.rest = ""
+
+    def feed(self, output: str) -> Iterator[Turn]:
+        self.rest += output
+        at = 0
+        while found := _TURN.match(self.rest, at):
+            at = found.end()
+            if found["role"] is not None:
+                yield unescape(found["role"]), unescape(found["other"])
+            else:
+                yield found.lastgroup, unescape(found[found.lastgroup])
+        self.rest = self.rest[at:]
 
+    def close(self) -> None:
+        if self.rest:
+            raise ValueError("the output ends inside a turn")
 
-def locate(render: Callable[[list[Turn]], str], before: list[Turn], turn: Turn) -> tuple[str, int, int] | None:
-    """What ``turn`` adds to the rendering of ``before``, and where its text lies in it; None if history changes."""
-    shorter, longer = render(before), render([*before, turn])
-    probed = render([*before, (turn[0], PROBE)])
-    if not longer.startswith(shorter) or not probed.startswith(shorter):
+
+def probe_for(*texts: str) -> str:
+    """A private-use character that none of ``texts`` holds."""
+    return next(c for c in map(chr, (*PROBES, *range(0xF0000, 0xFFFFE))) if not any(c in t for t in texts))
+
+
+def locate(render: Callable[[list[Turn]], str], before: list[Turn], turn: Turn, shorter: str | None = None) -> tuple[str, int, int] | None:
+    """What ``turn`` adds to the rendering of ``before``, and where its text lies in it; None if history changes.
+
+    ``shorter`` is the rendering of ``before``, if the caller has it.
+    """
+    shorter = render(before) if shorter is None else shorter
+    longer = render([*before, turn])
+    if not longer.startswith(shorter):
         return None
-    at = probed.find(PROBE, len(shorter))
+    probe = probe_for(longer, turn[0])
+    probed = render([*before, (turn[0], probe)])
+    if not probed.startswith(shorter):
+        return None
+    at = probed.find(probe, len(shorter))
     if at < 0:
         return None
-    tail = len(probed) - at - len(PROBE)
+    tail = len(probed) - at - len(probe)
     if longer[:at] != probed[:at] or (tail and longer[-tail:] != probed[-tail:]):
         return None
     return longer[len(shorter) :], at - len(shorter), len(longer) - tail - len(shorter)
@@ -105,7 +137,7 @@ def locate(render: Callable[[list[Turn]], str], before: list[Turn], turn: Turn)
 def format_turns(
     conversations: DataFrame,
     render: Callable[[list[Turn]], str] = bracket_template,
-    context: int | None = 1,
+    context: int | None = None,
     loss_role: str = "assistant",
 ) -> DataFrame:
     """One row per turn, in order within each conversation: the formatted conversation is the
@@ -114,17 +146,19 @@ def format_turns(
     Columns: ``conv_id``, ``position``, ``rendered``, ``start`` (offset of the turn in the formatted
     conversation), ``text_start``, ``text_end`` (of the text in ``rendered``), ``loss`` (whether the
     text is trained on), ``rewrites``. Offsets are code points. ``context`` None renders whole prefixes.
+    ``rendered`` is null where the template rewrites history.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, known, turns, start, position = None, False, [], 0, 0
+        current, known, turns, start, position, output = None, False, [], 0, 0, ""
         for batch in batches:
             rows = {name: [] for name in ("position", "rendered", "start", "text_start", "text_end", "loss", "rewrites")}
             ids, roles, texts = (batch.column(k).to_pylist() for k in range(3))
             for conv, role, text in zip(ids, roles, texts):
                 if not known or conv != current:
                     current, known, turns, start, position = conv, True, [], 0, 0
-                found = locate(render, turns, (role, text))
+                    output = render([]) if context is None else ""
+                found = locate(render, turns, (role, text), output if context is None else None)
                 rendered, a, b = found or (None, None, None)
                 rows["position"].append(position), rows["rendered"].append(rendered), rows["start"].append(start)
                 rows["text_start"].append(a), rows["text_end"].append(b)
@@ -133,6 +167,8 @@ def format_turns(
                 turns.append((role, text))
                 if context is not None:
                     turns = turns[len(turns) - context :] if context else []
+                else:
+                    output = output + rendered if found else render(turns)
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(v, k) for v, k in zip(rows.values(), kinds))], ["conv_id", *rows]
@@ -154,47 +190,66 @@ def format_turns(
     )
 
 
+class _Digests:
+    """One conversation as it is read back."""
+
+    def __init__(self, conv: object):
+        self.conv, self.given, self.rewritten, self.chars = conv, 0, False, 0
+        self.reader, self.read = OutputReader(), 0
+        self.turns, self.loss, self.loss_chars = hashlib.sha256(), hashlib.sha256(), 0
+
+    def add(self, rendered: str | None, start: int, end: int, loss: bool) -> None:
+        self.given += 1
+        self.rewritten |= rendered is None
+        if self.rewritten:
+            return
+        for role, text in self.reader.feed(rendered):
+            self.read += 1
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        if loss:
+            masked = unescape(rendered[start:end])
+            self.loss_chars += len(masked)
+            self.loss.update(masked.encode("utf-8", "surrogatepass"))
+        self.chars += len(rendered)
+
+    def row(self) -> tuple:
+        if self.rewritten:
+            return self.conv, self.given, None, None, None, None
+        self.reader.close()
+        return self.conv, self.read, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of each conversation, read back from the rows of ``format_turns`` as they stream by.
 
     ``n_turns``, ``turns_sha256`` (role, newline, text, newline per turn), ``loss_chars`` and
-    ``loss_sha256`` (all text under the loss mask, unescaped), ``formatted_chars``. Expects rows of one
-    conversation next to each other and in order, as ``format_turns`` yields them.
+    ``loss_sha256`` (all text under the loss mask, unescaped), ``formatted_chars``; where a turn is
+    flagged, nulls beside the number of rows. Expects rows of one conversation next to each other and
+    in order, as ``format_turns`` yields them.
     """
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: list | None = None
+        state: _Digests | None = None
+        id_kind = pa.int64()
 
-        def done(items: list[list]) -> pa.RecordBatch:
-            columns = list(zip(*[(s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5]) for s in items])) or [[]] * 6
+        def done(items: list[_Digests]) -> pa.RecordBatch:
+            columns = list(zip(*[s.row() for s in items])) or [[]] * len(names)
             kinds = [id_kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-        id_kind = pa.int64()
         for batch in batches:
             id_kind = batch.schema.field(0).type
             closed = []
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                conv, rendered, a, b, loss = row
-                if state is None or conv != state[0]:
-                    if state is not None:
-                        closed.append(state)
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                if rendered is None:
-                    raise ValueError("the template rewrites history; there is no output to read back")
-                role, text = read_turn(rendered)
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                if loss:
-                    masked = unescape(rendered[a:b])
-                    state[3] += len(masked)
-                    state[4].update(masked.encode("utf-8", "surrogatepass"))
-                state[5] += len(rendered)
+            for conv, *row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if state is None or conv != state.conv:
+                    closed += [state] if state is not None else []
+                    state = _Digests(conv)
+                state.add(*row)
             yield done(closed)
         if state is not None:
             yield done([state])
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kind = formatted.schema["conv_id"].dataType.simpleString()
     return formatted.select("conv_id", "rendered", "text_start", "text_end", "loss").mapInArrow(
         run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

@@ -255,18 +255,53 @@ def test_chat(spark):
         loss = "".join(r[3] for r in own if r[2] == "assistant")
         assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         assert got[conv]["n_turns"] == len(own)
-    whole = chat.format_turns(given, context=None)
+    short = chat.format_turns(given, context=1)
     strip = lambda df: sorted((str(r["conv_id"]), r["position"], r["rendered"], r["start"]) for r in df.collect())
-    assert strip(whole) == strip(formatted)
+    assert strip(short) == strip(formatted)
 
     def rewriting(turns):
         return "".join(f"<{len(turns)}>{t}" for _, t in turns)
 
-    flagged = chat.format_turns(given, rewriting, context=None).filter("conv_id = 7").orderBy("position").collect()
+    flagged = chat.format_turns(given, rewriting).filter("conv_id = 7").orderBy("position").collect()
     assert [r["rewrites"] for r in flagged] == [False, True, True, True]
     assert chat.read_back(chat.format_turns(given.limit(0))).count() == 0
 
 
+def test_chat_flags_late_rewriting(spark):
+    """A template that changes the first turn once there are four is found by whole prefixes, and by them only."""
+    rows = [(1, k, "user" if k % 2 else "assistant", f"text {k}") for k in range(6)] + [(2, 0, "user", "short"), (2, 1, "assistant", "ok")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+    def late(turns):
+        cut = [(turns[0][0], "earlier")] + turns[1:] if len(turns) >= 4 else turns
+        return chat.bracket_template(cut)
+
+    flags = lambda df: [r["rewrites"] for r in df.filter("conv_id = 1").orderBy("position").collect()]
+    assert flags(chat.format_turns(given, late)) == [False, False, False, True, False, False]
+    assert not any(flags(chat.format_turns(given, late, context=1)))
+    back = {r["conv_id"]: r for r in chat.read_back(chat.format_turns(given, late)).collect()}
+    assert back[1]["n_turns"] == 6 and back[1]["turns_sha256"] is None and back[1]["loss_chars"] is None
+    assert back[2]["n_turns"] == 2 and back[2]["loss_chars"] == 2
+
+
+def test_chat_with_private_use_characters(spark):
+    rows = [(1, 0, "\ue000", "\ue000\ue001 x"), (1, 1, "assistant", "\ue000"), (1, 2, "user", ""), (2, 0, "user", "plain")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = chat.format_turns(given)
+    assert not formatted.filter("rewrites").count()
+    got = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    assert got[1]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:3]).encode()).hexdigest() and got[1]["loss_chars"] == 1
+
+
+def test_output_is_read_whatever_its_pieces():
+    turns = [("user", chat.CONTROL and "</s>[INST]\\"), ("tool\nx", ""), ("assistant", "a\nb"), ("system", "<<SYS>>")]
+    output = chat.bracket_template(turns)
+    for step in (1, 3, 1000):
+        reader = chat.OutputReader()
+        assert [t for k in range(0, len(output), step) for t in reader.feed(output[k : k + step])] == turns
+        reader.close()
+
+
 BASE_PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
