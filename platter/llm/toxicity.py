@@ -1,6 +1,7 @@
 """Toxic passages by maximum-scoring segments.
 
-A token's score is the lower confidence bound of its log-odds between toxic and other documents with
+A token is read as its word and as the word's beginnings of 4 to 7 letters, so that forms of one stem
+count together; the best of these scores is the token's. A score is the lower confidence bound of its log-odds between toxic and other documents with
 an informative Dirichlet prior, kept only where its z-score is significant; every other token costs ``drift``. In a text, a
 linear-time scan finds all maximal-scoring segments. The best segment's score is set against what
 clean texts of that length reach by chance: for those, the maximum follows an extreme-value law with
@@ -32,11 +33,23 @@ from platter.llm.common import hash_sample, reliable, text_or_empty
 
 FIT_ROWS = 20_000
 PASSAGE_E = 0.01
+#: Lengths of the beginnings that stand for a word's stem.
+STEMS = range(4, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def tokens_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+def forms_of(word: str) -> list[str]:
+    """The word, and its beginnings (marked by a hyphen)."""
+    return [word, *(f"{word[:k]}-" for k in STEMS if k < len(word))]
+
+
+def token_places(text: str) -> list[tuple[int, int]]:
+    """Where the tokens of ``tokens_of`` lie in the text."""
+    return [m.span() for m in _WORD.finditer(text)]
 
 
 def fold_of(id_col: str = "doc_id") -> Column:
@@ -48,24 +61,25 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
     """All maximal-scoring segments (score, first token, last token) in one pass over the positive tokens.
 
     Tokens between the ``hits`` cost ``drift`` each. Candidates are kept with the total before and
-    after them; a new token merges with the candidates that it can extend (Ruzzo and Tompa's scan).
+    after them and a link to the last earlier candidate that starts lower (Ruzzo and Tompa's scan); a
+    new token follows the links, so every candidate is passed once and the scan is linear.
     """
-    kept: list[list[float]] = []  # total before, total after, first, last
+    kept: list[tuple[float, float, int, int, int]] = []  # total before, total after, first, last, link
     total, at = 0.0, 0
     for place, score in hits:
         total -= drift * (place - at)
         before, total, at = total, total + score, place + 1
-        part = [before, total, place, place]
+        first, k = place, len(kept) - 1
         while True:
-            k = len(kept) - 1
-            while k >= 0 and kept[k][0] >= part[0]:
-                k -= 1
-            if k < 0 or kept[k][1] >= part[1]:
-                kept.append(part)
+            while k >= 0 and kept[k][0] >= before:
+                k = kept[k][4]
+            if k < 0 or kept[k][1] >= total:
+                kept.append((before, total, first, place, k))
                 break
-            part = [kept[k][0], part[1], kept[k][2], part[3]]
+            before, _, first, _, link = kept[k]
             del kept[k:]
-    return [(b - a, int(first), int(last)) for a, b, first, last in kept]
+            k = link
+    return [(after - before, first, last) for before, after, first, last, _ in kept]
 
 
 @dataclass
@@ -76,11 +90,20 @@ class ToxicModel:
     log_k: float = 0.0
     slope: float = 0.0
     intercept: float = -50.0
-
-    def passages(self, text: str) -> tuple[int, list[tuple[float, int, int]]]:
+    memory: dict[str, float] = field(default_factory=dict, repr=False, compare=False)
+
+    def token_score(self, token: str) -> float:
+        """The best score among the token's forms; 0 where none is known."""
+        found = self.memory.get(token)
+        if found is None:
+            if len(self.memory) > 500_000:
+                self.memory.clear()
+            found = self.memory[token] = max((self.scores.get(f, 0.0) for f in forms_of(token)), default=0.0)
+        return found
+
+    def passages(self, tokens: list[str]) -> tuple[int, list[tuple[float, int, int]]]:
         """The number of tokens, and the maximal segments."""
-        tokens, known = tokens_of(text), self.scores
-        hits = [(n, known[t]) for n, t in enumerate(tokens) if t in known]
+        hits = [(n, s) for n, s in enumerate(map(self.token_score, tokens)) if s]
         return len(tokens), maximal_segments(hits, self.drift) if hits else []
 
     def minus_log_e(self, score: float, tokens: int) -> float:
@@ -88,22 +111,24 @@ class ToxicModel:
 
     def judge(self, text: str) -> tuple[float, int, float]:
         """Probability, number of significant passages, and -log E of the best one."""
-        tokens, segments = self.passages(text)
+        tokens, segments = self.passages(tokens_of(text))
         values = [self.minus_log_e(s, tokens) for s, _, _ in segments]
         best = max(values, default=self.minus_log_e(0.0, tokens))
         p = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * best + self.intercept))))
         return p if self.slope else 0.0, sum(v > -math.log(PASSAGE_E) for v in values), best
 
 
-def dirichlet_log_odds(toxic: np.ndarray, other: np.ndarray, strength: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of each token between two counts; and z-scores.
+def dirichlet_log_odds(
+    toxic: np.ndarray, other: np.ndarray, all_toxic: float, all_other: float, strength: float = 0.05
+) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each token between two counts, and z-scores; the totals are those of all tokens.
 
     The prior is ``strength`` times the counts of both together, so a token needs a handful of
     documents on one side, and none on the other, to be significant.
     """
-    prior = strength * (toxic + other)
+    prior, whole = strength * (toxic + other), strength * (all_toxic + all_other)
     a, b = toxic + prior, other + prior
-    delta = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
+    delta = np.log(a / (all_toxic + whole - a)) - np.log(b / (all_other + whole - b))
     return delta, delta / np.sqrt(1 / a + 1 / b)
 
 
@@ -128,8 +153,8 @@ def fit_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     fit_rows: int = FIT_ROWS,
-    least_z: tuple[float, ...] = (2.5, 3.0, 4.0, 5.0, 6.0, 7.0),
-    drift: float = 0.5,
+    least_z: tuple[float, ...] = (2.5, 3.5, 5.0, 7.0),
+    drifts: tuple[float, ...] = (0.5, 0.15, 0.05, 0.015),
 ) -> ToxicModel:
     """Learn from labelled rows outside fold 0: folds 1 to 3 give the log-odds, fold 4 the calibration."""
     chosen = (
@@ -147,7 +172,7 @@ def fit_toxicity(
         for batch in batches:
             fold, y, hashes, words = [], [], [], []
             for f, label, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                found = sorted(set(tokens_of(text)))
+                found = sorted(f for t in set(tokens_of(text)) for f in forms_of(t))
                 fold.append(f), y.append(label), words.append(found), hashes.append(text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(fold, pa.int64()), pa.array(y, pa.int32()), pa.array(hashes, pa.string()), pa.array(words, pa.list_(pa.string()))],
@@ -157,24 +182,29 @@ def fit_toxicity(
     rows = sample.mapInArrow(counted, "fold long, y int, text string, words array<string>")
     distinct = reliable(rows.withColumn("h", F.xxhash64("text")).drop("text").groupBy("h").agg(
         F.min("fold").alias("fold"), F.max("y").alias("y"), F.first("words").alias("words")))
-    counts = (
+    counts = reliable(
         distinct.filter("fold < 4")
         .select("y", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
         .filter("toxic + other >= 3")
-        .toPandas()
     )
-    model = ToxicModel(drift=drift)
-    if not len(counts) or not counts["toxic"].sum():
+    model = ToxicModel()
+    totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
+    if not totals["toxic"]:
         return model
-    delta, z = dirichlet_log_odds(counts["toxic"].to_numpy(float), counts["other"].to_numpy(float))
+    # Only words commoner among the toxic ones can score, so only they are fetched.
+    likely = counts.filter(F.col("toxic") * int(totals["other"]) > F.col("other") * int(totals["toxic"])).orderBy("word").toPandas()
+    delta, z = dirichlet_log_odds(
+        likely["toxic"].to_numpy(float), likely["other"].to_numpy(float), float(totals["toxic"]), float(totals["other"])
+    )
     # The lower end of the log-odds' 95 % interval: rare tokens count less than well-attested ones.
     lower = delta - 1.96 * delta / np.where(z == 0, 1.0, z)
     drafts = []
     for least in least_z:
         keep = (z >= least) & (lower > 0)
-        drafts.append(ToxicModel(dict(zip(counts["word"][keep], lower[keep].tolist())), drift))
+        scores = dict(zip(likely["word"][keep], lower[keep].tolist()))
+        drafts += [ToxicModel(scores, drift) for drift in drifts]
     shared = docs.sparkSession.sparkContext.broadcast(drafts)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +212,9 @@ def fit_toxicity(
             rows = [
                 (y, n, k, max((s for s, _, _ in segments), default=0.0))
                 for y, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+                for tokens in [tokens_of(text)]
                 for k, own in enumerate(shared.value)
-                for n, segments in [own.passages(text)]
+                for n, segments in [own.passages(tokens)]
             ]
             columns = list(zip(*rows)) or [[]] * 4
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.float64()]
@@ -236,6 +267,39 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
     )
 
 
+def toxic_passages(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per significant passage: ``id_col``, ``start``, ``end`` (code points, end exclusive), ``segment_score``, ``e_value``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            row, starts, ends, scores, values = [], [], [], [], []
+            for n, text in enumerate(batch.column(1).to_pylist()):
+                count, segments = own.passages(tokens_of(text))
+                found = [(s, a, b, math.exp(-own.minus_log_e(s, count))) for s, a, b in segments]
+                found = [f for f in found if f[3] < PASSAGE_E]
+                if found:
+                    places = token_places(text)
+                    for s, a, b, e in found:
+                        row.append(n), starts.append(places[a][0]), ends.append(places[b][1]), scores.append(s), values.append(e)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row, pa.int64())),
+                    pa.array(starts, pa.int64()),
+                    pa.array(ends, pa.int64()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(values, pa.float64()),
+                ],
+                [id_col, "start", "end", "segment_score", "e_value"],
+            )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_or_empty(text_col).alias("__text")).mapInArrow(
+        run, f"`{id_col}` {kind}, start long, end long, segment_score double, e_value double"
+    )
+
+
 def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows whose score is below ``limit``, with their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

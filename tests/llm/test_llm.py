@@ -3,10 +3,12 @@
 import base64
 import hashlib
 import itertools
+import math
 import os
 import random
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -136,6 +138,34 @@ def test_suspect_host_loses_its_soft_failures_only(spark):
     assert not any(got[k] for k in range(80)) and all(got[k] for k in range(80, 100)) and all(got[k] for k in range(300, 400))
 
 
+def test_host_is_judged_against_the_corpus(spark):
+    """Forty failures in a hundred are many where the corpus has ten, and few where it has sixty; one in two proves nothing."""
+    fine, symbols = " ".join(f"word{k}" for k in range(60)), " ".join(f"#w{k}*" for k in range(60))
+    host = lambda name, first, bad, n: [(first + k, symbols if k < bad else fine, "en", name, 1) for k in range(n)]
+    low = [r for k in range(8) for r in host(f"h{k}", 1000 * k, 5 + k, 100)]
+    high = [r for k in range(8) for r in host(f"h{k}", 1000 * k, 55 + k, 100)]
+    suspects = lambda rows: {r["doc_id"] // 1000 for r in quality.judge(spark.createDataFrame(rows, DOCS)).filter("host_suspect").collect()}
+    assert suspects(low + host("x", 90_000, 40, 100) + host("y", 95_000, 1, 2)) == {90}
+    assert 90 not in suspects(high + host("x", 90_000, 40, 100))
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    """Extra columns may bear the names that the operator uses itself, or names that differ in case only."""
+    text = " ".join(f"word{k}" for k in range(60))
+    given = spark.createDataFrame([(1, text, "s", 1, 2, 3, 4)], "doc_id long, text string, source string, __t int, __w int, __q_base int, c0 int")
+    assert quality.keep_good(given).collect() == given.collect() and quality.judge(given).count() == 1
+
+
+def test_repeated_windows_equal_brute_force(spark):
+    rng = random.Random(15)
+    rows = [(k, " ".join(rng.choices("abc", k=rng.randint(0, 40)) + [f"u{n}" for n in range(rng.randint(0, 30))]), "en", "s", 1) for k in range(200)]
+    for r in quality.judge(spark.createDataFrame(rows, DOCS)).collect():
+        words = rows[r["doc_id"]][1].split()
+        grams = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+        inside = {k + j for k, g in enumerate(grams) if grams.count(g) > 1 for j in range(3)}
+        assert r["n_repeat_words"] == len(inside)
+
+
 def test_quality_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{DATA}/documents.parquet')")
@@ -491,13 +521,84 @@ def test_segments_equal_definition():
         assert got == brute_segments(hits, n, 0.7)
 
 
+def test_segment_scan_is_linear():
+    """Isolated hits: four times as many take about four times as long, not sixteen times."""
+    took = []
+    for n in (20_000, 80_000):
+        hits = [(5 * k, 1.0) for k in range(n)]
+        start = time.perf_counter()
+        assert len(toxicity.maximal_segments(hits, 0.5)) == n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0]
+
+
+def test_toxic_odds_law_and_score_equal_plain_formulas(spark):
+    """A table with one toxic word; the lexicon, the extreme-value law and every score are computed again, plainly."""
+    rng, words = random.Random(14), [f"{a}{b}" for a in "bcdfghklm" for b in ("ana", "eno", "iru", "oli")]
+    rows = []
+    for k in range(600):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 60))]
+        if k % 3 == 0:
+            for at in range(rng.randrange(9), len(text), 9):
+                text[at] = "zonkish"
+        rows.append((k, " ".join(text), int("zonkish" in text)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(table, table.select("doc_id", "toxic"), drifts=(0.05,), least_z=(3.0,))
+    fold = lambda k: zlib.crc32(str(k).encode()) % 5
+    forms = lambda w: [w] + [w[:k] + "-" for k in range(4, 8) if k < len(w)]
+    seen, counts = set(), {}
+    for k, text, y in rows:
+        if fold(k) in (1, 2, 3) and text not in seen:
+            seen.add(text)
+            for w in set(text.split()):
+                for f in forms(w):
+                    counts.setdefault(f, [0, 0])[1 - y] += 1
+    counts = {f: c for f, c in counts.items() if sum(c) >= 3}
+    one, two = (sum(c[n] for c in counts.values()) for n in (0, 1))
+    scores = {}
+    for f, (a, b) in counts.items():
+        if a * two <= b * one:
+            continue
+        p, q = a + 0.05 * (a + b), b + 0.05 * (a + b)
+        delta = math.log(p / (one + 0.05 * (one + two) - p)) - math.log(q / (two + 0.05 * (one + two) - q))
+        spread = math.sqrt(1 / p + 1 / q)
+        if delta / spread >= 3 and delta - 1.96 * spread > 0:
+            scores[f] = delta - 1.96 * spread
+    assert "zonkish" in scores and model.scores == pytest.approx(scores)
+
+    def best(text):
+        values = [max([scores.get(f, 0.0) for f in forms(w)]) or -0.05 for w in text.split()]
+        return max([sum(values[i:j]) for i in range(len(values)) for j in range(i + 1, len(values) + 1)] + [0.0])
+
+    held = [(y, best(t), len(t.split())) for k, t, y in rows if fold(k) == 4]
+    clean = [(b, n) for y, b, n in held if not y]
+    mean = sum(b for b, _ in clean) / len(clean)
+    rate = math.pi / (math.sqrt(6) * max(math.sqrt(sum((b - mean) ** 2 for b, _ in clean) / len(clean)), 0.25))
+    log_k = sum(rate * b - math.log(n) for b, n in clean) / len(clean) - 0.5772156649
+    assert (model.rate, model.log_k) == pytest.approx((rate, log_k))
+    for r in toxicity.score_toxicity(table, model).collect():
+        text = rows[r["doc_id"]][1]
+        x = rate * best(text) - math.log(len(text.split())) - log_k
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, model.slope * x + model.intercept)))))
+        assert r["held_out"] == (fold(r["doc_id"]) == 0) and r["predicted"] == int(r["score"] >= 0.5)
+    found = toxicity.toxic_passages(table, model).collect()
+    assert found and all("zonkish" in rows[r["doc_id"]][1][r["start"] : r["end"]] and r["e_value"] < 0.01 for r in found)
+
+
+def test_toxicity_of_equal_texts(spark):
+    """All ties: a table of one text gets one score, whatever its labels."""
+    table = spark.createDataFrame([(k, "same words here", k % 2) for k in range(60)], "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(table, table.select("doc_id", "toxic"))
+    assert len({r["score"] for r in toxicity.score_toxicity(table, model).collect()}) == 1
+
+
 def test_toxicity_on_held_out_rows(spark):
     big = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else "/root/testdata/sf0.01"
     scored = queries.queries()["op10_toxicity"](spark, big).join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").filter("held_out")
     rows = scored.select("score", "predicted", "toxic").collect()
     toxic = [r["predicted"] for r in rows if r["toxic"]]
     clean = [r["predicted"] for r in rows if not r["toxic"]]
-    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.02
+    assert np.mean(toxic) > 0.92 and np.mean(clean) < 0.005
 
 
 def test_toxicity_edges(spark, odd):
