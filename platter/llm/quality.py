@@ -3,8 +3,9 @@
 Base rules reject single documents. Softer rules (symbol share, repeated lines, mean word length)
 are counted per host; a host's failure rate is shrunk towards the corpus by a beta prior whose mean
 and strength are fitted to the hosts themselves (method of moments), so a host with few documents
-is judged mostly by the corpus. The verdicts are joined back: on a suspect host, a document that
-fails a soft rule itself is rejected; clean documents of any host stay.
+is judged mostly by the corpus. A host is suspect where its posterior rate exceeds the corpus's rate
+with ``CONFIDENCE`` standard deviations to spare. The verdicts are joined back: on a suspect host, a
+document that fails a soft rule itself is rejected; clean documents of any host stay.
 
 Edge cases: a null or blank text has no words and fails; a null host is a host of its own; repeated
 rows are judged alike and all returned; an empty table gives an empty result; other columns are
@@ -19,13 +20,15 @@ from pyspark.sql import functions as F
 from platter.llm.common import SPACE_CLASS, reliable, text_or_empty, written
 
 SYMBOLS = "#*$%&|<>"
+#: One-sided 95 %.
+CONFIDENCE = 1.645
 
 
 def _window_columns(docs: DataFrame, words: Column) -> DataFrame:
     """Add ``n_repeat_words``: words inside three-word windows that occur twice or more in the text.
 
-    Windows are compared by a 64-bit hash. Repeats are found by sorting the hashes (n log n), and only
-    in texts where the distinct windows are fewer than the windows.
+    Only texts whose windows' 64-bit hashes repeat are looked at closely: there the windows themselves
+    are sorted by hash and words (n log n) and neighbours compared word by word.
     """
     hashed = docs.withColumn("__w", words).withColumn("__n", F.size("__w"))
     hashed = hashed.withColumn(
@@ -38,11 +41,13 @@ def _window_columns(docs: DataFrame, words: Column) -> DataFrame:
             ),
         ).otherwise(F.expr("cast(array() as array<bigint>)")),
     )
-    tagged = F.array_sort(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    window = lambda i: F.concat_ws(" ", F.get("__w", i), F.get("__w", i + 1), F.get("__w", i + 2))
+    tagged = F.array_sort(F.transform("__h", lambda h, i: F.struct(h.alias("h"), window(i).alias("g"), i.alias("i"))))
     hashed = hashed.withColumn("__s", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), tagged))
+    same = lambda a, b: a["h"].eqNullSafe(b["h"]) & a["g"].eqNullSafe(b["g"])
     repeated = F.filter(
         "__s",
-        lambda s, k: ((k > 0) & F.get("__s", k - 1)["h"].eqNullSafe(s["h"])) | F.get("__s", k + 1)["h"].eqNullSafe(s["h"]),
+        lambda s, k: ((k > 0) & same(F.get("__s", k - 1), s)) | same(F.get("__s", k + 1), s),
     )
     covered = F.array_distinct(F.flatten(F.transform(repeated, lambda s: F.array(s["i"], s["i"] + 1, s["i"] + 2))))
     return hashed.withColumn("__repeat", F.when(F.col("__s").isNotNull(), F.size(covered)).otherwise(0).cast("long"))
@@ -80,9 +85,12 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def host_verdicts(figures: DataFrame, host_col: str = "source", limit: float = 0.5) -> DataFrame:
+def host_verdicts(figures: DataFrame, host_col: str = "source", confidence: float = CONFIDENCE) -> DataFrame:
     """One row per host: documents, failures, shrunk failure rate and whether the host is suspect.
 
+    Suspect: the mean of the rate's posterior lies ``confidence`` of its standard deviations above the
+    corpus's rate, so a host is measured by its neighbours and not by a fixed rate.
+
     ``figures`` needs the columns of ``measured``. The prior of the rate is Beta(m * s, (1 - m) * s)
     with the mean ``m`` of the corpus and the strength ``s`` that the spread of the hosts' rates beyond
     binomial noise implies (kept between 2 and 10,000).
@@ -104,7 +112,9 @@ def host_verdicts(figures: DataFrame, host_col: str = "source", limit: float = 0
     fitted = prior.select(F.struct("m", "s")).scalar()
     hosts = hosts.withColumn("__p", fitted)
     rate = (F.col("failed") + F.col("__p.m") * F.col("__p.s")) / (F.col("docs") + F.col("__p.s"))
-    return hosts.select("__host", "docs", "failed", rate.alias("host_rate"), (rate >= limit).alias("host_suspect"))
+    spread = F.sqrt(rate * (1 - rate) / (F.col("docs") + F.col("__p.s") + 1))
+    suspect = rate - F.col("__p.m") > confidence * spread
+    return hosts.select("__host", "docs", "failed", rate.alias("host_rate"), suspect.alias("host_suspect"))
 
 
 def _joined(figures: DataFrame, verdicts: DataFrame, host_col: str, broadcast_bytes: int = 16 << 20) -> DataFrame:
@@ -120,11 +130,18 @@ def _joined(figures: DataFrame, verdicts: DataFrame, host_col: str, broadcast_by
     return figures.join(verdicts, figures[host_col].eqNullSafe(verdicts["__host"]), "left").withColumn("__q_kept", kept)
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = 0.5) -> DataFrame:
+def _positional(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns c0, c1, ...: no name of the caller's can clash with one of ours."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
+def judge(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", confidence: float = CONFIDENCE
+) -> DataFrame:
     """Figures and verdict of every row; the texts are read once and their figures checkpointed."""
-    figures = reliable(measured(docs.select(id_col, text_col, host_col), text_col).drop(text_col))
-    return _joined(figures, host_verdicts(figures, host_col, limit), host_col).select(
-        id_col,
+    figures = reliable(measured(_positional(docs.select(id_col, text_col, host_col)), "c1").drop("c1"))
+    return _joined(figures, host_verdicts(figures, "c2", confidence), "c2").select(
+        F.col("c0").alias(id_col),
         F.col("__q_words").alias("n_words"),
         F.col("__q_chars").alias("word_chars"),
         F.col("__q_symbols").alias("n_symbols"),
@@ -137,8 +154,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     )
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", confidence: float = CONFIDENCE) -> DataFrame:
     """The rows that pass, with their columns; the rows and their flags are written once, so no text is judged twice."""
-    flagged = written(measured(docs, text_col).select(*docs.columns, "__q_base", "__q_soft"))
-    verdicts = host_verdicts(flagged, host_col, limit)
-    return _joined(flagged, verdicts, host_col).filter("__q_kept").select(docs.columns)
+    plain = _positional(docs)
+    text, host = (f"c{docs.columns.index(c)}" for c in (text_col, host_col))
+    flagged = written(measured(plain, text).select(*plain.columns, "__q_base", "__q_soft"))
+    verdicts = host_verdicts(flagged, host, confidence)
+    return _joined(flagged, verdicts, host).filter("__q_kept").select(plain.columns).toDF(*docs.columns)

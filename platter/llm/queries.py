@@ -127,7 +127,8 @@ WITH words AS (
 ), prior AS (
   SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 2.0), 10000.0) ELSE 10000.0 END AS s FROM spread
 ), verdicts AS (
-  SELECT source AS host, (failed + m * s) / (docs + s) >= 0.5 AS host_suspect FROM hosts, prior
+  SELECT host, r - m > 1.645 * sqrt(r * (1 - r) / (docs + s + 1)) AS host_suspect
+  FROM (SELECT source AS host, docs, m, s, (failed + m * s) / (docs + s) AS r FROM hosts, prior)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (host_suspect AND soft_failed) AS kept, soft_failed, host_suspect
