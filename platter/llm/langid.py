@@ -127,10 +127,28 @@ def text_evidence(pages: DataFrame, model: TrigramModel, id_col: str, url_col: s
     )
 
 
-def _counts(evidence: DataFrame, key: str, size: int, name: str) -> DataFrame:
-    """Per value of ``key``, how many texts suggest each language, as one array."""
+#: Keys beyond this many are not broadcast as a whole.
+BROADCAST_KEYS = 200_000
+
+
+def with_counts(evidence: DataFrame, key: str, size: int, name: str, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """Add ``name``: per value of ``key``, how many texts suggest each language, as one array.
+
+    The counts are one row a value and are counted before they are joined. Few values are broadcast.
+    Of many, only the hot ones are, those with more than a ``broadcast_keys``-th part of the rows each,
+    of which there are fewer than ``broadcast_keys``; rows of the others meet their counts by a shuffle
+    in which no value is large. So no hot host is ever one task.
+    """
     each = F.array(*[F.sum((F.col("guess") == k).cast("double")) for k in range(size)])
-    return evidence.groupBy(F.col(key).alias(f"__{key}")).agg(each.alias(name))
+    counts = reliable(evidence.groupBy(F.col(key).alias("__key")).agg(each.alias(name), F.count(F.lit(1)).alias("__rows")))
+    totals = counts.agg(F.count(F.lit(1)), F.sum("__rows")).first()
+    on = F.col(key) == F.col("__key")
+    if totals[0] <= broadcast_keys:
+        return evidence.join(F.broadcast(counts.drop("__rows")), on, "left").drop("__key")
+    large = totals[1] // broadcast_keys
+    hot = evidence.join(F.broadcast(counts.filter(F.col("__rows") > large).drop("__rows")), on, "left").drop("__key")
+    cold = hot.filter(F.col(name).isNull()).drop(name).join(counts.drop("__rows"), on, "left").drop("__key")
+    return hot.filter(F.col(name).isNotNull()).unionByName(cold)
 
 
 def _smoothed(counts: Column, prior: Column, strength: float) -> Column:
@@ -145,6 +163,7 @@ def identify(
     url_col: str = "url",
     html_col: str = "html",
     strength: float = 10.0,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Per page: ``id_col``, ``lang``, ``posterior``, ``text_lang``, ``declared``, ``host``, ``host_prior``."""
     size = len(model.languages)
@@ -163,7 +182,7 @@ def identify(
     corpus = whole.select("p").scalar()
     joined = evidence
     for key in ("host", "site", "declared", "suffix", "path_code"):
-        joined = joined.join(_counts(evidence, key, size, f"n_{key}"), F.col(key) == F.col(f"__{key}"), "left").drop(f"__{key}")
+        joined = with_counts(joined, key, size, f"n_{key}", broadcast_keys)
     own = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: (k == F.col("guess")).cast("double"))
     less = lambda name: F.zip_with(name, own, lambda n, x: F.greatest(n - x, F.lit(0.0)))
     joined = joined.withColumn("__corpus", corpus)

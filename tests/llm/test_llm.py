@@ -496,6 +496,91 @@ def test_language(spark):
     assert len(got) == 3 and langid.identify(pages.limit(0), model).count() == 0
 
 
+def plain_posterior(pages, model, strength=10.0):
+    """The fusion of the evidence, page by page in plain Python."""
+    size, codes = len(model.languages), "|".join(x.lower() for x in model.languages)
+    rows = []
+    for _, url, html in pages:
+        url, html = (url or "").lower(), html or ""
+        host = re.match(r"[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", url)
+        host = host[1] if host else ""
+        code = re.match(rf"[^:]*://[^/]*/({codes})(?:[/?#]|$)", url)
+        told = re.search(r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]+)", html)
+        loglik = model.text(langid._HIDDEN.sub(" ", html), {})
+        keys = {"host": host, "site": ".".join(host.split(".")[-2:]), "suffix": host.split(".")[-1], "path_code": code[1] if code else "", "declared": told[1].lower() if told else ""}
+        rows.append((loglik, int(np.argmax(loglik)), keys))
+    counts = {}
+    for _, guess, keys in rows:
+        for key, value in keys.items():
+            counts.setdefault((key, value), np.zeros(size))[guess] += 1
+    smooth = lambda n, p: (n + strength * p) / (n.sum() + strength)
+    corpus, out = smooth(sum(np.eye(size)[g] for _, g, _ in rows), np.full(size, 1 / size)), []
+    for loglik, guess, keys in rows:
+        less = lambda key: np.maximum(counts[key, keys[key]] - np.eye(size)[guess], 0)  # noqa: B023, E731
+        terms = loglik + np.log(smooth(less("host"), smooth(less("site"), corpus)))
+        for key in ("declared", "suffix", "path_code"):
+            terms = terms + np.log(smooth(less(key), corpus) / corpus)
+        p = np.exp(terms - terms.max())
+        out.append((model.languages[int(np.argmax(terms))], 1 / p.sum()))
+    return out
+
+
+def rendered_pages(docs, rng, chars):
+    """Documents as pages of their language's hosts: some undeclared, some short, some that declare a wrong language."""
+    rows = []
+    for k, (text, lang) in enumerate(docs):
+        declared = {0: "", 1: lang, 2: lang, 3: rng.choice(["en", "de", "fr", "es"])}[k % 4]
+        host = rng.choice([f"{lang}.big.example", f"www.own{k % 5}.{lang}", "mixed.example"])
+        path = f"/{lang}/" if k % 3 == 0 else "/"
+        rows.append((k, f"http://{host}{path}p{k}", f"<html{f' lang={declared}' if declared else ''}><p>{text[:chars]}</p></html>"))
+    return rows
+
+
+@pytest.mark.parametrize("most", [langid.BROADCAST_KEYS, 8])
+def test_fusion_equals_plain_version(spark, docs, most):
+    rng = random.Random(16)
+    given = [(r["text"], r["lang"]) for r in docs.filter("length(text) > 200").orderBy("doc_id").collect()]
+    pages = rendered_pages(given, rng, 12) + [(9_000 + k, *rest) for k, rest in enumerate([(None, None), ("", "<html lang=de>"), ("http://a.fr/es", "")])]
+    model = langid.fit_trigrams(docs)
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in langid.identify(table, model, broadcast_keys=most).collect()}
+    assert len(got) == len(pages)
+    for (key, _, _), (lang, posterior) in zip(pages, plain_posterior(pages, model)):
+        assert got[key]["posterior"] == pytest.approx(posterior, rel=1e-6)
+        assert got[key]["lang"] == lang or posterior < 0.51
+
+
+def test_language_of_rendered_documents(spark, docs):
+    """Labelled documents as pages: the whole text decides; on two letters the other evidence mends what the text gets wrong."""
+    rng = random.Random(17)
+    given = [(r["text"], r["lang"]) for r in docs.filter("length(text) > 200").orderBy("doc_id").collect()]
+    model = langid.fit_trigrams(docs)
+    right = {}
+    for chars in (2, 10_000):
+        table = spark.createDataFrame(rendered_pages(given, rng, chars), "page_id long, url string, html string")
+        rows = langid.identify(table, model).collect()
+        right[chars] = [np.mean([r[c] == given[r["page_id"]][1] for r in rows]) for c in ("lang", "text_lang")]
+    assert right[10_000][0] >= 0.99 and right[2][0] > right[2][1] + 0.05, right
+
+
+def test_conflicting_evidence(spark, docs):
+    """A long text outweighs a wrong declaration; a page without words follows its host, and what it declares."""
+    model = langid.fit_trigrams(docs)
+    texts = {x: next(r["text"] for r in docs.filter(f"lang = '{x}' AND length(text) > 2000").collect()) for x in ("de", "fr")}
+    pages = [(k, f"http://a.de/{k}", f"<html lang=de><p>{texts['de']}</p>") for k in range(30)]
+    pages += [(100 + k, f"http://b.fr/{k}", f"<html lang=fr><p>{texts['fr']}</p>") for k in range(30)]
+    pages += [(200, "http://b.fr/x", f"<html lang=fr><p>{texts['de']}</p>"), (201, "http://a.de/x", "<html><p></p>"), (202, "http://c.net/x", "<html lang=fr><p></p>")]
+    got = {r["page_id"]: r["lang"] for r in langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), model).collect()}
+    assert (got[200], got[201], got[202]) == ("de", "de", "fr")
+
+
+def test_language_of_equal_pages(spark, docs):
+    """All ties: equal pages get equal answers."""
+    model = langid.fit_trigrams(docs)
+    pages = spark.createDataFrame([(k, "http://x.com/", "<html><p>la</p>") for k in range(40)], "page_id long, url string, html string")
+    assert len({(r["lang"], r["posterior"]) for r in langid.identify(pages, model).collect()}) == 1
+
+
 def brute_segments(hits, n, drift):
     """Maximal segments by their recursive definition: the best one, then left and right of it."""
     values = [-drift] * n
