@@ -42,7 +42,6 @@ _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NUMBER = re.compile(r"[0-9]{6,18}(?![0-9])")
 _HIDDEN = re.compile(r"[\[(] ?at ?[\])] ?([A-Za-z0-9-]+(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]+)+)", re.I)
-_NAME_BEFORE = re.compile(r"[A-Za-z0-9._%+-]+ ?\Z")
 
 
 @lru_cache(maxsize=1)
@@ -98,6 +97,14 @@ def _account(text: str, start: int, end: int) -> Span | None:
     return found.span() if found else None
 
 
+def _name_start(text: str, end: int, least: int) -> int:
+    """Where the mailbox name that ends at ``end`` starts, not before ``least``."""
+    low = end
+    while low > least and text[low - 1] in _LOCAL:
+        low -= 1
+    return low
+
+
 def personal_spans(text: str) -> dict[str, list[Span]]:
     """All spans of one text by kind, each kind's from left to right without overlaps."""
     spans: dict[str, list[Span]] = {kind: [] for kind in (*BASE, *ADDED)}
@@ -121,9 +128,7 @@ def personal_spans(text: str) -> dict[str, list[Span]]:
                         spans["ip"].append(found.span())
         elif anchor == "at":
             domain = _DOMAIN.match(text, at)
-            low = at
-            while low > resume["email"] and text[low - 1] in _LOCAL:
-                low -= 1
+            low = _name_start(text, at, resume["email"])
             if domain and low < at:
                 spans["email"].append((low, domain.end()))
                 resume["email"] = domain.end()
@@ -143,9 +148,10 @@ def personal_spans(text: str) -> dict[str, list[Span]]:
                 spans["account"].append(found)
                 resume["account"] = found[1]
         elif at >= resume["hidden_email"] and (found := _HIDDEN.match(text, at)):
-            name = _NAME_BEFORE.search(text, max(resume["hidden_email"], at - 256), at)
-            if name:
-                spans["hidden_email"].append((name.start(), found.end()))
+            end = at - (at > resume["hidden_email"] and text[at - 1] == " ")
+            low = _name_start(text, end, resume["hidden_email"])
+            if low < end:
+                spans["hidden_email"].append((low, found.end()))
                 resume["hidden_email"] = found.end()
     return spans
 
