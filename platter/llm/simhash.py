@@ -15,7 +15,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -116,15 +116,42 @@ def simhash_components(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
     """One document of each component, with all its columns; rows without an id are kept as they are.
 
-    Where an id occurs on several rows, one of them stays.
+    Where an id occurs on several rows, each is judged by its own text (see ``first_of_each``).
     """
-    return first_of_each(docs, simhash_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, radius), id_col)
+    found = simhash_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, radius)
+    return first_of_each(docs, found.select(id_col, "component_id", F.col("fp").alias("print")), lambda t: _signed(fingerprint_of(t)), id_col, text_col)
 
 
-def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``found`` (``id_col``, ``component_id``) names first of their component, and those without an id."""
-    heads = reliable(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("__rows")))
-    kept = docs.join(heads.select(id_col), id_col, "left_semi")
-    if heads.filter("__rows > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
-    return kept.select(docs.columns).union(docs.filter(F.col(id_col).isNull()))
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def first_of_each(
+    docs: DataFrame, found: DataFrame, print_of: Callable[[str], int], id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The first row of each component of ``found`` (``id_col``, ``component_id``, ``print``), and the rows without an id.
+
+    The first row has the component's least id. An id on several rows names several candidates: the
+    one of the least ``print`` stays, of rows that agree in both the one with the least text. Prints
+    are computed again for the rows of such ids only.
+    """
+    own = F.when(F.col(id_col) == F.col("component_id"), F.col("print"))
+    ids = reliable(found.groupBy(id_col).agg(F.count(F.lit(1)).alias("__rows"), F.min(own).alias("__print")).filter("__print IS NOT NULL"))
+    kept = docs.join(ids.filter("__rows = 1").select(id_col), id_col, "left_semi").select(docs.columns)
+    repeated = ids.filter("__rows > 1").select(F.col(id_col).alias("__id"), "__print")
+    if repeated.limit(1).count():
+        names = [f"c{k}" for k in range(len(docs.columns))]
+        key, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                prints = [print_of(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                yield batch.append_column("__own", pa.array(prints, pa.int64()))
+
+        rows = docs.toDF(*names)
+        rows = rows.join(repeated, F.col(key) == F.col("__id"))
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", __own long"
+        same = rows.mapInArrow(run, schema).filter("__own = __print")
+        least = same.groupBy(key).agg(F.min_by(F.struct(*names), F.struct(text_or_empty(text), F.col(text).isNotNull())).alias("r"))
+        kept = kept.union(least.select("r.*").toDF(*docs.columns))
+    return kept.union(docs.filter(F.col(id_col).isNull()))

@@ -123,6 +123,17 @@ def test_keep_one_of_each(odd):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "5", "6", "None"]
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    """A copy of document 1 under id 2 goes, the other text under id 2 stays; equal rows of one id leave one."""
+    words = lambda a: " ".join(f"{a}{k}" for k in range(80))
+    rows = [(1, words("x"), "en", "s", 1), (2, words("x"), "en", "s", 2), (2, words("y"), "en", "s", 3), (3, words("z"), "en", "s", 4), (3, words("z"), "en", "s", 5), (4, words("y"), "en", "s", 6)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, component_id string, __rows string, c0 int")
+    for module in (simhash, nearcopies):
+        kept = module.keep_one_of_each(given)
+        assert kept.columns == given.columns
+        assert sorted((r["doc_id"], r["text"][0]) for r in kept.collect()) == [(1, "x"), (2, "y"), (3, "z")]
+
+
 def test_quality_edges(odd):
     got = {r["doc_id"]: r for r in quality.judge(odd).collect()}
     assert got[1]["n_words"] == got[2]["n_words"] == got[3]["n_words"] == 0 and got[1]["base_failed"]
@@ -366,6 +377,8 @@ def test_pii_added_kinds():
     assert found("account no. 12345678, discount 99999999", "account") == ["12345678"]
     assert found("ftp://me:pw@host.example/x", "login") == ["me:pw"]
     assert found("write to jo.doe [at] mail [dot] org", "hidden_email") == ["jo.doe [at] mail [dot] org"]
+    long = "n" * 700
+    assert found(f"x {long} (at) mail (dot) org", "hidden_email") == [f"{long} (at) mail (dot) org"]
 
 
 BASE_SECRETS = {"assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
@@ -735,6 +748,7 @@ def test_near_copies_equal_brute_force(spark, docs, odd):
     label = closure([a for a, _ in rows], links)
     got = nearcopies.similar_components(both, block=4).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((a, label[a]) for a, _ in rows)
+    assert len({(r["component_id"], r["node"]) for r in got}) == len({(r["node"]) for r in got})
     assert len({a for a, b in label.items() if a >= 10_000 and a != b}) > 60
 
 
