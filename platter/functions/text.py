@@ -8,6 +8,7 @@ normalisation and legacy decoding leave the JVM, as Arrow-batched helpers.
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,16 +35,30 @@ SCORE = r"(?<![\d.])(10(?:\.0)?|[0-9](?:\.[0-9])?)(?![\d.])"
 _NO_WORD_BEFORE, _NO_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
+def _each_once(values: pa.Array, change: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``change`` applied to the distinct values of a batch: names repeat a lot."""
+    coded = values.dictionary_encode()
+    return change(coded.dictionary).take(coded.indices)
+
+
 @F.arrow_udf(T.StringType())
 def unescape(texts: pa.Array) -> pa.Array:
     """HTML entities to characters, once."""
-    return pa.array([None if t is None else html.unescape(t) if "&" in t else t for t in texts.to_pylist()], pa.string())
+    plain = lambda own: pa.array([html.unescape(t) if "&" in t else t for t in own.to_pylist()], pa.string())
+    return _each_once(texts, plain)
+
+
+@F.arrow_udf(T.StringType())
+def unescape_twice(texts: pa.Array) -> pa.Array:
+    """HTML entities to characters, and what entities that gives to characters again."""
+    plain = lambda own: pa.array([html.unescape(html.unescape(t)) if "&" in t else t for t in own.to_pylist()], pa.string())
+    return _each_once(texts, plain)
 
 
 @F.arrow_udf(T.StringType())
 def nfkd(texts: pa.Array) -> pa.Array:
     """Unicode compatibility decomposition."""
-    return pc.utf8_normalize(texts, form="NFKD")
+    return _each_once(texts, lambda own: pc.utf8_normalize(own, form="NFKD"))
 
 
 def _decode(raw: bytes) -> str:
@@ -79,7 +94,7 @@ def _alnum(c: Column) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Null as '', entities resolved twice, zero-width spaces dropped, white space collapsed and trimmed."""
-    plain = F.replace(unescape(unescape(F.coalesce(_col(c), F.lit("")))), F.lit("​"), F.lit(""))
+    plain = F.replace(unescape_twice(F.coalesce(_col(c), F.lit(""))), F.lit("​"), F.lit(""))
     return F.trim(F.regexp_replace(plain, r"(?U)[\s ]+", " "))
 
 
@@ -184,7 +199,7 @@ def strip_tags(c: Column | str) -> Column:
     """Page text: scripts dropped, line-ending tags as newlines, other tags as spaces, entities resolved twice."""
     s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
     s = F.regexp_replace(s, r"(?i)<br\s*/?>|</(?:p|tr|div|li|h[1-6]|td|th|b|strong|table|ul|ol|dt|dd)\s*>", "\n")
-    s = unescape(unescape(F.regexp_replace(s, "<[^>]+>", " ")))
+    s = unescape_twice(F.regexp_replace(s, "<[^>]+>", " "))
     s = F.regexp_replace(F.replace(s, F.lit(" "), F.lit(" ")), "[ \t]+", " ")
     return F.regexp_replace(F.regexp_replace(s, r"(?U)\n\s*\n+", "\n"), r"(?U)^\s+|\s+$", "")
 

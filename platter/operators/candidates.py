@@ -18,7 +18,8 @@ def collapse_candidates(rows: DataFrame, base: float = 0.4, per_row: float = 0.2
     """One candidate per loose artist and album: the score with most votes (first seen on ties) and its confidence.
 
     Two grouped levels (key and score, then key) combine on the map side; the second groups by a
-    prefix of the first's key. ``n_captures`` counts rows; ``n_distinct_captures`` counts files.
+    prefix of the first's key. ``n_captures`` counts rows; ``n_distinct_captures`` counts files, as rows
+    of (key, file), so that no key's files are ever gathered.
     """
     order = F.struct("capture_file", "extractor_idx", "pos")
     keyed = loose_keyed(rows).filter("key_artist <> '' AND key_album <> ''")
@@ -34,7 +35,6 @@ def collapse_candidates(rows: DataFrame, base: float = 0.4, per_row: float = 0.2
         F.min(F.when(blank("reviewer").isNotNull(), F.struct(order.alias("o"), "reviewer"))).alias("reviewer"),
         F.min(F.when(blank("blurb").isNotNull(), F.struct(texts.alias("t"), "blurb"))).alias("blurb"),
         F.collect_set("extractor").alias("extractors"),
-        F.collect_set("capture_file").alias("files"),
     )
     joined = votes.groupBy(*keys).agg(
         F.min_by(F.struct("score", "votes"), F.struct((-F.col("votes")).alias("v"), "first")).alias("best"),
@@ -45,8 +45,9 @@ def collapse_candidates(rows: DataFrame, base: float = 0.4, per_row: float = 0.2
         F.min("blurb").alias("blurb"),
         F.array_sort(F.collect_set("score")).alias("scores"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("extractors")))).alias("extractors"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("files")))).cast("long").alias("n_distinct_captures"),
     )
+    files = keyed.groupBy(*keys, "capture_file").agg(F.count(F.lit(1))).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct_captures"))
+    joined = joined.join(files, keys)
     share = F.col("best.votes") / F.col("n")
     confidence = F.least(F.lit(1.0), base + per_row * F.least("n", F.lit(2)) + agreement * share)
     return joined.select(
@@ -76,9 +77,13 @@ def score_disagreements(candidates: DataFrame) -> DataFrame:
 
 
 def compare_to_truth(candidates: DataFrame, truth: DataFrame, tolerance: float = 0.05, order: str | None = None) -> DataFrame:
-    """Truth rows with ``status`` hit, wrong_score or miss; of truth rows with equal keys the last by ``order`` counts."""
-    keyed = loose_keyed(truth)
-    last = F.max_by(F.struct(*truth.columns), F.col(order)) if order else F.max(F.struct(*truth.columns))
+    """Truth rows with ``status`` hit, wrong_score or miss.
+
+    Of truth rows with equal keys the last one counts: by ``order``, or as Spark reads the rows (a file's
+    rows in their order, files by their place in the scan).
+    """
+    keyed = loose_keyed(truth.withColumn("__at", F.col(order) if order else F.monotonically_increasing_id()))
+    last = F.max_by(F.struct(*truth.columns), F.col("__at"))
     keyed = keyed.groupBy("key_artist", "key_album").agg(last.alias("t")).select("key_artist", "key_album", "t.*")
     side = loose_keyed(candidates).groupBy("key_artist", "key_album").agg(F.max(F.struct("confidence", "score")).alias("c"))
     joined = keyed.join(side, ["key_artist", "key_album"], "left")
@@ -127,6 +132,12 @@ def drop_existing(candidates: DataFrame, reviews: DataFrame, allow_duplicates: b
     return keyed.join(reviews.select("_key").filter("_key IS NOT NULL").distinct(), "_key", "left_anti")
 
 
+def already_known(candidates: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Candidates whose album key the corpus has."""
+    keyed = candidates if "_key" in candidates.columns else keyed_candidates(candidates)
+    return keyed.join(reviews.select("_key"), "_key", "left_semi")
+
+
 def candidates_to_reviews(candidates: DataFrame) -> DataFrame:
     """Accepted candidates as review rows; what a page can't tell is null or false."""
     keyed = candidates if "_key" in candidates.columns else keyed_candidates(candidates)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platter.functions.text import url_key
@@ -31,12 +31,21 @@ def filter_captures(index: DataFrame, pattern: str | None = REVIEW_URL, start: i
     return index.filter(keep)
 
 
+def without_recaptures(df: DataFrame) -> DataFrame:
+    """Of captures of one address that follow each other with the same digest, the first.
+
+    A digest that comes back after another one is a change and stays, and so does an equal page at
+    another address.
+    """
+    timeline = Window.partitionBy("original").orderBy("timestamp", "digest")
+    before = df.withColumn("__before", F.lag("digest").over(timeline))
+    return before.filter(~F.col("digest").eqNullSafe(F.col("__before")) | F.col("digest").isNull()).drop("__before")
+
+
 def distinct_captures(df: DataFrame, by_digest: bool = False) -> DataFrame:
-    """``timestamp, url, digest``, one row per timestamp and address (and per digest, the earliest, if asked for)."""
-    rows = df.select("timestamp", F.col("original").alias("url"), "digest")
-    if by_digest:
-        rows = rows.groupBy("digest").agg(F.min(F.struct("timestamp", "url")).alias("c")).select("c.*", "digest")
-    return rows.groupBy("timestamp", "url").agg(F.min("digest").alias("digest"))
+    """``timestamp, url, digest``, one row per timestamp and address; ``by_digest`` drops unchanged re-captures first."""
+    rows = without_recaptures(df) if by_digest else df
+    return rows.groupBy("timestamp", F.col("original").alias("url")).agg(F.min("digest").alias("digest"))
 
 
 def manifest_order(df: DataFrame) -> DataFrame:

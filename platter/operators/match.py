@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platter.functions.text import NUMBER_WORDS, strict_key, tag_occurrences, title_key, title_tokens, want_keys
+from platter.operators.steps import settled
 
 VARIOUS = "variousartists"
 
 
 def prepared_wants(wants: DataFrame) -> DataFrame:
     base = wants.select("want_id", "artist", "album", title_tokens("album").alias("want_tokens"), want_keys("artist").alias("want_keys"))
-    return base.withColumn("various", strict_key("artist") == VARIOUS)
+    named = base.withColumns({"various": strict_key("artist") == VARIOUS, "title": title_key("want_tokens")})
+    return named.withColumn("tags", tag_occurrences("want_tokens"))
 
 
 def prepared_catalogue(catalogue: DataFrame) -> DataFrame:
@@ -32,12 +34,14 @@ def prepared_catalogue(catalogue: DataFrame) -> DataFrame:
     credited = F.array_distinct(F.concat(F.coalesce("credited", F.expr("cast(array() as array<string>)")), F.array(strict_key("line"))))
     full = full.withColumn("credited", F.array_remove(credited, "")).withColumn("tokens", title_tokens("name"))
     compilation = F.coalesce(F.col("album_type") == "compilation", F.lit(False)) | F.array_contains("credited", VARIOUS)
-    return full.withColumn("compilation", compilation).drop("line")
+    return full.withColumns({"compilation": compilation, "title": title_key("tokens"), "tags": tag_occurrences("tokens")}).drop("line")
 
 
-def related(short_or_long: Column, other: Column, least: int = 3) -> Column:
-    """Whether one token multiset holds the other, which has ``least`` words or more, without a volume number extra."""
-    a, b = tag_occurrences(short_or_long), tag_occurrences(other)
+def related(a: Column, b: Column, least: int = 3) -> Column:
+    """Whether one title holds the other, which has ``least`` words or more, without a volume number extra.
+
+    Both are occurrence-tagged (``tag_occurrences``), so that sets of tags are multisets of words.
+    """
     swap = F.size(a) <= F.size(b)
     short, long = F.when(swap, a).otherwise(b), F.when(swap, b).otherwise(a)
     extra = F.transform(F.array_except(long, short), lambda t: F.substring_index(t, "#", 1))
@@ -48,64 +52,69 @@ def related(short_or_long: Column, other: Column, least: int = 3) -> Column:
 def _best(pairs: DataFrame) -> DataFrame:
     """Exact before fuzzy, then the catalogue's order."""
     order = F.struct((F.col("confidence") != "exact").alias("a"), F.col("ordinal").alias("b"), F.col("id").alias("c"))
-    return pairs.groupBy("want_id").agg(F.min_by(F.struct("id", "name", "artists", "confidence", "ordinal"), order).alias("m")).select("want_id", "m.*")
-
-
-def _want_side(wants: DataFrame) -> DataFrame:
-    return wants.withColumn("title", title_key("want_tokens"))
+    return pairs.groupBy("want_id").agg(F.min_by(F.struct("id", "confidence"), order).alias("m")).select("want_id", "m.*")
 
 
-def match_by_artist(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """Verified candidates of ordinary wants: equal titles first; containment only for wants without one."""
-    w = _want_side(wants.filter("NOT various")).withColumn("artist_key", F.explode("want_keys"))
-    c = catalogue.withColumn("title", title_key("tokens")).withColumn("artist_key", F.explode("credited")).filter(F.col("artist_key") != VARIOUS)
-    columns = ["want_id", "id", "name", "artists", "ordinal"]
-    exact = w.filter("title <> ''").join(c, ["artist_key", "title"]).select(columns).dropDuplicates(["want_id", "id"])
-    rest = w.join(exact.select("want_id").distinct(), "want_id", "left_anti")
-    fuzzy = rest.join(c.drop("title"), "artist_key").filter(related(F.col("want_tokens"), F.col("tokens"), least))
-    fuzzy = fuzzy.select(columns).dropDuplicates(["want_id", "id"])
-    return exact.withColumn("confidence", F.lit("exact")).unionByName(fuzzy.withColumn("confidence", F.lit("fuzzy")))
+def _rarest(side: DataFrame, frequency: DataFrame, row: list[str], block: list[str]) -> DataFrame:
+    """Each row's rarest tag within its block."""
+    ranked = side.join(frequency, [*block, "tag"])
+    return ranked.groupBy(*row).agg(F.min(F.struct("n", "tag")).alias("r")).select(*row, F.col("r.tag").alias("tag"))
 
 
-def _rarest(side: DataFrame, frequency: DataFrame, key: str, tokens: str) -> DataFrame:
-    """Each row's rarest token."""
-    each = side.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
-    ranked = each.join(frequency, "token")
-    return ranked.groupBy(key).agg(F.min(F.struct("n", "token")).alias("r")).select(key, F.col("r.token").alias("token"))
+def contained_pairs(wants: DataFrame, catalogue: DataFrame, least: int = 3, block: list[str] | None = None) -> DataFrame:
+    """All (want_id, id) whose titles contain one another, within equal ``block`` columns, without a cross join.
 
+    If one title holds another, the shorter's rarest tag is in the longer: each side's rarest tags
+    meet all tags of the other side, and the pairs found are verified. Sides without ``tags`` get them
+    from ``want_tokens`` and ``tokens``.
+    """
+    block = block or []
+    tagged = lambda df, tokens: F.col("tags") if "tags" in df.columns else tag_occurrences(tokens)
+    w = wants.select("want_id", *block, tagged(wants, "want_tokens").alias("want_tags")).filter(F.size("want_tags") >= least)
+    c = catalogue.select("id", *block, tagged(catalogue, "tokens").alias("tags")).filter(F.size("tags") >= least)
+    w_all = w.select("want_id", *block, F.explode("want_tags").alias("tag"))
+    c_all = c.select("id", *block, F.explode("tags").alias("tag"))
+    both = w_all.select(*block, "tag").unionByName(c_all.select(*block, "tag"))
+    frequency = both.groupBy(*block, "tag").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _rarest(w_all, frequency, ["want_id", *block], block).join(c_all, [*block, "tag"]).select("want_id", "id")
+    other = w_all.join(_rarest(c_all, frequency, ["id", *block], block), [*block, "tag"]).select("want_id", "id")
+    titles = w.select("want_id", "want_tags").dropDuplicates(["want_id"])
+    listed = c.select("id", "tags").dropDuplicates(["id"])
+    found = pairs.unionByName(other).distinct().join(titles, "want_id").join(listed, "id")
+    return found.filter(related(F.col("want_tags"), F.col("tags"), least)).select("want_id", "id")
+
+
+def _both_ways(exact: DataFrame, wants: DataFrame, catalogue: DataFrame, least: int, block: list[str]) -> DataFrame:
+    """Exact pairs, and contained ones of the wants that have none."""
+    exact = settled(exact.distinct())
+    rest = wants.join(exact.select("want_id").distinct(), "want_id", "left_anti")
+    fuzzy = contained_pairs(rest, catalogue, least, block)
+    return exact.withColumn("confidence", F.lit("exact")).unionByName(fuzzy.withColumn("confidence", F.lit("fuzzy")))
 
-def contained_pairs(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """All (want_id, id) whose titles contain one another, without a cross join.
 
-    If one title holds another, the shorter's rarest token is in the longer: each side's rarest tokens
-    meet all tokens of the other side, and the pairs found are verified.
-    """
-    w = wants.select("want_id", "want_tokens").filter(F.size("want_tokens") >= least)
-    c = catalogue.select("id", "tokens").filter(F.size("tokens") >= least)
-    words = w.select(F.explode(F.array_distinct("want_tokens")).alias("token")).unionByName(c.select(F.explode(F.array_distinct("tokens")).alias("token")))
-    frequency = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    w_all = w.select("want_id", F.explode(F.array_distinct("want_tokens")).alias("token"))
-    c_all = c.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
-    pairs = _rarest(w, frequency, "want_id", "want_tokens").join(c_all, "token").select("want_id", "id")
-    pairs = pairs.unionByName(w_all.join(_rarest(c, frequency, "id", "tokens"), "token").select("want_id", "id")).distinct()
-    return pairs.join(w, "want_id").join(c, "id").filter(related(F.col("want_tokens"), F.col("tokens"), least)).select("want_id", "id")
+def match_by_artist(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
+    """Verified pairs (``want_id``, ``id``, ``confidence``) of ordinary wants, within equal artist keys."""
+    w = wants.filter("NOT various").withColumn("artist_key", F.explode("want_keys"))
+    c = catalogue.withColumn("artist_key", F.explode("credited")).filter(F.col("artist_key") != VARIOUS)
+    exact = w.filter("title <> ''").join(c.select("id", "title", "artist_key"), ["artist_key", "title"]).select("want_id", "id")
+    return _both_ways(exact, w, c, least, ["artist_key"])
 
 
 def match_compilations(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """Candidates of wants by the placeholder artist: titles only, among compilations."""
-    w = _want_side(wants.filter("various"))
-    c = catalogue.filter("compilation").withColumn("title", title_key("tokens"))
-    columns = ["want_id", "id", "name", "artists", "ordinal"]
-    exact = w.filter("title <> ''").join(c, "title").select(columns)
-    rest = w.join(exact.select("want_id").distinct(), "want_id", "left_anti")
-    fuzzy = contained_pairs(rest, c, least).join(c, "id").select(columns)
-    return exact.withColumn("confidence", F.lit("exact")).unionByName(fuzzy.withColumn("confidence", F.lit("fuzzy")))
+    """Verified pairs of wants by the placeholder artist: titles only, among compilations."""
+    w, c = wants.filter("various"), catalogue.filter("compilation")
+    exact = w.filter("title <> ''").join(c.select("id", "title"), "title").select("want_id", "id")
+    return _both_ways(exact, w, c, least, [])
 
 
 def best_matches(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """The best catalogue album of each want that has one."""
-    w, c = prepared_wants(wants), prepared_catalogue(catalogue)
-    return _best(match_by_artist(w, c, least).unionByName(match_compilations(w, c, least)))
+    """The best catalogue album of each want that has one.
+
+    Names leave the JVM to be normalised, so both sides are settled first and never normalised again.
+    """
+    w, c = settled(prepared_wants(wants)), settled(prepared_catalogue(catalogue))
+    pairs = pool_candidates(match_by_artist(w, c, least), match_compilations(w, c, least)).join(c.select("id", "ordinal"), "id")
+    return _best(pairs).join(c.select("id", "name", "artists", "ordinal"), "id")
 
 
 def pool_candidates(*frames: DataFrame) -> DataFrame:
@@ -142,12 +151,12 @@ def match_report(wants: DataFrame, matches: DataFrame, best: DataFrame) -> DataF
 def classify_matches(stored: DataFrame) -> DataFrame:
     """Today's verdict on stored matches (``want_id, artist, album, id, name, artists, album_type``): exact, fuzzy or null."""
     c = prepared_catalogue(stored.select(F.col("want_id").alias("id"), "name", "artists", "album_type").withColumn("ordinal", F.lit(0)))
-    side = c.select(F.col("id").alias("want_id"), "credited", "tokens", "compilation")
-    w = prepared_wants(stored).select("want_id", "want_tokens", "want_keys", "various")
+    side = c.select(F.col("id").alias("want_id"), "credited", "title", "tags", "compilation")
+    w = prepared_wants(stored).select("want_id", F.col("title").alias("want_title"), F.col("tags").alias("want_tags"), "want_keys", "various")
     joined = stored.join(w, "want_id").join(side, "want_id")
     artist_fits = F.when(F.col("various"), F.col("compilation")).otherwise(F.arrays_overlap("want_keys", "credited"))
-    equal = (F.size("want_tokens") > 0) & (title_key("want_tokens") == title_key("tokens"))
-    verdict = F.when(equal, "exact").when(related(F.col("want_tokens"), F.col("tokens")), "fuzzy")
+    equal = (F.col("want_title") != "") & (F.col("want_title") == F.col("title"))
+    verdict = F.when(equal, "exact").when(related(F.col("want_tags"), F.col("tags")), "fuzzy")
     return joined.withColumn("verdict", F.when(F.coalesce(artist_fits, F.lit(False)), verdict)).select(*stored.columns, "verdict")
 
 
@@ -176,9 +185,12 @@ def match_summary(report: DataFrame) -> DataFrame:
 
 
 def assign_batches(df: DataFrame, pos: str = "pos", size: int = 100) -> DataFrame:
-    """Delivery batches in order of ``pos`` (unique): range-sorted partitions with their offsets, no global window."""
+    """Delivery batches in order of ``pos`` (unique): range-sorted partitions with their offsets, no global window.
+
+    The ranges come from a sample, so the partitions are settled before they are counted.
+    """
     ranged = df.repartitionByRange(F.col(pos)).sortWithinPartitions(pos)
-    local = ranged.withColumn("__id", F.monotonically_increasing_id())
+    local = settled(ranged.withColumn("__id", F.monotonically_increasing_id()))
     part, row = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     local = local.withColumns({"__part": part, "__row": row})
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

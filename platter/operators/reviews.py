@@ -117,9 +117,10 @@ def fill_genres(reviews: DataFrame, tags: DataFrame, limit: int | None = None) -
         rest = missing.join(chosen.select("id"), "id", "left_anti").unionByName(reviews.filter(~missing_genre()))
     else:
         chosen, rest = missing, reviews.filter(~missing_genre())
-    named = tags.select("artist", "album", "album_tags", "artist_tags")
+    # The rules run once a tag row, not once a review.
     mapped = canonical_genres(F.col("album_tags"), F.col("artist_tags"), F.col("artist"), F.col("album"))
-    joined = chosen.join(named, ["artist", "album"], "left").withColumn("__g", F.nullif(mapped, F.lit("")))
+    named = tags.select("artist", "album", F.nullif(mapped, F.lit("")).alias("__g"))
+    joined = chosen.join(named, ["artist", "album"], "left")
     filled = joined.withColumns(
         {"genres": F.coalesce("__g", "genres"), "genre": F.coalesce(F.substring_index("__g", GENRE_SEPARATOR, 1), "genre"), "filled": F.col("__g").isNotNull()}
     )

@@ -37,6 +37,11 @@ def genre_counts(df: DataFrame) -> DataFrame:
     return exploded_genres(df).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def first_genre_counts(df: DataFrame, null_label: str = "(untagged)") -> DataFrame:
+    """Reviews by their first genre, as the build's summary counts them."""
+    return value_counts(df, "genre", null_label)
+
+
 def value_counts(df: DataFrame, column: str, null_label: str = "(unknown)") -> DataFrame:
     return df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit(null_label)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 

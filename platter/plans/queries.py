@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from platter.operators import candidates, captures, extract, match, reviews as b
 from platter.operators.select import Selection
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
+from platter.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,11 +23,14 @@ SHOWN = ["id", "artist", "album", "score", "review_date"]
 SHOWN_SQL = "id, artist, album, score, review_date"
 
 
-def register(sql: str | None = None) -> Callable[[Query], Query]:
+def register(sql: str | None = None, also: str | None = None) -> Callable[[Query], Query]:
+    """Add a query, and under a second name where an earlier round registered it twice."""
+
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        if sql is not None:
-            ORACLES[query.__name__] = sql
+        for name in filter(None, (query.__name__, also)):
+            QUERIES[name] = query
+            if sql is not None:
+                ORACLES[name] = sql
         return query
 
     return add
@@ -88,16 +93,10 @@ _top("top_per_release_year", "release_year")
 
 def _sorted(name: str, how: str, order: str) -> None:
     def query(spark, sf_dir):
-        return select.run_selection(views.reviews(spark, sf_dir), Selection(sort=how, limit=200)).select(SHOWN)
-
-    query.__name__ = name
-    register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews ORDER BY {order}, id LIMIT 200")(query)
-
-    def every_row(spark, sf_dir):
         return select.run_selection(views.reviews(spark, sf_dir), Selection(sort=how)).select(SHOWN)
 
-    every_row.__name__ = f"full_{name}"
-    register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews WHERE score IS NOT NULL ORDER BY {order}, id")(every_row)
+    query.__name__ = name
+    register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews WHERE score IS NOT NULL ORDER BY {order}, id", also=f"full_{name}")(query)
 
 
 _sorted("sort_score", "score", "score DESC NULLS LAST, artist")
@@ -108,6 +107,12 @@ _sorted("sort_release", "release", "release_year ASC NULLS FIRST, artist ASC NUL
 _sorted("sort_artist", "artist", "lower(artist), lower(album)")
 
 
+@register(f"{REVIEWS_SQL} SELECT {SHOWN_SQL} FROM reviews WHERE score IS NOT NULL ORDER BY score DESC NULLS LAST, artist, id LIMIT 200")
+def top_reviews(spark, sf_dir):
+    """The best 200 reviews: a top-k report."""
+    return select.run_selection(views.reviews(spark, sf_dir), Selection(sort="score", limit=200)).select(SHOWN)
+
+
 @register()
 def sort_random(spark, sf_dir):
     """A repeatable shuffle; SQL engines share no hash, so it is tested for repeatability."""
@@ -144,11 +149,12 @@ def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
   release_year, coalesce(original_year, 0) AS original_year, genres, genre, bnm, bnr, is_new_release, is_reissue,
   CASE WHEN score < 9.8 THEN country END AS country, CASE WHEN score < 9.8 THEN language END AS language,
   CASE WHEN score < 9.8 THEN 'https://reviews.example/r/' || country ELSE '' END AS url, '' AS image,
+  reviewer, blurb, CASE WHEN score < 9.8 THEN 'm' || n_nationkey END AS mbid,
   CASE WHEN score = 0.2 THEN 'variousartists' ELSE {sql_key("artist")} || 'co' END || '|' || {sql_key("album")} AS _key
-  FROM reviews""")
+  FROM reviews JOIN nation ON n_name = country""")
 def build_reviews(spark, sf_dir):
     built = build.build_reviews(raw_reviews(spark, sf_dir), enrichment(spark, sf_dir))
-    return built.withColumn("original_year", F.coalesce("original_year", F.lit(0))).drop("reviewer", "mbid", "blurb")
+    return built.withColumn("original_year", F.coalesce("original_year", F.lit(0)))
 
 
 @register(REVIEWS_SQL + """SELECT id, artist, coalesce(genres, 'Untagged') AS genres, coalesce(genre, 'Untagged') AS genre, NULL::VARCHAR AS mbid FROM reviews""")
@@ -178,24 +184,18 @@ def canonical_genre_tags(spark, sf_dir):
 
 @register(REVIEWS_SQL + "SELECT review_year, max(review_date) AS latest, count(*) AS n FROM reviews WHERE review_year = (SELECT max(review_year) FROM reviews) GROUP BY 1")
 def latest_snapshot(spark, sf_dir):
-    from platter.sources.readers import latest_snapshot as latest
-
-    rows = latest(views.reviews(spark, sf_dir), "review_year")
+    rows = readers.latest_snapshot(views.reviews(spark, sf_dir), "review_year")
     return rows.groupBy("review_year").agg(F.max("review_date").alias("latest"), F.count(F.lit(1)).alias("n"))
 
 
 @register(REVIEWS_SQL + """SELECT '| ' || concat_ws(' | ', score::VARCHAR, artist, album, release_year::VARCHAR, coalesce(genre, '')) || ' |' AS value FROM reviews""")
 def export_markdown(spark, sf_dir):
-    from platter.sources.sinks import export_markdown as rows
-
-    return rows(views.reviews(spark, sf_dir))
+    return sinks.export_markdown(views.reviews(spark, sf_dir))
 
 
 @register(REVIEWS_SQL + "SELECT artist || ' - ' || album AS value, count(*) AS n FROM reviews GROUP BY 1")
 def export_lines(spark, sf_dir):
-    from platter.sources.sinks import export_lines as lines
-
-    return lines(views.reviews(spark, sf_dir)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return sinks.export_lines(views.reviews(spark, sf_dir)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(REVIEWS_SQL + "SELECT id, CASE WHEN bnm THEN 'BNM' WHEN bnr THEN 'BNR' ELSE '' END AS badge FROM reviews")
@@ -222,6 +222,11 @@ def genre_counts(spark, sf_dir):
     return stats.genre_counts(views.reviews(spark, sf_dir))
 
 
+@register(REVIEWS_SQL + "SELECT coalesce(genre, '(untagged)') AS value, count(*) AS n FROM reviews GROUP BY 1")
+def first_genre_counts(spark, sf_dir):
+    return stats.first_genre_counts(views.reviews(spark, sf_dir))
+
+
 @register(REVIEWS_SQL + "SELECT country AS value, count(*) AS n FROM reviews GROUP BY 1")
 def country_counts(spark, sf_dir):
     return stats.value_counts(views.reviews(spark, sf_dir), "country")
@@ -289,7 +294,8 @@ def capture_manifest(spark, sf_dir):
     return captures.manifest_order(_manifest(spark, sf_dir))
 
 
-@register(CAPTURES_SQL + ", one AS (SELECT arg_min(struct_pack(t := timestamp, u := original), (timestamp, original)) AS c, digest FROM filtered GROUP BY digest) SELECT c.t AS timestamp, c.u AS url, digest FROM one")
+@register(CAPTURES_SQL + """, timeline AS (SELECT *, lag(digest) OVER (PARTITION BY original ORDER BY timestamp, digest) AS before FROM filtered)
+SELECT timestamp, original AS url, min(digest) AS digest FROM timeline WHERE before IS DISTINCT FROM digest GROUP BY ALL""")
 def captures_by_digest(spark, sf_dir):
     kept = captures.filter_captures(views.captures_index(spark, sf_dir), "/(en|fr)/", 1997, 2002)
     return captures.distinct_captures(kept, by_digest=True)
@@ -344,92 +350,80 @@ _CANDIDATES = EXTRACTIONS_SQL + r""", keyed AS (SELECT *, regexp_replace(lower(a
   regexp_replace(regexp_replace(lower(album), '\b(the|a|an|ep|lp|and)\b', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS kb FROM extractions),
 votes AS (SELECT ka, kb, score, count(*) AS v, min(capture_file) AS f, any_value(artist) AS artist, any_value(album) AS album, min(review_date_approx) AS m FROM keyed GROUP BY ALL),
 candidates AS (SELECT any_value(artist) AS artist, any_value(album) AS album, arg_min(score, (-v, f)) AS score, sum(v)::BIGINT AS n_captures,
-  max(v) / sum(v) AS share, min(m) AS review_date_approx, count(*) AS n_scores FROM votes GROUP BY ka, kb) """
+  max(v) / sum(v) AS share, min(m) AS review_date_approx, count(*) AS n_scores,
+  array_to_string(list_transform(list_sort(list(score)), lambda x: x::VARCHAR), ' ') AS scores FROM votes GROUP BY ka, kb),
+rated AS (SELECT *, round_even(least(1.0, 0.4 + 0.2 * least(n_captures, 2) + 0.2 * share), 2) AS confidence FROM candidates) """
 
 
 def _collapsed(spark, sf_dir):
     return candidates.collapse_candidates(_extracted(spark, sf_dir))
 
 
-@register(_CANDIDATES + """SELECT artist, album, score, n_captures, review_date_approx, 'anchor_then_score; table_rows' AS extractors, n_scores > 1 AS disputed,
-  round_even(share, 2) AS score_agreement FROM candidates""")
+@register(_CANDIDATES + """SELECT artist, album, score, n_captures, f.n_distinct_captures, review_date_approx, 'anchor_then_score; table_rows' AS extractors,
+  CASE WHEN n_scores > 1 THEN scores END AS score_variants, round_even(share, 2) AS score_agreement, confidence,
+  NULL::VARCHAR AS reviewer, NULL::VARCHAR AS blurb, 'wayback' AS source
+  FROM rated JOIN (SELECT ka, kb, count(DISTINCT capture_file) AS n_distinct_captures FROM keyed GROUP BY ALL) f
+  ON ka = regexp_replace(lower(artist), '[^a-z0-9]+', '', 'g')
+  AND kb = regexp_replace(regexp_replace(lower(album), '\\b(the|a|an|ep|lp|and)\\b', ' ', 'g'), '[^a-z0-9]+', '', 'g')""")
 def collapse_candidates(spark, sf_dir):
+    variants = F.array_join(F.transform("score_variants", lambda x: x.cast("string")), " ").alias("score_variants")
     return _collapsed(spark, sf_dir).select(
-        "artist", "album", "score", "n_captures", "review_date_approx", F.array_join("extractors", "; ").alias("extractors"),
-        F.col("score_variants").isNotNull().alias("disputed"), "score_agreement",
+        "artist", "album", "score", "n_captures", "n_distinct_captures", "review_date_approx", F.array_join("extractors", "; ").alias("extractors"),
+        variants, "score_agreement", "confidence", "reviewer", "blurb", "source",
     )
 
 
+@register(_CANDIDATES + "SELECT artist, album, confidence FROM rated ORDER BY confidence DESC, lower(artist), lower(album)")
+def candidate_order(spark, sf_dir):
+    return candidates.candidate_order(_collapsed(spark, sf_dir)).select("artist", "album", "confidence")
+
+
 @register(_CANDIDATES + "SELECT artist, album FROM candidates WHERE n_scores > 1")
 def score_disagreements(spark, sf_dir):
     return candidates.score_disagreements(_collapsed(spark, sf_dir)).select("artist", "album")
 
 
 def _truth(spark, sf_dir):
-    """Known scores of every third part; some are off, some unknown to the pages."""
-    part = views.table(spark, sf_dir, "part").filter("p_partkey % 3 = 0")
+    """Known scores of all parts; some are off, every tenth album is unknown to the pages."""
+    part = views.table(spark, sf_dir, "part")
     known = part.groupBy("p_brand", "p_name").agg(F.max("p_partkey").alias("k"), F.max_by(F.col("p_size") % 10, "p_partkey").alias("s"))
     album = F.when(F.col("k") % 10 == 0, F.concat(F.lit("Lost "), F.col("p_name"))).otherwise(F.col("p_name"))
-    return known.select(F.upper("p_brand").alias("artist"), album.alias("album"), F.col("s").cast("double").alias("score"), (F.lit(1990) + F.col("k") % 9).cast("int").alias("release_year"))
+    score = (F.col("s") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("double").alias("score")
+    return known.select(F.upper("p_brand").alias("artist"), album.alias("album"), score, (F.lit(1990) + F.col("k") % 9).cast("int").alias("release_year"))
 
 
-_TRUTH = _CANDIDATES + r""", known AS (SELECT p_brand, p_name, max(p_partkey) AS k, arg_max(p_size % 10, p_partkey) AS s FROM part WHERE p_partkey % 3 = 0 GROUP BY ALL),
-truth AS (SELECT upper(p_brand) AS artist, CASE WHEN k % 10 = 0 THEN 'Lost ' || p_name ELSE p_name END AS album, s::DOUBLE AS score, (1990 + k % 9)::INTEGER AS release_year FROM known),
+_TRUTH = _CANDIDATES + r""", known AS (SELECT p_brand, p_name, max(p_partkey) AS k, arg_max(p_size % 10, p_partkey) AS s FROM part GROUP BY ALL),
+truth AS (SELECT upper(p_brand) AS artist, CASE WHEN k % 10 = 0 THEN 'Lost ' || p_name ELSE p_name END AS album,
+  (s + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END)::DOUBLE AS score, (1990 + k % 9)::INTEGER AS release_year FROM known),
 compared AS (SELECT t.*, c.score AS found_score, CASE WHEN c.score IS NULL THEN 'miss' WHEN abs(c.score - t.score) <= 0.05 THEN 'hit' ELSE 'wrong_score' END AS status
   FROM truth t LEFT JOIN candidates c ON lower(c.artist) = lower(t.artist) AND c.album = t.album) """
+#: A share of three votes in four or less is low here, so that the given tables have candidates on both sides.
+_LOW = 0.95
 
 
-@register(_TRUTH + "SELECT * FROM compared")
+@register(_TRUTH + "SELECT * FROM compared", also="compare_to_whole_truth")
 def compare_to_truth(spark, sf_dir):
     return candidates.compare_to_truth(_collapsed(spark, sf_dir), _truth(spark, sf_dir))
 
 
-@register(_TRUTH + """SELECT count(*) FILTER (status = 'hit') AS hits, count(*) FILTER (status = 'wrong_score') AS wrong_scores,
+@register(_TRUTH + f"""SELECT count(*) FILTER (status = 'hit') AS hits, count(*) FILTER (status = 'wrong_score') AS wrong_scores,
   count(*) FILTER (status = 'miss') AS misses, 100.0::DOUBLE * count(*) FILTER (status = 'hit') / count(*) AS recall,
-  (SELECT count(*) FROM candidates) AS candidates, 0::BIGINT AS low_confidence FROM compared""")
+  (SELECT count(*) FROM candidates) AS candidates, (SELECT count(*) FROM rated WHERE confidence < {_LOW}) AS low_confidence FROM compared""",
+  also="validation_scorecard_whole")
 def validation_scorecard(spark, sf_dir):
     found = _collapsed(spark, sf_dir)
-    return candidates.validation_scorecard(candidates.compare_to_truth(found, _truth(spark, sf_dir)), found)
+    return candidates.validation_scorecard(candidates.compare_to_truth(found, _truth(spark, sf_dir)), found, below=_LOW)
 
 
-@register(_TRUTH + "SELECT release_year, count(*) AS n FROM compared WHERE status = 'miss' GROUP BY 1")
+@register(_TRUTH + "SELECT release_year, count(*) AS n FROM compared WHERE status = 'miss' GROUP BY 1", also="misses_by_year_whole")
 def misses_by_year(spark, sf_dir):
     return candidates.misses_by_year(candidates.compare_to_truth(_collapsed(spark, sf_dir), _truth(spark, sf_dir)))
 
 
-@register(_TRUTH + "SELECT c.artist, c.album FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE lower(t.artist) = lower(c.artist) AND t.album = c.album)")
+@register(_TRUTH + f"""SELECT c.artist, c.album FROM rated c WHERE confidence < {_LOW}
+  AND NOT EXISTS (SELECT 1 FROM truth t WHERE lower(t.artist) = lower(c.artist) AND t.album = c.album)""", also="unverified_candidates_whole")
 def unverified_candidates(spark, sf_dir):
-    return candidates.unverified_low_confidence(_collapsed(spark, sf_dir), _truth(spark, sf_dir), below=2.0).select("artist", "album")
-
-
-def _whole_truth(spark, sf_dir):
-    """Known scores of all parts; some are off, every tenth album is unknown to the pages."""
-    part = views.table(spark, sf_dir, "part")
-    known = part.groupBy("p_brand", "p_name").agg(F.max("p_partkey").alias("k"), F.max_by(F.col("p_size") % 10, "p_partkey").alias("s"))
-    album = F.when(F.col("k") % 10 == 0, F.concat(F.lit("Lost "), F.col("p_name"))).otherwise(F.col("p_name"))
-    score = (F.col("s") + F.when(F.col("k") % 4 == 0, 1).otherwise(0)).cast("double").alias("score")
-    return known.select(F.upper("p_brand").alias("artist"), album.alias("album"), score, (F.lit(1990) + F.col("k") % 9).cast("int").alias("release_year"))
-
-
-@register()
-def compare_to_whole_truth(spark, sf_dir):
-    return candidates.compare_to_truth(_collapsed(spark, sf_dir), _whole_truth(spark, sf_dir))
-
-
-@register()
-def validation_scorecard_whole(spark, sf_dir):
-    found = _collapsed(spark, sf_dir)
-    return candidates.validation_scorecard(candidates.compare_to_truth(found, _whole_truth(spark, sf_dir)), found)
-
-
-@register()
-def misses_by_year_whole(spark, sf_dir):
-    return candidates.misses_by_year(compare_to_whole_truth(spark, sf_dir))
-
-
-@register()
-def unverified_candidates_whole(spark, sf_dir):
-    return candidates.unverified_low_confidence(_collapsed(spark, sf_dir), _whole_truth(spark, sf_dir), below=2.0).select("artist", "album")
+    return candidates.unverified_low_confidence(_collapsed(spark, sf_dir), _truth(spark, sf_dir), below=_LOW).select("artist", "album")
 
 
 def _corpus(spark, sf_dir):
@@ -448,6 +442,17 @@ def merge_candidates(spark, sf_dir):
     return added.select("id", "artist", "album", "score", "review_date", "review_year", "bnm", "genres", "_key")
 
 
+@register(_CANDIDATES + f"SELECT artist, album, score FROM rated WHERE confidence >= {_LOW} AND length(album) % 4 <> 0")
+def merge_confident(spark, sf_dir):
+    """Only candidates on which the captures agree are added."""
+    return candidates.merge_candidates(_collapsed(spark, sf_dir), _corpus(spark, sf_dir), min_confidence=_LOW).select("artist", "album", "score")
+
+
+@register(_CANDIDATES + "SELECT artist, album FROM candidates WHERE length(album) % 4 = 0")
+def already_known(spark, sf_dir):
+    return candidates.already_known(_collapsed(spark, sf_dir), _corpus(spark, sf_dir)).select("artist", "album")
+
+
 @register(_MERGED + "SELECT 'wayback__' || _key AS id, artist, album FROM fresh UNION ALL SELECT DISTINCT p_brand || '/' || p_name, p_brand, p_name FROM part WHERE length(p_name) % 4 = 0")
 def append_reviews(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)
@@ -469,75 +474,69 @@ def score_snippets(spark, sf_dir):
 # --- matching ---------------------------------------------------------------------------------------
 
 
-_MATCH = """
-WITH cat AS (SELECT p_partkey AS k, p_partkey::VARCHAR AS id, p_name || ' ' || p_type AS name, p_partkey % 9 = 0 AS comp, p_brand,
-  array_to_string(list_sort(list_filter(string_split(lower(regexp_replace(p_name || ' ' || p_type, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda w: w <> 'the')), ' ') AS title FROM part),
-want AS (SELECT * FROM cat WHERE k % 7 <> 0),
-hits AS (SELECT w.k AS want_id, min(c.k) AS k FROM want w JOIN cat c ON w.title = c.title AND w.comp = c.comp AND (w.comp OR w.p_brand = c.p_brand) GROUP BY 1),
+def _sql_holds(short: str, long: str) -> str:
+    """Whether the tagged title ``long`` holds ``short`` of three words or more, and no other volume's number."""
+    word = "split_part(x, '#', 1)"
+    numbers = ", ".join(f"'{w}'" for w in text.NUMBER_WORDS)
+    return f"""(len({short}) >= 3 AND len({short}) <= len({long}) AND len(list_filter({short}, lambda x: NOT list_contains({long}, x))) = 0
+    AND len(list_filter({long}, lambda x: NOT list_contains({short}, x) AND (regexp_full_match({word}, '[0-9]+') AND {word} <> '1' OR {word} IN ({numbers})))) = 0)"""
+
+
+_TAGGED = "list_transform(title, lambda x, i: x || '#' || (i - list_position(title, x) + 1))"
+
+_MATCH = f"""
+WITH base AS (SELECT p_partkey AS k, p_partkey % 9 = 0 AS comp, p_brand,
+  list_filter(string_split(lower(regexp_replace(p_name || ' ' || p_type, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda w: w <> 'the') AS words FROM part),
+cat AS (SELECT *, {_TAGGED} AS tags FROM (SELECT k, comp, p_brand, list_sort(words) AS title FROM base)),
+want AS (SELECT *, {_TAGGED} AS tags FROM (SELECT k, comp, p_brand, list_sort(CASE WHEN k % 7 = 0 THEN list_concat(['no', 'such'], words) ELSE words END) AS title FROM base)),
+exact AS (SELECT w.k AS want_id, min(c.k) AS k FROM want w JOIN cat c ON w.title = c.title AND w.comp = c.comp AND (w.comp OR w.p_brand = c.p_brand) GROUP BY 1),
+rest AS (SELECT * FROM want WHERE k NOT IN (SELECT want_id FROM exact)),
+beside AS (SELECT w.k AS want_id, w.tags AS wt, c.k, c.tags AS ct FROM rest w JOIN cat c ON w.p_brand = c.p_brand AND NOT w.comp AND NOT c.comp
+  UNION ALL SELECT w.k, w.tags, c.k, c.tags FROM rest w JOIN cat c ON w.comp = c.comp AND w.comp),
+fuzzy AS (SELECT want_id, min(k) AS k FROM beside WHERE {_sql_holds("wt", "ct")} OR {_sql_holds("ct", "wt")} GROUP BY 1),
+hits AS (SELECT *, 'exact' AS confidence FROM exact UNION ALL SELECT *, 'fuzzy' FROM fuzzy),
 tr AS (SELECT l_partkey AS k, arg_min(l_orderkey || '-' || l_linenumber || '-' || l_suppkey, (-(l_quantity::INT), l_orderkey * 8 + l_linenumber, l_orderkey || '-' || l_linenumber || '-' || l_suppkey)) AS track_id,
   max(l_quantity::INT) AS popularity FROM lineitem GROUP BY 1),
-report AS (SELECT c.k AS want_id, h.k AS album, track_id, popularity FROM cat c LEFT JOIN hits h ON c.k = h.want_id LEFT JOIN tr ON tr.k = h.k)
+report AS (SELECT c.k AS want_id, h.k AS album, confidence, track_id, popularity FROM cat c LEFT JOIN hits h ON c.k = h.want_id LEFT JOIN tr ON tr.k = h.k)
 """
 
 
-def _report(spark, sf_dir):
-    wanted = views.wants(spark, sf_dir)
-    matches = match.best_matches(wanted, views.catalogue(spark, sf_dir), least=6)
-    return match.match_report(wanted, matches, match.best_track(views.tracks(spark, sf_dir)))
-
-
 def _fuzzy_report(spark, sf_dir):
-    """As ``_report``, with containment from the operator's three words on."""
+    """Every want with its match: equal titles first, else containment from three words on."""
     wanted = views.wants(spark, sf_dir)
     matches = match.best_matches(wanted, views.catalogue(spark, sf_dir))
     return match.match_report(wanted, matches, match.best_track(views.tracks(spark, sf_dir)))
 
 
-@register()
-def match_report_fuzzy(spark, sf_dir):
-    """The report with both branches of the matching; SQL has no multisets of words, so it is tested by brute force."""
-    return _fuzzy_report(spark, sf_dir).select("want_id", "matched", "confidence", "track_id", F.coalesce("popularity", F.lit(-1)).alias("popularity"))
-
-
-@register()
-def track_list_fuzzy(spark, sf_dir):
-    return match.track_list(_fuzzy_report(spark, sf_dir))
-
-
-@register()
-def match_summary_fuzzy(spark, sf_dir):
-    return match.match_summary(_fuzzy_report(spark, sf_dir))
-
-
-@register()
-def delivery_batches_fuzzy(spark, sf_dir):
-    return match.assign_batches(match.track_list(_fuzzy_report(spark, sf_dir)))
-
-
-@register(_MATCH + "SELECT want_id, track_id IS NOT NULL AS matched, CASE WHEN album IS NOT NULL THEN 'exact' END AS confidence, track_id, coalesce(popularity, -1) AS popularity FROM report")
+@register(_MATCH + "SELECT want_id, track_id IS NOT NULL AS matched, confidence, track_id, coalesce(popularity, -1) AS popularity FROM report", also="match_report_fuzzy")
 def match_report(spark, sf_dir):
     popularity = F.coalesce("popularity", F.lit(-1)).alias("popularity")
-    return _report(spark, sf_dir).select("want_id", "matched", "confidence", "track_id", popularity)
+    return _fuzzy_report(spark, sf_dir).select("want_id", "matched", "confidence", "track_id", popularity)
 
 
-@register(_MATCH + "SELECT track_id, min(want_id) AS pos FROM report WHERE track_id IS NOT NULL GROUP BY 1")
+@register(_MATCH + "SELECT track_id, min(want_id) AS pos FROM report WHERE track_id IS NOT NULL GROUP BY 1", also="track_list_fuzzy")
 def track_list(spark, sf_dir):
-    return match.track_list(_report(spark, sf_dir))
+    return match.track_list(_fuzzy_report(spark, sf_dir))
 
 
-@register(_MATCH + "SELECT count(*) AS albums, count(track_id) AS matched, 0::BIGINT AS fuzzy, count(DISTINCT track_id) AS tracks FROM report")
+@register(_MATCH + "SELECT track_id, min(want_id) AS pos FROM report WHERE track_id IS NOT NULL AND confidence = 'exact' GROUP BY 1")
+def track_list_exact(spark, sf_dir):
+    return match.track_list(_fuzzy_report(spark, sf_dir), exact_only=True)
+
+
+@register(_MATCH + "SELECT count(*) AS albums, count(track_id) AS matched, count(*) FILTER (confidence = 'fuzzy') AS fuzzy, count(DISTINCT track_id) AS tracks FROM report", also="match_summary_fuzzy")
 def match_summary(spark, sf_dir):
-    return match.match_summary(_report(spark, sf_dir))
+    return match.match_summary(_fuzzy_report(spark, sf_dir))
 
 
-@register(_MATCH + ", t AS (SELECT track_id, min(want_id) AS pos FROM report WHERE track_id IS NOT NULL GROUP BY 1) SELECT track_id, pos, (row_number() OVER (ORDER BY pos) - 1)::BIGINT AS ordinal, ((row_number() OVER (ORDER BY pos) - 1) // 100)::BIGINT AS batch FROM t")
+@register(_MATCH + ", t AS (SELECT track_id, min(want_id) AS pos FROM report WHERE track_id IS NOT NULL GROUP BY 1) SELECT track_id, pos, (row_number() OVER (ORDER BY pos) - 1)::BIGINT AS ordinal, ((row_number() OVER (ORDER BY pos) - 1) // 100)::BIGINT AS batch FROM t", also="delivery_batches_fuzzy")
 def delivery_batches(spark, sf_dir):
-    return match.assign_batches(match.track_list(_report(spark, sf_dir)))
+    return match.assign_batches(match.track_list(_fuzzy_report(spark, sf_dir)))
 
 
-@register("SELECT l_partkey::VARCHAR AS album_id, max(l_quantity::INT) AS popularity FROM lineitem GROUP BY 1")
+@register(_MATCH + "SELECT k::VARCHAR AS album_id, track_id, popularity FROM tr")
 def best_track(spark, sf_dir):
-    return match.best_track(views.tracks(spark, sf_dir)).select("album_id", "popularity")
+    return match.best_track(views.tracks(spark, sf_dir)).select("album_id", "track_id", "popularity")
 
 
 @register("SELECT p_brand AS artist, p_name AS album, min(p_partkey) AS pos FROM part GROUP BY ALL")
@@ -563,44 +562,137 @@ def name_keys(spark, sf_dir):
     return part.select("p_partkey", text.album_key("p_brand", "p_name").alias("album_key"), text.strict_key("p_name").alias("strict_key"))
 
 
-@register(r"""SELECT doc_id, regexp_replace(regexp_replace(strip_accents(lower(left(text, 0) || lang || ' ' || source)), '\b(the|a|an|ep|lp|and)\b', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS loose FROM documents""")
+@register(r"""SELECT doc_id, regexp_replace(regexp_replace(lower(lang || ' ' || source), '\b(the|a|an|ep|lp|and)\b', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS loose FROM documents""")
 def loose_keys(spark, sf_dir):
+    """Keys of short names; ``loose_keys_full`` has those of the texts."""
     docs = views.table(spark, sf_dir, "documents")
     return docs.select("doc_id", text.loose_key(F.concat_ws(" ", "lang", "source")).alias("loose"))
 
 
-@register(r"SELECT doc_id, regexp_replace(trim(regexp_replace(text, '[\s]+', ' ', 'g')), ' +', ' ', 'g') AS clean FROM documents WHERE text NOT LIKE '%&%;%'")
-def clean_texts(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").filter("text NOT LIKE '%&%;%'")
-    return docs.select("doc_id", text.clean_text("text").alias("clean"))
-
-
-@register()
-def page_texts(spark, sf_dir):
-    """Text, reviewer and cleaned title of every page; tested against plain Python."""
-    pages = views.table(spark, sf_dir, "pages").select("page_id", text.strip_tags("html").alias("text"))
-    return pages.select("page_id", "text", text.find_reviewer("text").alias("reviewer"), text.clean_field(F.substring("text", 1, 200)).alias("head"))
+def _sql_resolved(value: str) -> str:
+    """``value`` with the entities that the given tables may hold resolved, the ampersand's last."""
+    for entity, plain in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "' '"), ("&amp;", "'&'")):
+        value = f"replace({value}, '{entity}', {plain})"
+    return value
 
 
-@register()
-def clean_texts_full(spark, sf_dir):
-    """All documents, those with entities too; DuckDB can't resolve entities, so it is tested by brute force."""
+@register(rf"SELECT doc_id, trim(regexp_replace({_sql_resolved(_sql_resolved('text'))}, '[\s]+', ' ', 'g')) AS clean FROM documents", also="clean_texts_full")
+def clean_texts(spark, sf_dir):
     return views.table(spark, sf_dir, "documents").select("doc_id", text.clean_text("text").alias("clean"))
 
 
 @register()
 def loose_keys_full(spark, sf_dir):
-    """Keys of the texts themselves; tested by brute force."""
+    """Keys of the texts themselves; tested by brute force, since DuckDB can't decompose letters."""
     return views.table(spark, sf_dir, "documents").select("doc_id", text.loose_key("text").alias("loose"))
 
 
-@register()
-def page_texts_full(spark, sf_dir):
-    """As ``page_texts``, with the field cleaned from the whole text."""
+@register(also="page_texts_full")
+def page_texts(spark, sf_dir):
+    """Text, reviewer and cleaned field of every whole page; tested by brute force."""
     pages = views.table(spark, sf_dir, "pages").select("page_id", text.strip_tags("html").alias("text"))
     return pages.select("page_id", "text", text.find_reviewer("text").alias("reviewer"), text.clean_field("text").alias("head"))
 
 
+@register("""SELECT p_partkey, CASE WHEN try_cast(p_size / 4.0 AS DOUBLE) BETWEEN 0 AND 10 THEN p_size / 4.0 END AS score,
+  NULL::DOUBLE AS named FROM part""")
+def plausible_scores(spark, sf_dir):
+    part = views.table(spark, sf_dir, "part")
+    score = text.plausible_score((F.col("p_size") / 4.0).cast("string")).alias("score")
+    return part.select("p_partkey", score, text.plausible_score("p_name").alias("named"))
+
+
+@register(r"""WITH n AS (SELECT p_partkey::VARCHAR AS id, unnest([p_name, p_brand, ' Home ', p_partkey::VARCHAR, 'a', repeat(p_name, 20), 'see http://x', '--- a1 ---']) AS name FROM part
+  UNION ALL SELECT 'page-' || page_id, url FROM pages)
+SELECT id, name, length(name) BETWEEN 2 AND 140 AND regexp_matches(name, '[A-Za-z]') AND lower(trim(name)) <> 'home' AND lower(name) NOT LIKE '%http%'
+  AND lower(name) NOT LIKE '%copyright%' AND length(regexp_replace(name, '[^A-Za-z]', '', 'g')) >= greatest(2.0, 0.4 * length(name)) AS fine FROM n""")
+def name_verdicts(spark, sf_dir):
+    name = [F.col("p_name"), F.col("p_brand"), F.lit(" Home "), F.col("p_partkey").cast("string"), F.lit("a"), F.repeat("p_name", F.lit(20)), F.lit("see http://x"), F.lit("--- a1 ---")]
+    parts = views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.explode(F.array(*name)).alias("name"))
+    pages = views.table(spark, sf_dir, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("id"), F.col("url").alias("name"))
+    return parts.unionByName(pages).select("id", "name", text.looks_like_name("name").alias("fine"))
+
+
+@register(f"""WITH t AS (SELECT p_partkey, list_sort(string_split(lower(p_name || ' ' || p_name || ' ' || p_type), ' ')) AS title FROM part),
+u AS (SELECT p_partkey, list_sort(string_split(lower(p_name), ' ')) AS title FROM part),
+a AS (SELECT p_partkey, {_TAGGED} AS tags FROM t), b AS (SELECT p_partkey, {_TAGGED} AS other FROM u)
+SELECT p_partkey, array_to_string(list_sort(list_filter(tags, lambda x: NOT list_contains(other, x))), ' ') AS extra FROM a JOIN b USING (p_partkey)""")
+def token_differences(spark, sf_dir):
+    """What a title with a doubled name has beyond the name, as a multiset of words."""
+    longer, shorter = F.split(F.lower(F.concat_ws(" ", "p_name", "p_name", "p_type")), " "), F.split(F.lower("p_name"), " ")
+    part = views.table(spark, sf_dir, "part").select("p_partkey", longer.alias("longer"), shorter.alias("shorter"))
+    return part.select("p_partkey", F.array_join(F.array_sort(text.token_difference("longer", "shorter")), " ").alias("extra"))
+
+
+@register("""SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'russian rock' ELSE replace(lower(p_name), ' ', ',') || ',pop rap' END AS genre FROM part""")
+def filename_genres(spark, sf_dir):
+    name = F.concat(F.lit("lists/"), F.replace("p_name", F.lit(" "), F.lit("__")), F.lit("__Pop_Rap.v2.csv"))
+    path = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("lists/Aquarium_"), F.col("p_partkey").cast("string"), F.lit(".csv"))).otherwise(name)
+    return views.table(spark, sf_dir, "part").select("p_partkey", text.genre_from_filename(path).alias("genre"))
+
+
 @register(f"SELECT page_id, {_URL_KEY} AS url_key FROM pages")
 def url_keys(spark, sf_dir):
     return views.table(spark, sf_dir, "pages").select("page_id", text.url_key("url").alias("url_key"))
+
+
+# --- files: what is written is read back ------------------------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder where the cluster keeps what its nodes share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+_FILED = "id, artist, album, score, review_year, original_year, genres, country, bnm"
+
+
+@register(REVIEWS_SQL + f"SELECT {_FILED} FROM reviews")
+def selection_round_trip(spark, sf_dir):
+    """The review table as tab-separated text."""
+    path = _folder(spark)
+    sinks.write_selection(build.conform(views.reviews(spark, sf_dir)), path)
+    return readers.read_reviews_tsv(spark, path).select(*_FILED.split(", "))
+
+
+@register(REVIEWS_SQL + "SELECT id, kind, snapshot_date FROM reviews, (VALUES ('prepared', '2024-02-01'), ('raw', '2024-03-01')) v(kind, snapshot_date) WHERE (kind = 'raw') = (review_year % 2 = 0)")
+def snapshot_round_trip(spark, sf_dir):
+    """Dated snapshots of two kinds; the latest of each is read, and a second write of a date replaces the first."""
+    path, rows = _folder(spark), views.reviews(spark, sf_dir).select("id", "review_year")
+    sinks.write_snapshot(rows, path, "2024-01-01")
+    for _ in range(2):
+        sinks.write_snapshot(rows.filter("review_year % 2 = 1"), path, "2024-02-01")
+    sinks.write_snapshot(rows.filter("review_year % 2 = 0"), path, "2024-03-01", kind="raw")
+    stored = spark.read.parquet(path)
+    latest = [readers.latest_snapshot(stored, kind=kind) for kind in ("prepared", "raw")]
+    return latest[0].unionByName(latest[1]).select("id", "kind", F.col("snapshot_date").cast("string").alias("snapshot_date"))
+
+
+@register(_CANDIDATES + "SELECT artist, album, score, n_captures, confidence FROM rated")
+def candidates_round_trip(spark, sf_dir):
+    path = _folder(spark)
+    sinks.write_json(_collapsed(spark, sf_dir), path)
+    return readers.read_candidates(spark, path, "artist string, album string, score double, n_captures long, confidence double")
+
+
+def _exported(kind: str, separator: str) -> None:
+    def query(spark, sf_dir):
+        path = _folder(spark)
+        sinks.write_export(views.reviews(spark, sf_dir), path, kind, ["score", "artist", "album", "review_date", "genre", "bnm"])
+        return spark.read.csv(path, sep=separator, header=True, escape='"')
+
+    query.__name__ = f"export_{kind}"
+    register(REVIEWS_SQL + "SELECT score::VARCHAR AS score, artist, album, review_date, genre, bnm::VARCHAR AS bnm FROM reviews")(query)
+
+
+_exported("csv", ",")
+_exported("tsv", "\t")
+
+
+@register(_MATCH + "SELECT want_id::VARCHAR AS want_id, (track_id IS NOT NULL)::VARCHAR AS matched, confidence, track_id FROM report")
+def report_round_trip(spark, sf_dir):
+    """The match report as a file, unmatched wants included."""
+    path = _folder(spark)
+    sinks.write_report(_fuzzy_report(spark, sf_dir).select("want_id", "matched", "confidence", "track_id"), path)
+    return spark.read.csv(path, sep="\t", header=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platter.functions.text import EDITION_DROP, album_key
+from platter.functions.text import EDITION_DROP, album_key_part
 from platter.operators.reviews import new_release_flag, reissue_flag
 
 
@@ -13,9 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, part, supplier, place and customer."""
-    read = lambda name: table(spark, sf_dir, name)
+def joined_lines(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """Line items with their order, part, supplier, place and customer; ``keyed`` adds the names' keys to the small sides."""
+
+    def read(name: str) -> DataFrame:
+        named = {"supplier": "s_name", "part": "p_name"}.get(name) if keyed else None
+        rows = table(spark, sf_dir, name)
+        return rows.withColumn(f"__key_{named}", album_key_part(named)) if named else rows
+
     places = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     sellers = read("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     orders = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -31,8 +36,8 @@ def reviews(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     bnr = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     reissue = reissue_flag(bnr, original, gap)
     tagged = F.col("p_size") % 7 != 0
-    key = [album_key("s_name", "p_name").alias("_key")] if keyed else []
-    return joined_lines(spark, sf_dir).select(
+    key = [F.concat("__key_s_name", F.lit("|"), "__key_p_name").alias("_key")] if keyed else []
+    return joined_lines(spark, sf_dir, keyed).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("id"),
         F.col("s_name").alias("artist"),
         F.col("p_name").alias("album"),

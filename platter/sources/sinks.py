@@ -25,6 +25,12 @@ def export_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in (columns or EXPORT_COLUMNS)])
 
 
+def write_export(df: DataFrame, path: str, kind: str = "csv", columns: list[str] | None = None) -> None:
+    """The export as comma- or tab-separated text with a header; ``kind`` is csv or tsv."""
+    separator = {"csv": ",", "tsv": "\t"}[kind]
+    export_table(df, columns).write.csv(path, sep=separator, header=True, quote='"', escape='"')
+
+
 def export_lines(df: DataFrame) -> DataFrame:
     """Playlist lines ``artist - album``."""
     return df.select(F.concat_ws(" - ", "artist", "album").alias("value"))

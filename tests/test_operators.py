@@ -253,7 +253,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
-    report = queries._fuzzy_report(spark, SMALL).localCheckpoint()
+    report = queries._fuzzy_report(spark, SMALL).checkpoint()
     monkeypatch.setattr(queries, "_fuzzy_report", lambda *_: report)
     cut = lambda df, name, kind: df.withColumn("tokens", text.title_tokens(name)).withColumn("various", kind).collect()
     wanted = cut(views.wants(spark, SMALL), "album", F.col("artist") == "Various Artists")
@@ -273,7 +273,7 @@ def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
         found = [(Counter(c["tokens"]) != Counter(w["tokens"]), c["ordinal"], c["id"]) for c in fits if Counter(c["tokens"]) == Counter(w["tokens"]) or contained(w["tokens"], c["tokens"])]
         kind, track = (("fuzzy" if min(found)[0] else "exact"), tracks.get(min(found)[2])) if found else (None, None)
         want[w["want_id"]] = (track is not None, kind, track and track[2], -track[0] if track else -1)
-    got = {r["want_id"]: tuple(r)[1:] for r in queries.match_report_fuzzy(spark, SMALL).collect()}
+    got = {r["want_id"]: tuple(r)[1:] for r in queries.match_report(spark, SMALL).collect()}
     assert got == want
     fuzzy = {k for k, v in want.items() if v[1] == "fuzzy"}
     assert fuzzy and fuzzy == {k for k in want if k % 7 == 0}
@@ -281,10 +281,10 @@ def test_fuzzy_queries_equal_brute_force(spark, monkeypatch):
     for k in sorted(want):
         if want[k][0]:
             first.setdefault(want[k][2], k)
-    assert {tuple(r) for r in queries.track_list_fuzzy(spark, SMALL).collect()} == set(first.items())
-    assert tuple(queries.match_summary_fuzzy(spark, SMALL).first()) == (len(want), sum(v[0] for v in want.values()), len(fuzzy), len(first))
+    assert {tuple(r) for r in queries.track_list(spark, SMALL).collect()} == set(first.items())
+    assert tuple(queries.match_summary(spark, SMALL).first()) == (len(want), sum(v[0] for v in want.values()), len(fuzzy), len(first))
     order = {t: n for n, t in enumerate(sorted(first, key=first.get))}
-    assert {(r["track_id"], r["ordinal"], r["batch"]) for r in queries.delivery_batches_fuzzy(spark, SMALL).collect()} == {(t, n, n // 100) for t, n in order.items()}
+    assert {(r["track_id"], r["ordinal"], r["batch"]) for r in queries.delivery_batches(spark, SMALL).collect()} == {(t, n, n // 100) for t, n in order.items()}
 
 
 @pytest.mark.parametrize("how, key", [
@@ -302,15 +302,15 @@ def test_whole_texts_equal_brute_force(spark, tmp_path):
     pages = [f"<p>{' ' * n}{'-' * m}Title {n} - by Ann Example</p>" for n, m in ((0, 0), (3, 150), (0, 260))]
     spark.createDataFrame(list(enumerate(pages)), "page_id int, html string").write.parquet(str(tmp_path / "pages.parquet"))
     clean = {k: re.sub(r"\s+", " ", html.unescape(html.unescape(t or ""))).strip() for k, t in enumerate(texts)}
-    assert {r["doc_id"]: r["clean"] for r in queries.clean_texts_full(spark, str(tmp_path)).collect()} == clean
+    assert {r["doc_id"]: r["clean"] for r in queries.clean_texts(spark, str(tmp_path)).collect()} == clean
     plain = [re.sub(r"\(.*?\)", " ", unicodedata.normalize("NFKD", (t or "").lower())) for t in texts]
     loose = {k: re.sub("[^a-z0-9]+", "", re.sub(r"\b(the|a|an|ep|lp|and)\b", " ", t)) for k, t in enumerate(plain)}
     assert {r["doc_id"]: r["loose"] for r in queries.loose_keys_full(spark, str(tmp_path)).collect()} == loose
-    heads = {r["page_id"]: r["head"] for r in queries.page_texts_full(spark, str(tmp_path)).collect()}
+    heads = {r["page_id"]: r["head"] for r in queries.page_texts(spark, str(tmp_path)).collect()}
     assert heads == {0: "Title 0", 1: "Title 3", 2: "Title 0"}
 
 
 def test_whole_truth_has_every_part(spark):
     part = views.table(spark, SMALL, "part").select("p_brand", "p_name").distinct().count()
-    got = Counter(r["status"] for r in queries.compare_to_whole_truth(spark, SMALL).collect())
+    got = Counter(r["status"] for r in queries.compare_to_truth(spark, SMALL).collect())
     assert sum(got.values()) == part and min(got["hit"], got["wrong_score"], got["miss"]) > 0
