@@ -173,9 +173,7 @@ def looks_like_name(c: Column | str) -> Column:
     s = _col(c)
     low = F.trim(F.lower(s))
     letters = F.length(F.regexp_replace(s, r"[^\p{L}]", ""))
-    junk = F.lit(False)
-    for phrase in SUBSTRING_JUNK:
-        junk = junk | low.contains(phrase)
+    junk = low.rlike("|".join(rf"\Q{phrase}\E" for phrase in SUBSTRING_JUNK))
     fine = (
         F.length(s).between(2, 140) & s.rlike("[A-Za-z]") & ~low.isin(EXACT_JUNK) & ~junk
         & (letters >= F.greatest(F.lit(2.0), F.length(s) * F.lit(0.4)))

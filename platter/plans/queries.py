@@ -335,6 +335,15 @@ def extract_records(spark, sf_dir):
     return _extracted(spark, sf_dir).select("capture_file", "capture_timestamp", "review_date_approx", "extractor", "artist", "album", "score")
 
 
+@register("""SELECT '19980301_' || p_partkey AS capture_file, ['meta_comment', 'rating_label', 'heading_score', 'score_out_of_ten'][p_partkey % 4 + 1] AS extractor,
+  p_brand AS artist, p_name AS album, (p_size % 10)::DOUBLE AS score, CASE WHEN p_partkey % 4 < 2 THEN 'Ann Example' END AS reviewer,
+  CASE WHEN p_partkey % 4 = 0 THEN p_type END AS label, '1998-03' AS review_date_approx FROM part""")
+def extract_layouts(spark, sf_dir):
+    """The four layouts that tables of links don't have, a page a part."""
+    found = extract.extracted(extract.extract_records(views.layout_pages(spark, sf_dir)))
+    return found.select("capture_file", "extractor", "artist", "album", "score", "reviewer", "label", "review_date_approx")
+
+
 @register(EXTRACTIONS_SQL + ", c AS (SELECT extractor, count(*) AS n FROM extractions GROUP BY 1) SELECT * FROM c UNION ALL SELECT x, 0 FROM (VALUES ('meta_comment'), ('rating_label'), ('heading_score'), ('score_out_of_ten')) v(x)")
 def rows_per_extractor(spark, sf_dir):
     names = spark.createDataFrame([(e.__name__,) for e in extract.EXTRACTORS], "extractor string")

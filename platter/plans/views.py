@@ -113,6 +113,20 @@ WITH extractions AS (
 """
 
 
+def layout_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per part in one of four old layouts: hidden comment, rating line, heading, score out of ten."""
+    score = F.format_string("%.1f", (F.col("p_size") % 10).cast("double"))
+    line = F.concat("p_brand", F.lit(": "), "p_name")
+    comment = F.concat(F.lit("<!--\n1_artist: "), "p_brand", F.lit("\n2_title: "), "p_name", F.lit("\n3_label: "), "p_type", F.lit("\n4_rating: "), score, F.lit("\n5_author: Ann Example\n-->"))
+    rated = F.concat(F.lit("<p>"), line, F.lit("</p><p>Reviewed by Ann Example, who</p><p>wrote of 1997.</p><p>Rating: "), score, F.lit("</p>"))
+    heading = F.concat(F.lit("<h3>"), line, F.lit("</h3><p>some words.</p><p>"), score, F.lit("</p>"))
+    of_ten = F.concat(F.lit("<p>"), line, F.lit("</p><p>some words.</p><p>"), score, F.lit(" / 10</p>"))
+    kind = F.col("p_partkey") % 4
+    page = F.when(kind == 0, comment).when(kind == 1, rated).when(kind == 2, heading).otherwise(of_ten)
+    stamp = F.lit("19980301").alias("timestamp")
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("19980301_"), F.col("p_partkey").cast("string")).alias("capture_file"), stamp, page.alias("html"))
+
+
 def captures_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a capture index; every fourth one is listed twice, some failed or are no HTML."""
     pages = table(spark, sf_dir, "pages")
