@@ -36,6 +36,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path).toDF(*df.columns)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The text as a string, a null text as the empty one."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -31,6 +31,9 @@ from platter.llm.common import complete_groups, group_edges, reliable
 from platter.llm.components import BLOCK, connected_components, dealt, roots_of, split_hot
 
 
+ROUNDING = 1e-3
+
+
 def rotation(dim: int, index: int, seed: int = 7) -> np.ndarray:
     """The ``index``-th random orthogonal matrix for vectors of ``dim`` numbers."""
     q, r = np.linalg.qr(np.random.default_rng([seed, dim, index]).standard_normal((dim, dim)))
@@ -73,12 +76,17 @@ def correction_factor(unit: np.ndarray, seed: int = 7) -> np.ndarray:
 
 
 def candidate_mask(unit: np.ndarray, code: np.ndarray, factor: np.ndarray, threshold: float, z: float, seed: int = 7) -> np.ndarray:
-    """Which pairs (code row, query row) may reach the threshold by their upper confidence bound."""
+    """Which pairs (code row, query row) may reach the threshold by their upper confidence bound.
+
+    Estimates are single-precision products with the codes, half the price of the exact ones, which
+    only the pairs that remain get; ``ROUNDING`` covers what single precision may lose.
+    """
     dim = unit.shape[1]
-    signs = np.where(code > 0, 1.0, -1.0) / math.sqrt(dim)
-    estimate = signs @ (unit @ rotation(dim, 0, seed)).T / factor[:, None]
+    signs = np.where(code > 0, np.float32(1 / math.sqrt(dim)), np.float32(-1 / math.sqrt(dim)))
+    estimate = signs @ (unit @ rotation(dim, 0, seed)).T.astype(np.float32)
     error = z * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2) / math.sqrt(max(dim - 1, 1))
-    return estimate + error[:, None] >= threshold
+    least = (threshold - error - ROUNDING) * factor  # the estimate's divisor, taken to the other side
+    return estimate >= least.astype(np.float32)[:, None]
 
 
 def vector_components(

@@ -716,6 +716,60 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.select("doc_id").collect()}
 
 
+#: Extra columns with the names that operators use for their own, and whole rows twice.
+CLASH = ["fp", "node", "keys", "spans", "score", "kept", "predicted", "part", "__text", "__print", "h"]
+
+
+@pytest.fixture(scope="module")
+def huge(spark):
+    """Texts of one to three million characters: one word, many words, one line again and again, secrets and mails."""
+    rng = random.Random(18)
+    texts = ["x" * 1_000_000, " ".join(f"word{rng.randrange(50_000)}" for _ in range(200_000)), "the same line of some words here\n" * 40_000,
+             "token = 0123456789abcdef0123 me@host.example 1.2.3.4 " * 20_000, "short", "short", None]
+    rows = [(k, t, "en", "s", len(t or ""), *([k] * len(CLASH))) for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS + "".join(f", `{c}` int" for c in CLASH)).repartition(3)
+
+
+def test_huge_texts_and_clashing_names(spark, huge):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(huge, labels)
+    whole = huge.count()
+    judged = {r["doc_id"]: r for r in quality.judge(huge).collect()}
+    assert len(judged) == whole and judged[1]["n_words"] == 200_000 and judged[2]["n_dup_lines"] == 39_999 and judged[2]["base_failed"]
+    found = {r["doc_id"]: r for r in pii.find_personal_data(huge).collect()}
+    assert (found[3]["n_email"], found[3]["n_ip"], found[0]["n_email"]) == (20_000, 20_000, 0)
+    found = {r["doc_id"]: r for r in secrets.find_secrets(huge).collect()}
+    assert found[3]["n_assign"] == found[3]["n_hex"] == 20_000 and found[0]["n_hex"] == 0
+    prints = {r["doc_id"]: r for r in simhash.simhash_components(huge).collect()}
+    assert len(prints) == whole and prints[5]["component_id"] == 4
+    assert toxicity.score_toxicity(huge, model).count() == whole
+    encoded = {r["doc_id"]: r for r in bpe.encode_decode(huge, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
+    assert encoded[0]["decoded_sha256"] == hashlib.sha256(b"x" * 1_000_000).hexdigest()
+    packed = packing.pack(huge, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    assert packed.select("doc_id").distinct().count() == whole
+    for kept in (toxicity.drop_toxic(huge, model), secrets.redact_secrets(huge), quality.keep_good(huge), simhash.keep_one_of_each(huge), nearcopies.keep_one_of_each(huge)):
+        assert kept.columns == huge.columns and kept.count() <= whole
+    assert sorted(r["doc_id"] for r in nearcopies.keep_one_of_each(huge).collect()) == [0, 1, 2, 3, 4, 6]
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_on_odd_and_empty_tables(spark, odd, tmp_path, rows):
+    text = " ".join(f"word{k}" for k in range(80))
+    good = spark.createDataFrame([(50, text, "en", "s", 1), (50, text, "en", "s", 1), (51, text + " more", "en", None, 1), (None, text, None, "s", None)], DOCS)
+    given = odd.unionByName(good).withColumn("__t", F.lit(1)).withColumn("component_id", F.lit("x"))
+    given = given.limit(0) if rows == "none" else given
+    given.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(50, 0), (1, None), (None, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), None
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+    want = [] if rows == "none" else ["50", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
+    assert sorted({str(r["doc_id"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}) == want
+
+
 def shingle_set(text):
     words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = [w for w in re.split("[\x20\x09-\x0d]+", words) if w]
