@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,7 +110,7 @@ class OutputReader:
 
 def probe_for(*texts: str) -> str:
     """A private-use character that none of ``texts`` holds."""
-    return next(c for c in map(chr, (*PROBES, *range(0xF0000, 0xFFFFE))) if not any(c in t for t in texts))
+    return next(c for c in map(chr, chain(PROBES, range(0xF0000, 0xFFFFE))) if not any(c in t for t in texts))
 
 
 def locate(render: Callable[[list[Turn]], str], before: list[Turn], turn: Turn, shorter: str | None = None) -> tuple[str, int, int] | None:
