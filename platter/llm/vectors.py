@@ -148,10 +148,11 @@ def vector_components(
         "__v", F.when(F.col("__v").isNotNull() & ~bad & ~zero, F.col("__v"))
     )
     usable = rows.filter(F.col("__v").isNotNull())
+    name = [F.xxhash64("__v", F.lit(k)).alias(f"__h{k}") for k in (1, 2)]  # 128 bits name a vector in the last join
     classes = reliable(
         usable.groupBy("__v")
         .agg(F.min(id_col).alias("least"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("class", F.monotonically_increasing_id())
+        .select("*", F.monotonically_increasing_id().alias("class"), *name)
     )
     bits, tables = table_plan(classes.count(), threshold, miss)
 
@@ -242,16 +243,15 @@ def vector_components(
     labels = connected_components(stars.select("u", "v"))
     links = stars.groupBy("u").agg(F.sum("links").alias("links"))
     per_class = (
-        classes.select("class", "least", "copies")
+        classes.select("class", "least", "copies", "__h1", "__h2")
         .join(labels, F.col("class") == labels["node"], "left")
         .join(links, F.col("class") == links["u"], "left")
-        .select("class", "least", "copies", F.coalesce("component", "class").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+        .select("least", "copies", "__h1", "__h2", F.coalesce("component", "class").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     )
     least = per_class.groupBy("label").agg(F.min("least").alias("component_id"))
     settled = per_class.join(least, "label").select(
-        "class", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"
+        "__h1", "__h2", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"
     )
-    settled = classes.select("class", "__v").join(settled, "class").drop("class")
-    linked = usable.join(settled, "__v").select(id_col, "n_links", "component_id")
+    linked = usable.select(id_col, *name).join(settled, ["__h1", "__h2"]).select(id_col, "n_links", "component_id")
     alone = rows.filter(F.col("__v").isNull()).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
