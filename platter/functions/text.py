@@ -55,6 +55,17 @@ def unescape_twice(texts: pa.Array) -> pa.Array:
     return _each_once(texts, plain)
 
 
+@F.arrow_udf(T.StringType())
+def _cleaned(texts: pa.Array) -> pa.Array:
+    """The steps of ``clean_text`` on the distinct values of a batch."""
+
+    def plain(own: pa.Array) -> pa.Array:
+        resolved = (html.unescape(html.unescape(t)) if "&" in t else t for t in own.to_pylist())
+        return pa.array([" ".join(t.replace("\u200b", "").split()) for t in resolved], pa.string())
+
+    return _each_once(texts, plain)
+
+
 @F.arrow_udf(T.StringType())
 def nfkd(texts: pa.Array) -> pa.Array:
     """Unicode compatibility decomposition."""
@@ -94,8 +105,7 @@ def _alnum(c: Column) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Null as '', entities resolved twice, zero-width spaces dropped, white space collapsed and trimmed."""
-    plain = F.replace(unescape_twice(F.coalesce(_col(c), F.lit(""))), F.lit("​"), F.lit(""))
-    return F.trim(F.regexp_replace(plain, r"(?U)[\s ]+", " "))
+    return _cleaned(F.coalesce(_col(c), F.lit("")))
 
 
 def album_key_part(c: Column | str) -> Column:
