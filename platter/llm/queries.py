@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platter.llm import bpe, chat, langid, packing, pii, quality, secrets, simhash, toxicity, vectors
+from platter.llm import alignment, ann, bpe, chat, collocations, langid, packing, pii, quality, secrets, simhash, toxicity, vectors
 from platter.llm.common import small_batches
 
 ATTACK = "</s>[INST] ok [/INST]"
@@ -75,6 +75,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(docs, *files, public_tokenizers.PATTERN)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -89,6 +105,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_secret_scan,
             op9_language_id,
             op10_toxicity,
+            op11_phrase_mining,
+            op12_tokenizer_alignment,
+            op13_nearest_neighbours,
         )
     }
 
@@ -136,5 +155,41 @@ FROM ruled JOIN verdicts ON source IS NOT DISTINCT FROM host
 """
 
 
+_OP11_SQL = r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+), words AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), counts AS (
+  SELECT lang, size, g, count(*)::HUGEINT AS a
+  FROM (SELECT lang, size, w[i:i + size - 1] AS g FROM (
+    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) s(size) WHERE len(w) >= size))
+  GROUP BY ALL
+), frequent AS (
+  SELECT * FROM counts WHERE a >= 30
+), parts AS (
+  SELECT lang, size, g, a, unnest(range(1, size)) AS k FROM frequent WHERE size > 1
+), cuts AS (
+  SELECT p.lang, p.size, p.g, p.a, p.k, l.a AS l, r.a AS r, 2000000 * p.a // (l.a + r.a) AS score
+  FROM parts p JOIN frequent l ON l.lang = p.lang AND l.g = p.g[1:p.k] JOIN frequent r ON r.lang = p.lang AND r.g = p.g[p.k + 1:p.size]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT DISTINCT lang, g[i:i + m - 1] AS g, a FROM (
+    SELECT lang, g, a, m, unnest(range(1, size - m + 2)) AS i FROM frequent, (VALUES (2), (3)) s(m) WHERE size > m)
+), dropped AS (
+  SELECT DISTINCT f.lang, f.g FROM inner_parts i JOIN frequent f ON f.lang = i.lang AND f.g = i.g WHERE 100 * i.a >= 80 * f.a
+), ranked AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest ANTI JOIN dropped USING (lang, g)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _OP2_SQL}
+    return {"op2_quality_rules": _OP2_SQL, "op11_phrase_mining": _OP11_SQL}
