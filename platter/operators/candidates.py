@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platter.operators.steps import settled
 from platter.functions.text import album_key, loose_key
 from platter.operators.reviews import conform, corpus_order
 from platter.schemas import REVIEW
@@ -22,7 +23,7 @@ def collapse_candidates(rows: DataFrame, base: float = 0.4, per_row: float = 0.2
     of (key, file), so that no key's files are ever gathered.
     """
     order = F.struct("capture_file", "extractor_idx", "pos")
-    keyed = loose_keyed(rows).filter("key_artist <> '' AND key_album <> ''")
+    keyed = settled(loose_keyed(rows).filter("key_artist <> '' AND key_album <> ''"))  # two aggregations read the extractors' rows
     keys = ["key_artist", "key_album"]
     blank = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
     names = F.struct((-(F.length("artist") + F.length("album"))).alias("l"), order.alias("o"))

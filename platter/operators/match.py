@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platter.functions.text import NUMBER_WORDS, strict_key, tag_occurrences, title_key, title_tokens, want_keys
+from platter.operators.containment import ITEM, by_rarity, candidates, filed, items
 from platter.operators.steps import settled
 
 VARIOUS = "variousartists"
@@ -49,72 +50,113 @@ def related(a: Column, b: Column, least: int = 3) -> Column:
     return (F.size(short) >= least) & (F.size(F.array_except(short, long)) == 0) & ~volume
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """Exact before fuzzy, then the catalogue's order."""
-    order = F.struct((F.col("confidence") != "exact").alias("a"), F.col("ordinal").alias("b"), F.col("id").alias("c"))
-    return pairs.groupBy("want_id").agg(F.min_by(F.struct("id", "confidence"), order).alias("m")).select("want_id", "m.*")
+def _rows_as_sets(rows: DataFrame, tokens: str, block: list[str], least: int) -> DataFrame:
+    """``block``, ``title`` and ``tags`` of rows with ``least`` words or more; tags come from ``tokens`` where they are missing."""
+    tags = F.col("tags") if "tags" in rows.columns else tag_occurrences(tokens)
+    return rows.select("*", tags.alias("__tags")).filter(F.size("__tags") >= least).select(
+        *[c for c in ("want_id", "id", "ordinal") if c in rows.columns], *block, F.array_join("__tags", " ").alias("title"), F.col("__tags").alias("tags")
+    )
+
+
+def filed_sets(wants: DataFrame, catalogue: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets of both sides (``block``, ``title``, ``tags``) with their words by rarity, settled."""
+    w, c = (side.select(*block, "title", "tags").dropDuplicates([*block, "title"]) for side in (wants, catalogue))
+    ranked = by_rarity(w.select("title", "tags").unionByName(c.select("title", "tags")).dropDuplicates(["title"])).select("title", "rare")
+    return settled(w.join(ranked, "title")), settled(c.join(ranked, "title"))
+
 
+def candidate_sets(w: DataFrame, c: DataFrame, block: list[str], item: int = ITEM) -> DataFrame:
+    """Pairs of sets that may hold one another, before their words are compared: ``block``, ``want``, ``album``, their words."""
+    inside = candidates(filed(w, True, block), filed(c, False, block), block, item)
+    around = candidates(filed(c, True, block), filed(w, False, block), block, item).filter(F.size("small_tags") < F.size("large_tags"))
+    named = [{"small": "want", "large": "album"}, {"small": "album", "large": "want"}]
+    pairs = [p.withColumnsRenamed(n | {f"{k}_tags": f"{v}_tags" for k, v in n.items()}) for p, n in zip((inside, around), named)]
+    return pairs[0].unionByName(pairs[1])
 
-def _rarest(side: DataFrame, frequency: DataFrame, row: list[str], block: list[str]) -> DataFrame:
-    """Each row's rarest tag within its block."""
-    ranked = side.join(frequency, [*block, "tag"])
-    return ranked.groupBy(*row).agg(F.min(F.struct("n", "tag")).alias("r")).select(*row, F.col("r.tag").alias("tag"))
+
+def contained_sets(wants: DataFrame, catalogue: DataFrame, block: list[str], least: int = 3, item: int = ITEM) -> DataFrame:
+    """Titles (``block``, ``want``, ``album``) of which one holds the other; ``least`` is 3 or more (the index relies on it)."""
+    if least < 3:
+        raise ValueError("titles of fewer than three words hold one another by chance")
+    found = candidate_sets(*filed_sets(wants, catalogue, block), block, item)
+    return found.filter(related(F.col("want_tags"), F.col("album_tags"), least)).select(*block, "want", "album")
+
+
+def containment_load(wants: DataFrame, catalogue: DataFrame, least: int = 3, block: list[str] | None = None, item: int = ITEM) -> DataFrame:
+    """One row on what the search does: sets of either side, candidate pairs, and the largest item (sets by sets)."""
+    block = block or []
+    sides = _rows_as_sets(wants, "want_tokens", block, least), _rows_as_sets(catalogue, "tokens", block, least)
+    w, c = filed_sets(*sides, block)
+    both = [items(filed(a, True, block), filed(b, False, block), block, item) for a, b in ((w, c), (c, w))]
+    largest = F.coalesce(F.max(F.ceil(F.col("ns") / F.col("cs")) * F.ceil(F.col("nl") / F.col("cl"))), F.lit(0)).alias("largest_item")
+    pairs = candidate_sets(w, c, block, item).agg(F.count(F.lit(1)).alias("candidates"))
+    sizes = [s.agg(F.count(F.lit(1)).alias(n)) for s, n in ((w, "want_sets"), (c, "album_sets"))]
+    return sizes[0].join(sizes[1]).join(pairs).join(both[0].unionByName(both[1]).agg(largest))  # one row each
 
 
 def contained_pairs(wants: DataFrame, catalogue: DataFrame, least: int = 3, block: list[str] | None = None) -> DataFrame:
-    """All (want_id, id) whose titles contain one another, within equal ``block`` columns, without a cross join.
+    """All (want_id, id) whose titles contain one another, within equal ``block`` columns.
 
-    If one title holds another, the shorter's rarest tag is in the longer: each side's rarest tags
-    meet all tags of the other side, and the pairs found are verified. Sides without ``tags`` get them
-    from ``want_tokens`` and ``tokens``.
+    The search runs over distinct titles; sides without ``tags`` get them from ``want_tokens`` and ``tokens``.
     """
     block = block or []
-    tagged = lambda df, tokens: F.col("tags") if "tags" in df.columns else tag_occurrences(tokens)
-    w = wants.select("want_id", *block, tagged(wants, "want_tokens").alias("want_tags")).filter(F.size("want_tags") >= least)
-    c = catalogue.select("id", *block, tagged(catalogue, "tokens").alias("tags")).filter(F.size("tags") >= least)
-    w_all = w.select("want_id", *block, F.explode("want_tags").alias("tag"))
-    c_all = c.select("id", *block, F.explode("tags").alias("tag"))
-    both = w_all.select(*block, "tag").unionByName(c_all.select(*block, "tag"))
-    frequency = both.groupBy(*block, "tag").agg(F.count(F.lit(1)).alias("n"))
-    pairs = _rarest(w_all, frequency, ["want_id", *block], block).join(c_all, [*block, "tag"]).select("want_id", "id")
-    other = w_all.join(_rarest(c_all, frequency, ["id", *block], block), [*block, "tag"]).select("want_id", "id")
-    titles = w.select("want_id", "want_tags").dropDuplicates(["want_id"])
-    listed = c.select("id", "tags").dropDuplicates(["id"])
-    found = pairs.unionByName(other).distinct().join(titles, "want_id").join(listed, "id")
-    return found.filter(related(F.col("want_tags"), F.col("tags"), least)).select("want_id", "id")
-
-
-def _both_ways(exact: DataFrame, wants: DataFrame, catalogue: DataFrame, least: int, block: list[str]) -> DataFrame:
-    """Exact pairs, and contained ones of the wants that have none."""
-    exact = settled(exact.distinct())
-    rest = wants.join(exact.select("want_id").distinct(), "want_id", "left_anti")
-    fuzzy = contained_pairs(rest, catalogue, least, block)
-    return exact.withColumn("confidence", F.lit("exact")).unionByName(fuzzy.withColumn("confidence", F.lit("fuzzy")))
+    w, c = _rows_as_sets(wants, "want_tokens", block, least), _rows_as_sets(catalogue, "tokens", block, least)
+    found = contained_sets(w, c, block, least)
+    pairs = w.withColumnRenamed("title", "want").join(found, [*block, "want"]).join(c.withColumnRenamed("title", "album"), [*block, "album"])
+    return pairs.select("want_id", "id").distinct()
+
+
+def _search(wants: DataFrame, catalogue: DataFrame, least: int) -> DataFrame:
+    """The first album (``want_id``, ``id``, ``ordinal``, ``confidence``) of each want (``want_id``, ``artist_key``, ``title``, ``tags``).
+
+    Albums with equal words under an artist key are one, the first in the catalogue's order; equal titles
+    come before contained ones.
+    """
+    block = ["artist_key"]
+    first = F.struct("ordinal", "id")
+    albums = settled(catalogue.filter("title <> ''").groupBy(*block, "title").agg(F.min(first).alias("m"), F.first("tags").alias("tags")))
+    wanted = wants.filter("title <> ''")
+    exact = settled(wanted.join(albums.drop("tags"), [*block, "title"]).groupBy("want_id").agg(F.min("m").alias("m")))
+    rest = wanted.join(exact.select("want_id"), "want_id", "left_anti")
+    sides = [_rows_as_sets(side.drop("title"), "tags", block, least) for side in (rest, albums.select("artist_key", "tags", "m.*"))]
+    found = contained_sets(*sides, block, least)
+    best = found.join(sides[1].withColumnRenamed("title", "album"), [*block, "album"]).groupBy(*block, "want").agg(F.min(first).alias("m"))
+    fuzzy = sides[0].withColumnRenamed("title", "want").join(best, [*block, "want"]).groupBy("want_id").agg(F.min("m").alias("m"))
+    both = exact.withColumn("confidence", F.lit("exact")).unionByName(fuzzy.withColumn("confidence", F.lit("fuzzy")))
+    return both.select("want_id", "m.id", "m.ordinal", "confidence")
+
+
+def _want_keys(wants: DataFrame) -> DataFrame:
+    """A row per artist key; wants by the placeholder have it as their only key, and no other want has it."""
+    keys = F.when(F.col("various"), F.array(F.lit(VARIOUS))).otherwise(F.array_remove("want_keys", VARIOUS))
+    return wants.select("want_id", "title", "tags", "various", F.explode(keys).alias("artist_key"))
+
+
+def _album_keys(catalogue: DataFrame) -> DataFrame:
+    """A row per credited key; compilations stand under the placeholder too."""
+    none = F.expr("cast(array() as array<string>)")
+    keys = F.concat(F.array_remove("credited", VARIOUS), F.when(F.col("compilation"), F.array(F.lit(VARIOUS))).otherwise(none))
+    return catalogue.select("id", "ordinal", "title", "tags", F.explode(keys).alias("artist_key"))
 
 
 def match_by_artist(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """Verified pairs (``want_id``, ``id``, ``confidence``) of ordinary wants, within equal artist keys."""
-    w = wants.filter("NOT various").withColumn("artist_key", F.explode("want_keys"))
-    c = catalogue.withColumn("artist_key", F.explode("credited")).filter(F.col("artist_key") != VARIOUS)
-    exact = w.filter("title <> ''").join(c.select("id", "title", "artist_key"), ["artist_key", "title"]).select("want_id", "id")
-    return _both_ways(exact, w, c, least, ["artist_key"])
+    """The first match (``want_id``, ``id``, ``ordinal``, ``confidence``) of ordinary wants, within equal artist keys."""
+    return _search(_want_keys(wants.filter("NOT various")), _album_keys(catalogue).filter(F.col("artist_key") != VARIOUS), least)
 
 
 def match_compilations(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """Verified pairs of wants by the placeholder artist: titles only, among compilations."""
-    w, c = wants.filter("various"), catalogue.filter("compilation")
-    exact = w.filter("title <> ''").join(c.select("id", "title"), "title").select("want_id", "id")
-    return _both_ways(exact, w, c, least, [])
+    """The first match of wants by the placeholder artist: titles only, among compilations."""
+    return _search(_want_keys(wants.filter("various")), _album_keys(catalogue.filter("compilation")).filter(F.col("artist_key") == VARIOUS), least)
 
 
 def best_matches(wants: DataFrame, catalogue: DataFrame, least: int = 3) -> DataFrame:
-    """The best catalogue album of each want that has one.
+    """The best catalogue album of each want that has one: exact before fuzzy, then the catalogue's order.
 
-    Names leave the JVM to be normalised, so both sides are settled first and never normalised again.
+    Both searches run as one, compilations under a key of their own. Names leave the JVM to be
+    normalised, so both sides are settled first and never normalised again.
     """
     w, c = settled(prepared_wants(wants)), settled(prepared_catalogue(catalogue))
-    pairs = pool_candidates(match_by_artist(w, c, least), match_compilations(w, c, least)).join(c.select("id", "ordinal"), "id")
-    return _best(pairs).join(c.select("id", "name", "artists", "ordinal"), "id")
+    return _search(_want_keys(w), _album_keys(c), least).drop("ordinal").join(c.select("id", "name", "artists", "ordinal"), "id")
 
 
 def pool_candidates(*frames: DataFrame) -> DataFrame:

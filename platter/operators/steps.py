@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 
@@ -16,3 +21,17 @@ def settled(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def byte_slices(batch: pa.RecordBatch, columns: tuple[str, ...], budget: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch where the bytes of ``columns`` reach ``budget``: slices share its memory, and a row is never cut."""
+    if not batch.num_rows:
+        return
+    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(c))), 0), dtype=np.int64) for c in columns)
+    before = np.cumsum(sizes) - sizes
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(before, before[start] + budget))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end

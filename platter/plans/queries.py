@@ -685,6 +685,52 @@ def candidates_round_trip(spark, sf_dir):
     return readers.read_candidates(spark, path, "artist string, album string, score double, n_captures long, confidence double")
 
 
+def _json_files(rows: DataFrame, value, path: str, ends: str = "[]", head: str = "", most: int = 2000) -> None:
+    """Files of JSON arrays or objects of some thousand members each."""
+    groups = max(1, -(-rows.count() // most))
+    joined = F.array_join(F.collect_list("v"), ",\n")
+    lines = rows.select(value.alias("v")).groupBy(F.pmod(F.xxhash64("v"), F.lit(groups)).alias("g")).agg(joined.alias("m"))
+    lines.select(F.concat(F.lit(ends[0] + head), "m", F.lit(ends[1])).alias("value")).write.text(path)
+
+
+#: Small, so that one file is read by several tasks in every query.
+_SPLIT = 50_000
+
+
+@register(REVIEWS_SQL + """SELECT id, artist || ' "[x], \\' || album AS title, score, review_year AS "releaseYear", CASE WHEN genres IS NULL THEN 0 ELSE 2 END AS n_genres FROM reviews""")
+def raw_reviews_round_trip(spark, sf_dir):
+    """Raw reviews written as JSON arrays, with quotes and brackets in their titles, and read by byte ranges."""
+    path, rows = _folder(spark), views.reviews(spark, sf_dir)
+    raw = F.struct(
+        "id", F.concat("artist", F.lit(' "[x], \\'), "album").alias("title"), "score", F.col("review_year").alias("releaseYear"), F.split("genres", "; ").alias("genres")
+    )
+    _json_files(rows, F.to_json(raw), path)
+    found = readers.read_reviews_json(spark, path, _SPLIT)
+    return found.select("id", "title", "score", "releaseYear", F.coalesce(F.size("genres"), F.lit(0)).alias("n_genres"))
+
+
+@register("SELECT c_custkey || '/{\"' AS url, n_name AS country, c_mktsegment AS language, 'm' || c_custkey AS mbid FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def enrichment_round_trip(spark, sf_dir):
+    """Facts keyed by address, written as JSON objects and read by byte ranges."""
+    path = _folder(spark)
+    rows = views.table(spark, sf_dir, "customer").join(views.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    url = F.concat(F.col("c_custkey").cast("string"), F.lit('/{"'))
+    facts = F.struct(F.col("n_name").alias("country"), F.col("c_mktsegment").alias("language"), F.concat(F.lit("m"), F.col("c_custkey").cast("string")).alias("mbid"))
+    member = F.to_json(F.create_map(url, facts))
+    _json_files(rows, F.substring(member, F.lit(2), F.length(member) - 2), path, "{}")
+    return readers.read_enrichment_json(spark, path, _SPLIT)
+
+
+@register(CAPTURES_SQL + "SELECT timestamp, original, digest, statuscode, mimetype FROM captures WHERE statuscode = '200' AND timestamp >= '1998' AND timestamp < '2001'")
+def capture_index_round_trip(spark, sf_dir):
+    """A capture index with header rows, filtered while its byte ranges are read."""
+    path = _folder(spark)
+    columns = ["timestamp", "original", "digest", "statuscode", "mimetype"]
+    head = "[" + ",".join(f'"{c}"' for c in columns) + "],"
+    _json_files(views.captures_index(spark, sf_dir), F.to_json(F.array(*columns)), path, head=head)
+    return readers.read_capture_index(spark, path, _SPLIT).filter("statuscode = '200' AND timestamp >= '1998' AND timestamp < '2001'")
+
+
 def _exported(kind: str, separator: str) -> None:
     def query(spark, sf_dir):
         path = _folder(spark)

@@ -11,17 +11,19 @@ from pyspark.sql import types as T
 
 from platter.functions.text import decode_bytes
 from platter.schemas import ENRICHMENT, RAW_REVIEW, REVIEW
+from platter.sources.members import SPLIT_BYTES, capture_index, json_members
 
 
-def read_reviews_json(spark: SparkSession, path: str) -> DataFrame:
-    """Raw reviews: a JSON array of objects with optional fields."""
-    return spark.read.schema(RAW_REVIEW).json(path, multiLine=True)
+def read_reviews_json(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Raw reviews: JSON arrays of objects with optional fields, a file read by a task per ``split_bytes``."""
+    rows = json_members(spark, path, split_bytes)
+    return rows.select(F.from_json("value", RAW_REVIEW).alias("r")).filter("r IS NOT NULL").select("r.*")
 
 
-def read_enrichment_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON object keyed by address as rows ``url, country, language, mbid``."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", ENRICHMENT)).alias("url", "v")).select("url", "v.*")
+def read_enrichment_json(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """JSON objects keyed by address as rows ``url, country, language, mbid``, a file read by a task per ``split_bytes``."""
+    rows = json_members(spark, path, split_bytes)
+    return rows.select(F.explode(F.from_json("value", ENRICHMENT)).alias("url", "v")).select("url", "v.*")
 
 
 def read_reviews_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -52,12 +54,9 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     return files.select("capture_file", F.substring_index("capture_file", "_", 1).alias("timestamp"), decode_bytes(unzipped("content")).alias("html"))
 
 
-def read_capture_index(spark: SparkSession, path: str) -> DataFrame:
-    """A capture index (array of arrays with a header row) as named string columns."""
-    whole = spark.read.text(path, wholetext=True)
-    rows = whole.select(F.explode(F.from_json("value", "array<array<string>>")).alias("r"))
-    names = ("timestamp", "original", "digest", "statuscode", "mimetype")
-    return rows.filter(F.get("r", F.lit(0)) != "timestamp").select(*[F.get("r", F.lit(k)).alias(n) for k, n in enumerate(names)])
+def read_capture_index(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """A capture index (array of arrays with a header row) as named string columns, by byte ranges."""
+    return capture_index(spark, path, split_bytes)
 
 
 def read_candidates(spark: SparkSession, path: str, schema: str) -> DataFrame:

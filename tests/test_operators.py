@@ -2,6 +2,7 @@
 
 import gzip
 import html
+import json
 import random
 import re
 import unicodedata
@@ -314,3 +315,115 @@ def test_whole_truth_has_every_part(spark):
     part = views.table(spark, SMALL, "part").select("p_brand", "p_name").distinct().count()
     got = Counter(r["status"] for r in queries.compare_to_truth(spark, SMALL).collect())
     assert sum(got.values()) == part and min(got["hit"], got["wrong_score"], got["miss"]) > 0
+
+
+# --- byte ranges of JSON, containment by sets, pages by bytes ----------------------------------------
+
+
+def test_json_members_of_every_cut(spark, tmp_path):
+    """Any range size gives the same members: strings with brackets, quotes and runs of backslashes, long and empty members."""
+    from platter.sources import members
+
+    values = [{"a": '"],["'}, [1, [2, {"b": "}{"}]], "x\\\\", '\\"', "é日😀", 7, None, {}, "y" * 300, "\\" * 41, [","]]
+    (tmp_path / "array.json").write_text(json.dumps(values, ensure_ascii=False))
+    (tmp_path / "two.json").write_text(json.dumps(values[:3]) + "\n" + json.dumps(values[3:], indent=2))
+    (tmp_path / "object.json").write_text("﻿" + json.dumps({f"k{n}\"{{": v for n, v in enumerate(values)}, indent=1))
+    (tmp_path / "none.json").write_text(" [ ] ")
+    for size in (1, 2, 3, 7, 64, 1 << 20):
+        for name in ("array", "two"):
+            path, total = str(tmp_path / f"{name}.json"), (tmp_path / f"{name}.json").stat().st_size
+            cuts = [(s, min(s + size, total)) for s in range(0, total, size)]
+            in_string, depth, found = False, 0, []
+            for s, e in cuts:
+                found += members.range_members(path, s, e, in_string, depth)
+                odd, outside, inside = members.range_state(path, s, e)
+                depth, in_string = depth + (inside if in_string else outside), in_string ^ bool(odd)
+            assert [json.loads(m) for m in found] == values and depth == 0 and not in_string
+    got = [json.loads(r[0]) for r in members.json_members(spark, str(tmp_path / "object.json"), 37).collect()]
+    assert sorted(map(repr, got)) == sorted(repr({f"k{n}\"{{": v}) for n, v in enumerate(values))
+    assert members.json_members(spark, str(tmp_path / "none.json"), 2).count() == 0
+    assert members.json_members(spark, str(tmp_path / "array.json"), 100).rdd.getNumPartitions() > 2
+
+
+def test_capture_index_reader_filters(spark, tmp_path):
+    from platter.sources import members
+
+    rows = [[f"{1996 + k % 5}0101", f"http://a/{k}", None if k % 7 == 0 else "D", "200" if k % 3 else "404", "text/html"] for k in range(200)]
+    (tmp_path / "index.json").write_text(json.dumps([["timestamp", "original", "digest", "statuscode", "mimetype"], *rows]))
+    wanted = sorted(tuple(map(str, r)) for r in rows if r[3] == "200" and "1997" <= r[0] < "1999")
+    condition = "statuscode = '200' AND timestamp >= '1997' AND timestamp < '1999' AND original LIKE 'http%'"
+    for pushed in ("true", "false"):
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", pushed)
+        try:
+            index = readers.read_capture_index(spark, str(tmp_path / "index.json"), 500)
+            assert index.rdd.getNumPartitions() > 2
+            assert sorted(tuple(map(str, r)) for r in index.filter(condition).collect()) == wanted
+        finally:
+            spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    reader = members.FilteringReader({"plan": "[]"})
+    left = list(reader.pushFilters([members.EqualTo(("statuscode",), "200"), members.EqualTo(("digest",), "D"), members.LessThan(("timestamp",), "1999")]))
+    assert [f.attribute for f in left] == [("digest",)] and reader.tests == [(3, "=", "200"), (0, "<", "1999")]
+
+
+def test_containment_blocks_and_wide_titles(spark, monkeypatch):
+    """Hot entries cut into small blocks, and titles beyond the width of pairs, lose and repeat nothing."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(12)]
+    title = lambda: rng.sample(words, rng.randint(1, 5)) if rng.random() < 0.8 else [rng.choice(words) for _ in range(rng.randint(15, 40))]
+    w, c = [(k, title()) for k in range(120)], [(k, title()) for k in range(120)]
+    expected = {(a, b) for a, x in w for b, y in c if min(len(x), len(y)) >= 3 and not (Counter(min(x, y, key=len)) - Counter(max(y, x, key=len)))}
+    wants = spark.createDataFrame(w, "want_id int, want_tokens array<string>")
+    albums = spark.createDataFrame(c, "id int, tokens array<string>")
+    sides = match._rows_as_sets(wants, "want_tokens", [], 3), match._rows_as_sets(albums, "tokens", [], 3)
+    found = match.contained_sets(*sides, [], item=3)
+    assert found.count() == found.distinct().count()
+    pairs = sides[0].withColumnRenamed("title", "want").join(found, "want").join(sides[1].withColumnRenamed("title", "album"), "album")
+    assert {(r["want_id"], r["id"]) for r in pairs.collect()} == expected
+    load = match.containment_load(wants, albums, item=3).first()
+    assert load["largest_item"] <= 8 * 8 and load["want_sets"] <= 120
+
+
+def test_containment_grows_with_its_input(spark):
+    """Twenty words for any number of titles: ten times the parts give no more candidates than distinct titles allow."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(20)]
+    title = lambda: " ".join(rng.choices(words, k=rng.randint(3, 5)))
+    loads = []
+    for n in (300, 3000):
+        rows = [(k, title().split()) for k in range(n)]
+        df = spark.createDataFrame(rows, "want_id int, want_tokens array<string>")
+        albums = spark.createDataFrame(rows, "id int, tokens array<string>")
+        loads.append(match.containment_load(df, albums).first())
+    assert loads[1]["want_sets"] <= 3000 and loads[0]["candidates"] < 6 * loads[0]["want_sets"] and loads[1]["candidates"] < 40 * loads[1]["want_sets"]
+    assert loads[1]["largest_item"] <= 1024 * 1024
+
+
+def test_pages_are_cut_by_bytes(spark):
+    from platter.operators import steps
+
+    import pyarrow as pa
+
+    sizes = [10, 5000, 10, 10, 90, 4, 0, 7]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in sizes]), pa.array([None, *"abcdefg"])], ["html", "text"])
+    parts = list(steps.byte_slices(batch, ("html", "text"), 100))
+    assert [p.num_rows for p in parts] == [2, 3, 3] and pa.Table.from_batches(parts).column(0).to_pylist() == batch.column(0).to_pylist()
+    pages = spark.createDataFrame([(*p[:2], p[2] + " " * (k * 3000)) for k, p in enumerate(PAGES * 5)], "capture_file string, timestamp string, html string")
+    whole = extract.extract_records(pages)
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    key = lambda df: sorted(map(repr, df.collect()))
+    assert key(whole) == key(extract.extract_records(pages, slice_bytes=1))
+
+
+def test_interleaved_alternatives(spark):
+    """A record's first fine choice counts, in whatever order an extractor yields them; equal pages stay apart."""
+    from platter.operators.extract import Found
+
+    def mixed(html, body, name):
+        yield Found("5.0", "Second Band: Songs", number=2, choice=1)
+        yield Found("5.0", "First Band: Songs", number=1, choice=1)
+        yield Found("5.0", "search: Home", number=1, choice=0)
+        yield Found("5.0", "Other Band: Tunes", number=2, choice=0)
+
+    pages = spark.createDataFrame([("f", "1997", "x")] * 3, "capture_file string, timestamp string, html string").coalesce(1)
+    got = Counter((r["artist"], r["pos"]) for r in extract.extract_records(pages, [mixed]).collect())
+    assert got == Counter({("First Band", 1): 3, ("Other Band", 2): 3})
