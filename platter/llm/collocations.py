@@ -34,7 +34,7 @@ from platter.llm.common import reliable, text_or_empty, written
 
 LONGEST = 4
 #: Bytes of text that are counted together.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: The bit filter of a length has at most so many bits (32 MB), however many phrases there are.
 FILTER_BITS = 1 << 28
 
