@@ -8,8 +8,10 @@ grouped counts over all pages of the languages that the texts suggest; a host's
 towards its site's, those towards the corpus's, and a page's own text is taken out of its host's counts.
 
 The trigram model is fitted on about ``FIT_DOCS`` documents of known language, those of small hash.
-Edge cases: a null or empty page, address or declaration is no evidence, or evidence of its own kind
-("none declared"); without any labelled document the result is empty of languages (null); null ids
+Trigrams that the fitting sample holds once are left out of it.
+Edge cases: a page without words suggests no language (``text_lang`` null) and is in no count, languages
+that tie share a page's vote (``text_lang`` null); a null or empty address or declaration is evidence of
+its own kind ("none declared"); without any labelled document the result is empty of languages (null); null ids
 and repeated rows are kept; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -139,7 +141,7 @@ def with_counts(evidence: DataFrame, key: str, size: int, name: str, broadcast_k
     of which there are fewer than ``broadcast_keys``; rows of the others meet their counts by a shuffle
     in which no value is large. So no hot host is ever one task.
     """
-    each = F.array(*[F.sum((F.col("guess") == k).cast("double")) for k in range(size)])
+    each = F.array(*[F.sum(F.get("votes", F.lit(k))) for k in range(size)])
     counts = reliable(evidence.groupBy(F.col(key).alias("__key")).agg(each.alias(name), F.count(F.lit(1)).alias("__rows")))
     totals = counts.agg(F.count(F.lit(1)), F.sum("__rows")).first()
     on = F.col(key) == F.col("__key")
@@ -169,22 +171,25 @@ def identify(
     size = len(model.languages)
     names = F.array(*[F.lit(x) for x in model.languages]) if size else F.expr("cast(array() as array<string>)")
     found = text_evidence(pages, model, id_col, url_col, html_col)
-    peak = F.array_position("loglik", F.array_max("loglik")).cast("int") - 1
-    evidence = reliable(found.withColumn("guess", peak))
+    peak = F.array_max("loglik")
+    # Words make every likelihood negative: a page whose best is zero has none, and no vote anywhere.
+    best = F.transform("loglik", lambda x: ((x == peak) & (peak < 0)).cast("double"))
+    shared = F.greatest(F.aggregate(best, F.lit(0.0), lambda a, x: a + x), F.lit(1.0))
+    evidence = found.withColumn("votes", F.transform(best, lambda x: x / shared))  # languages that tie share the vote
+    evidence = reliable(evidence.withColumn("guess", F.array_position("votes", F.lit(1.0)).cast("int") - 1))
     if not size:
         null = F.lit(None)
         return evidence.select(
             id_col, null.cast("string").alias("lang"), null.cast("double").alias("posterior"), null.cast("string").alias("text_lang"),
             "declared", "host", null.cast("double").alias("host_prior"))
 
-    whole = evidence.agg(F.array(*[F.count_if(F.col("guess") == k).cast("double") for k in range(size)]).alias("c"))
+    whole = evidence.agg(F.array(*[F.coalesce(F.sum(F.get("votes", F.lit(k))), F.lit(0.0)) for k in range(size)]).alias("c"))
     whole = reliable(whole.select(_smoothed(F.col("c"), F.array(*[F.lit(1.0 / size)] * size), strength).alias("p")))
     corpus = whole.select("p").scalar()
     joined = evidence
     for key in ("host", "site", "declared", "suffix", "path_code"):
         joined = with_counts(joined, key, size, f"n_{key}", broadcast_keys)
-    own = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: (k == F.col("guess")).cast("double"))
-    less = lambda name: F.zip_with(name, own, lambda n, x: F.greatest(n - x, F.lit(0.0)))
+    less = lambda name: F.zip_with(name, "votes", lambda n, x: F.greatest(n - x, F.lit(0.0)))
     joined = joined.withColumn("__corpus", corpus)
     joined = joined.withColumn("__site", _smoothed(less("n_site"), F.col("__corpus"), strength))
     joined = joined.withColumn("prior", _smoothed(less("n_host"), F.col("__site"), strength))
@@ -200,7 +205,7 @@ def identify(
         id_col,
         F.get(names, at - 1).alias("lang"),
         (F.lit(1.0) / total).alias("posterior"),
-        F.get(names, F.col("guess")).alias("text_lang"),
+        F.when(F.col("guess") >= 0, F.get(names, F.greatest("guess", F.lit(0)))).alias("text_lang"),
         "declared",
         "host",
         F.get("prior", at - 1).alias("host_prior"),

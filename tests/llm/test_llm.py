@@ -541,15 +541,16 @@ def plain_posterior(pages, model, strength=10.0):
         told = re.search(r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]+)", html)
         loglik = model.text(langid._HIDDEN.sub(" ", html), {})
         keys = {"host": host, "site": ".".join(host.split(".")[-2:]), "suffix": host.split(".")[-1], "path_code": code[1] if code else "", "declared": told[1].lower() if told else ""}
-        rows.append((loglik, int(np.argmax(loglik)), keys))
+        votes = (loglik == loglik.max()) * float(loglik.max() < 0)  # none without words; ties share one
+        rows.append((loglik, votes / max(votes.sum(), 1), keys))
     counts = {}
-    for _, guess, keys in rows:
+    for _, votes, keys in rows:
         for key, value in keys.items():
-            counts.setdefault((key, value), np.zeros(size))[guess] += 1
+            counts[key, value] = counts.get((key, value), np.zeros(size)) + votes
     smooth = lambda n, p: (n + strength * p) / (n.sum() + strength)
-    corpus, out = smooth(sum(np.eye(size)[g] for _, g, _ in rows), np.full(size, 1 / size)), []
-    for loglik, guess, keys in rows:
-        less = lambda key: np.maximum(counts[key, keys[key]] - np.eye(size)[guess], 0)  # noqa: B023, E731
+    corpus, out = smooth(sum(votes for _, votes, _ in rows), np.full(size, 1 / size)), []
+    for loglik, votes, keys in rows:
+        less = lambda key: np.maximum(counts[key, keys[key]] - votes, 0)  # noqa: B023, E731
         terms = loglik + np.log(smooth(less("host"), smooth(less("site"), corpus)))
         for key in ("declared", "suffix", "path_code"):
             terms = terms + np.log(smooth(less(key), corpus) / corpus)
@@ -583,6 +584,17 @@ def test_fusion_equals_plain_version(spark, docs, most):
         assert got[key]["lang"] == lang or posterior < 0.51
 
 
+def test_blank_pages_have_no_vote(spark, docs):
+    """A host full of blank pages says nothing; pages of a French host without words are French."""
+    model = langid.fit_trigrams(docs)
+    french = [r["text"] for r in docs.filter("lang = 'fr' AND length(text) > 200").collect()]
+    pages = [(k, "http://one.example/a", f"<p>{french[k % len(french)]}</p>") for k in range(60)]
+    pages += [(100 + k, "http://two.example/b", "<p> 12 </p>") for k in range(60)] + [(200, "http://one.example/c", None)]
+    got = {r["page_id"]: r for r in langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), model).collect()}
+    assert {got[k]["lang"] for k in [*range(60), *range(100, 160), 200]} == {"fr"}
+    assert {got[k]["text_lang"] for k in range(100, 160)} == {None} and got[200]["posterior"] > 0.9
+
+
 def test_language_of_rendered_documents(spark, docs):
     """Labelled documents as pages: the whole text decides; on two letters the other evidence mends what the text gets wrong."""
     rng = random.Random(17)
