@@ -3,10 +3,11 @@
 Documents become token pieces of at most ``capacity`` tokens. Only the histogram of piece lengths
 (at most ``capacity`` numbers) reaches the driver, where the packing is planned: the covering program
 "fewest sequences so that every length is covered as often as it occurs", one variable for each way
-to fill a sequence, is solved by multiplicative weights. Each round prices the lengths by their
+to fill a sequence, is solved by multiplicative weights. Each round prices all lengths that are still short by their
 weights, finds the best configurations by a knapsack dynamic program over the capacity, and lowers
-the weights of the lengths that they cover. The fractional solution is rounded down, the rest is
-solved again on what is left, and the rounding rest goes by best fit, still as counts per length.
+the weights of the lengths that they cover. The same weights solve the dual program and bound the optimum
+from below. The fractional solution is rounded, what remains is solved again, and the rounding rest goes
+by best fit, still as counts per length.
 
 The plan is a table of runs ("these pieces of length L, by rank, go to these sequences at this
 offset"), whose size depends on the number of lengths, not on the documents. Ranks come from
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -36,6 +38,10 @@ from platter.llm.common import reliable, text_or_empty
 
 #: Weights start at this power of the length, which saves the short pieces for the gaps beside long ones.
 TILT = 1.5
+#: How fast a weight falls with the share covered, and the share of its demand that a length may gain in a round.
+RATE, STEP = 6.0, 1.0
+#: Shares of the tokens that rounding leaves to best fit.
+REST = (0.05, 0.1, 0.2)
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -144,7 +150,7 @@ class Knapsack:
                 self.best[n * size :] = np.maximum(self.best[n * size :], gain)
                 self.steps.append((k, n))
                 taken.append(better)
-        self.lengths, self.taken = lengths, taken
+        self.lengths, self.limit, self.taken = lengths, limit, taken
         filled = np.where(np.isfinite(self.best), np.arange(capacity + 1), 0)
         self.fullest = np.maximum.accumulate(filled)
 
@@ -158,69 +164,95 @@ class Knapsack:
         return out
 
 
-def columns_of(price: np.ndarray, lengths: np.ndarray, limit: np.ndarray, capacity: int, wanted: np.ndarray) -> np.ndarray:
-    """Configurations ``[columns, lengths]``, those of the dearest lengths (a token) first.
+def columns_of(table: Knapsack, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Configurations ``[columns, lengths]``, those of the dearest lengths (a token) first, and those that had to
+    leave out a copy because their own length is limited.
 
-    One dynamic program prices them all: for every ``wanted`` length, the dearest of the fullest
-    configurations that hold it.
+    One dynamic program prices them all: for every length, the dearest of the fullest configurations
+    that hold it.
     """
-    table = Knapsack(price, lengths, limit, capacity)
-    order = np.lexsort((-lengths, -price / lengths))
-    order = order[wanted[order]]
-    found = table.fillings(table.fullest[capacity - lengths[order]])
+    order = np.lexsort((-table.lengths, -price / table.lengths))
+    found = table.fillings(table.fullest[capacity - table.lengths[order]])
     found[np.arange(len(order)), order] += 1
-    return found[(found <= limit).all(axis=1)]
+    fits = (found <= table.limit).all(axis=1)
+    return found[fits], np.minimum(found[~fits], table.limit.astype(np.int64))
 
 
 def fractional(
-    lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 24, rate: float = 6.0, block: int = 64, seed: int = 5
-) -> list[tuple[tuple[tuple[int, int], ...], float]]:
-    """Multiplicative weights for the covering program: configurations and how often each is used.
-
-    A length's weight falls with the share of its demand that is covered. Each round prices a block
-    of ``block`` lengths (the least covered quarter and others drawn by what they lack; all of them
-    where there are few) and uses its configurations until no length of the block gains more than
-    half of its demand (or one piece). The rounds end when everything is covered.
+    lengths: np.ndarray, demand: np.ndarray, capacity: int, rate: float = RATE, step: float = STEP
+) -> tuple[list[tuple[tuple[tuple[int, int], ...], float]], float]:
+    """Multiplicative weights for the covering program: configurations with their (fractional) amounts, which cover
+    all demand, and the best lower bound on any solution.
+
+    A length's weight falls with the share of its demand that is covered, so all shares rise together.
+    Each round prices every length that is still short, with one dynamic program, and uses its
+    configurations until no length gains more than ``step`` of its demand, nor more than it lacks:
+    nothing is covered twice, and what a solution wastes is the room in its configurations. Weights
+    over the dearest configuration's price are a solution of the dual program, so each round in which all
+    lengths are short bounds the optimum from below; so do the prices "length / capacity".
     """
-    draw = np.random.default_rng(seed)
-    covered = np.zeros(len(lengths))
+    covered, bound = np.zeros(len(lengths)), float((lengths * demand).sum()) / capacity
     used: dict[tuple[tuple[int, int], ...], float] = {}
-    for _ in range(rounds * max(1, -(-len(lengths) // block))):
-        share = covered / demand
-        weights = lengths**TILT * np.exp(-rate * (share - share.min()))
-        if len(lengths) <= block:
-            some = np.arange(len(lengths))
-        else:
-            low = np.lexsort((-lengths, share))[: block // 4]
-            chance = np.maximum(1 - share, 0.02) 
-            chance[low] = 0
-            some = np.sort(np.concatenate([low, draw.choice(len(lengths), block - len(low), replace=False, p=chance / chance.sum())]))
-        allowed = np.maximum(demand[some] / 2, 1.0)
-        for column in columns_of(weights[some], lengths[some], np.ceil(demand[some]), capacity, share[some] < 1):
-            at = np.flatnonzero(column)
-            times = float((allowed[at] / column[at]).min())
-            if times < 0.25:
-                continue
-            allowed[at] -= times * column[at]
-            key = tuple((int(lengths[some[k]]), int(column[k])) for k in at)
-            used[key] = used.get(key, 0.0) + times
-            covered[some[at]] += times * column[at]
-        if (covered >= demand).all():
+    while True:
+        lack = demand - covered
+        short = np.flatnonzero(lack > 1e-4 * demand)
+        if not len(short):
+            return list(used.items()), bound
+        share = covered[short] / demand[short]
+        weights = lengths[short] ** TILT * np.exp(-rate * (share - share.min()))
+        table = Knapsack(weights, lengths[short], np.ceil(demand[short]), capacity)
+        if len(short) == len(lengths):
+            bound = max(bound, float((weights * demand).sum() / table.best.max()))
+        allowed, before = np.minimum(step * demand[short], lack[short]), covered.sum()
+        for columns in columns_of(table, weights, capacity):
+            if covered.sum() - before > 0.01 * lack.sum():
+                break  # configurations with room to spare only where the others get nowhere
+            for column in columns:
+                at = np.flatnonzero(column)
+                times = float((allowed[at] / column[at]).min())
+                if times > 1e-9 * demand[short[at]].max():
+                    allowed[at] -= times * column[at]
+                    key = tuple((int(lengths[short[k]]), int(column[k])) for k in at)
+                    used[key] = used.get(key, 0.0) + times
+                    covered[short[at]] += times * column[at]
+
+
+def plan(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int, dict[str, float]]:
+    """Runs ``(length, first rank, end rank, first sequence, copies in a sequence, offset)``, the number of sequences,
+    and figures: the program's ``value`` and ``bound``, and the pieces left to best fit (``rest``).
+
+    The program is solved and rounded with each share of ``REST`` left to best fit, until no packing
+    could need fewer sequences; the fewest count, and of equals the smallest share.
+    """
+    full = {size: count for size, count in histogram.items() if count > 0}
+    solved = _program({size: count for size, count in full.items() if size < capacity}, capacity)
+    figures = {"value": sum(amount for _, amount in solved[0]), "bound": solved[1]}
+    least = -(-sum(size * n for size, n in full.items()) // capacity)
+    best: tuple | None = None
+    for share in REST:
+        found = _rounded(full, capacity, solved[0], share)
+        if best is None or found[1] < best[1]:
+            best = found
+        if best[1] <= least:
             break
-    return list(used.items())
+    table, sequences, rest = best
+    return table, sequences, figures | {"rest": rest}
+
+
+def _program(left: dict[int, int], capacity: int) -> tuple[list, float]:
+    lengths = np.array(sorted(size for size, count in left.items() if count), dtype=np.int64)
+    return fractional(lengths, np.array([left[int(size)] for size in lengths], dtype=float), capacity)
 
 
-def plan(histogram: dict[int, int], capacity: int, passes: int = 30) -> tuple[np.ndarray, int, int]:
-    """Runs ``(length, first rank, end rank, first sequence, copies in a sequence, offset)``, the number of
-    sequences, and how many pieces below ``capacity`` best fit had to place.
+def _rounded(histogram: dict[int, int], capacity: int, solved: list, share: float) -> tuple[np.ndarray, int, int]:
+    """The runs, the sequences, and the pieces left to best fit.
 
-    The program is solved and its amounts are rounded down (amounts below one: to one, while pieces are
-    left), configurations with the longest pieces first, until a quarter of the tokens is placed; then
-    what remains is solved again. A pass takes configurations that lack at most as many tokens as there
-    were passes before it. When a pass places less than a tenth of the pieces left, best fit places the
-    rounding rest. The prices "length / capacity" bound the sequences from below by tokens / capacity.
+    The whole parts of the amounts are used, then single uses of configurations while their pieces are
+    left, largest pieces and amounts first; of these only configurations no emptier than the program's
+    mean. What remains is solved again, until ``share`` of the tokens is left (or a pass places
+    little): that rest still has all kinds of lengths, and best fit packs it with little waste.
     """
-    left = {size: count for size, count in histogram.items() if count > 0}
+    left, found = dict(histogram), list(solved)
     taken: dict[int, int] = dict.fromkeys(left, 0)
     runs: list[tuple[int, int, int, int, int, int]] = []
     sequences = 0
@@ -237,44 +269,64 @@ def plan(histogram: dict[int, int], capacity: int, passes: int = 30) -> tuple[np
 
     if left.get(capacity):
         use({capacity: 1}, left[capacity])
-    for turn in range(passes):
-        lengths = np.array(sorted(size for size, count in left.items() if count), dtype=np.int64)
-        before = sum(left.values())
-        if not before:
-            break
-        demand = np.array([left[int(size)] for size in lengths], dtype=float)
-        found = fractional(lengths, demand, capacity, seed=turn)
+    tokens = sum(size * n for size, n in left.items())
+    stop = share * tokens
+    while tokens > stop:
+        before = tokens
         fill = {key: sum(size * n for size, n in key) for key, _ in found}
-        most = max(fill.values(), default=0)
-        tokens, placed = sum(size * n for size, n in left.items()), 0
-        for whole in (True, False):
-            for key, amount in sorted(found, key=lambda c: (fill[c[0]] < most - turn, -c[0][-1][0], -c[1], c[0])):
-                # A configuration with room to spare would waste it in every sequence: the fullest ones only.
-                if fill[key] < most - turn or 4 * placed > tokens:
-                    break
-                times = min([int(amount) if whole else 1, *(left[size] // n for size, n in key)])
-                if times > 0:
+        mean = int(sum(fill[key] * amount for key, amount in found) / max(sum(amount for _, amount in found), 1e-9))
+        found.sort(key=lambda c: (-c[0][-1][0], -c[1], c[0]))
+        for single in (False, True):
+            for key, amount in found:
+                times = min([1 if single else int(amount), *(left[size] // n for size, n in key)])
+                if times > 0 and tokens > stop and (not single or fill[key] >= mean):
                     use(dict(key), times)
-                    placed += times * fill[key]
-        if before - sum(left.values()) < before / 10:
+                    tokens -= times * fill[key]
+        if before - tokens < before / 20:
             break
+        if tokens > stop:
+            found, _ = _program(left, capacity)
     rest = sum(left.values())
-    _best_fit(left, capacity, use)
+    for config, times in best_fit(left, capacity):
+        use(config, times)
     table = np.array(runs, dtype=np.int64).reshape(-1, 6)
     return table[np.lexsort((table[:, 1], table[:, 0]))], sequences, rest
 
 
-def _best_fit(left: dict[int, int], capacity: int, use) -> None:
-    """The rounding rest, largest piece first: the others are chosen so that the sequence is as full as can be."""
-    while any(left.values()):
-        sizes = np.array(sorted(s for s, n in left.items() if n), dtype=np.int64)
-        limit = np.array([left[int(s)] for s in sizes])
-        limit[-1] -= 1
-        table = Knapsack(sizes.astype(float), sizes, limit, capacity - int(sizes[-1]))
-        copies = table.fillings(table.fullest[-1:])[0]
-        copies[-1] += 1
-        config = {int(s): int(n) for s, n in zip(sizes, copies) if n}
-        use(config, min(left[s] // n for s, n in config.items()))
+def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit decreasing on counts: configurations and how often each is used.
+
+    Pieces of a length fill the sequences with the least room for them, as many each as fit; sequences
+    filled alike are one group, so the work depends on the number of lengths and not of pieces.
+    """
+    room: dict[int, list[tuple[dict[int, int], int]]] = {}
+    spaces: list[int] = []  # those of ``room`` in order
+    def put(space: int, config: dict[int, int], times: int) -> None:
+        if times:
+            if space not in room:
+                room[space] = []
+                insort(spaces, space)
+            room[space].append((config, times))
+
+    for size in sorted(histogram, reverse=True):
+        n = histogram[size]
+        while n:
+            at = bisect_left(spaces, size)
+            fresh = at == len(spaces)
+            space = capacity if fresh else spaces[at]
+            config, times = ({}, n) if fresh else room[space].pop()
+            if not fresh and not room[space]:
+                del room[space], spaces[at]
+            most = space // size
+            filled, some = min(n // most, times), 0
+            put(space - most * size, config | {size: most}, filled)
+            n -= filled * most
+            if filled < times and 0 < n < most:
+                put(space - n * size, config | {size: n}, 1)
+                n, some = 0, 1
+            if not fresh:
+                put(space, config, times - filled - some)
+    return [group for space in spaces for group in room[space]]
 
 
 def pack(

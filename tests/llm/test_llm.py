@@ -239,8 +239,8 @@ def test_packing(spark, docs, odd):
 def test_plan_places_every_piece_once():
     rng = random.Random(4)
     histogram = {rng.randint(1, 64): rng.randint(1, 50) for _ in range(40)} | {64: 7}
-    runs, sequences, rest = packing.plan(histogram, 64)
-    assert rest <= 0.1 * sum(histogram.values())
+    runs, sequences, figures = packing.plan(histogram, 64)
+    assert figures["rest"] <= 0.1 * sum(histogram.values())
     load, count = {}, {}
     for size, first, end, start, copies, offset in runs.tolist():
         count[size] = count.get(size, 0) + end - first
@@ -277,9 +277,50 @@ def test_the_program_places_nearly_all_pieces(sf):
         for ids in tokenizer.ids([t for (t,) in texts[start : start + 500]]):
             for _, size in packing.cut(np.append(ids, 0), 2048):
                 histogram[size] = histogram.get(size, 0) + 1
-    _, sequences, rest = packing.plan(histogram, 2048)
-    assert rest <= 0.1 * sum(n for size, n in histogram.items() if size < 2048)
-    assert sequences <= 1.002 * sum(size * n for size, n in histogram.items()) / 2048 + 1
+    _, sequences, figures = packing.plan(histogram, 2048)
+    assert figures["bound"] <= figures["value"] <= 1.02 * figures["bound"]
+    assert figures["rest"] <= 0.5 * sum(n for size, n in histogram.items() if size < 2048)
+    plain = sum(times for _, times in packing.best_fit(histogram, 2048))
+    assert sequences <= plain and sequences <= {"sf0.001": 96, "sf0.01": 481, "sf0.1": 4936}[sf]
+
+
+def test_program_covers_and_is_bounded():
+    """Every solution covers all demand, its configurations fit, and the bound holds for the best integer packing found."""
+    rng = np.random.default_rng(6)
+    for trial in range(20):
+        lengths = np.sort(rng.choice(np.arange(1, 41), size=int(rng.integers(1, 12)), replace=False))
+        demand = rng.integers(1, [3, 50, 10**9][trial % 3], size=len(lengths)).astype(float)
+        found, bound = packing.fractional(lengths, demand, 40)
+        covered = dict.fromkeys(lengths.tolist(), 0.0)
+        for key, amount in found:
+            assert sum(size * n for size, n in key) <= 40 and amount > 0
+            for size, n in key:
+                covered[size] += n * amount
+        assert all(covered[size] >= (1 - 2e-4) * d for size, d in zip(lengths.tolist(), demand))
+        packed = packing.best_fit(dict(zip(lengths.tolist(), demand.astype(int).tolist())), 40)
+        assert bound <= sum(times for _, times in packed) + 1e-6
+
+
+def test_best_fit_on_counts_equals_pieces():
+    """Groups of equal sequences give what placing piece by piece gives."""
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        histogram = {int(s): int(rng.integers(1, 9)) for s in rng.choice(np.arange(1, 31), size=int(rng.integers(1, 9)), replace=False)}
+        groups = packing.best_fit(histogram, 30)
+        used = {}
+        for config, times in groups:
+            assert config and times > 0 and sum(s * n for s, n in config.items()) <= 30
+            for s, n in config.items():
+                used[s] = used.get(s, 0) + n * times
+        room = []
+        for size in sorted(histogram, reverse=True):
+            for _ in range(histogram[size]):
+                fits = [k for k, r in enumerate(room) if r >= size]
+                if fits:
+                    room[min(fits, key=room.__getitem__)] -= size
+                else:
+                    room.append(30 - size)
+        assert used == histogram and sum(times for _, times in groups) == len(room)
 
 
 def test_bpe_equals_library(docs, odd):
