@@ -26,6 +26,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,29 +65,35 @@ class SpanMemory:
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.sizes, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and ends (within their words) one after another, and how many each word has."""
+        """Ids and ends (from the start of ``words``) one after another, and how many each word has.
+
+        ``encode`` gives for every word its ids, their ends within it and its length.
+        """
         if len(self.ids) > self.most:
             self._reset()
         fresh = [w for w in dict.fromkeys(words) if w not in self.index]
         if fresh:
             made = self.encode(fresh)
-            sizes = np.fromiter((len(ids) for ids, _ in made), np.int64, len(made))
+            flat, ends, lengths = zip(*made)
+            sizes = np.fromiter(map(len, flat), np.int64, len(made))
             self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, *(np.array(ids, np.int64) for ids, _ in made)])
-            self.ends = np.concatenate([self.ends, *(np.array(ends, np.int64) for _, ends in made)])
+            self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(flat), np.int64, int(sizes.sum()))])
+            self.ends = np.concatenate([self.ends, np.fromiter(chain.from_iterable(ends), np.int64, int(sizes.sum()))])
         rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[rows]
         place = np.arange(sizes.sum()) + np.repeat(self.starts[rows] - np.cumsum(sizes) + sizes, sizes)
-        return self.ids[place], self.ends[place], sizes
+        before = np.cumsum(self.lengths[rows]) - self.lengths[rows]
+        return self.ids[place], self.ends[place] + np.repeat(before, sizes), sizes
 
 
 class SideA:
-    """The byte-level tokenizer: ids, coarse character ends, bytes of every id."""
+    """The byte-level tokenizer: ids, coarse ends in characters, bytes of every id."""
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
@@ -101,22 +108,16 @@ class SideA:
         self.table = _byte_table(entries)
         self.split, self.memory = splitter(pattern), SpanMemory(self._encode)
 
-    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
+    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int], int]]:
         made = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [(m.ids, [end for _, end in m.offsets]) for m in made]
+        return [(m.ids, [end for _, end in m.offsets], len(w)) for w, m in zip(words, made)]
 
     def words(self, text: str) -> list[str]:
         return self.split(" " + text)
 
-    def spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, ends in characters from the start of ``words``, and how many each word has."""
-        ids, ends, sizes = self.memory.spans(words)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        return ids, ends + np.repeat(np.cumsum(lengths) - lengths, sizes), sizes
-
 
 class SideB:
-    """The sentencepiece tokenizer: ids, coarse byte ends, bytes of every id."""
+    """The sentencepiece tokenizer: ids, coarse ends in bytes, bytes of every id."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -131,27 +132,22 @@ class SideB:
         self.table, self.space = _byte_table(entries), model.piece_to_id("▁")
         self.memory = SpanMemory(self._encode)
 
-    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
+    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int], int]]:
         """Of words that start with a space, which the model adds to what it is given."""
         made = self.model.encode([w[1:] for w in words], return_type="proto", num_threads=1)
         out = []
         for word, proto in zip(words, made):
             if word == " ":
-                out.append(([self.space], [1]))
+                out.append(([self.space], [1], 1))
             else:
                 pieces = proto.pieces
-                out.append(([p.id for p in pieces], [p.end + 1 for p in pieces]))
+                size = len(word) if word.isascii() else len(word.encode())
+                out.append(([p.id for p in pieces], [p.end + 1 for p in pieces], size))
         return out
 
     def words(self, text: str) -> list[str]:
         return _CHUNK.findall(" " + text)
 
-    def spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, ends in bytes from the start of ``words``, and how many each word has."""
-        ids, ends, sizes = self.memory.spans(words)
-        lengths = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), np.int64, len(words))
-        return ids, ends + np.repeat(np.cumsum(lengths) - lengths, sizes), sizes
-
 
 def refined(ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Exact byte ends from coarse ones: a token that does not span as many bytes as it decodes to ends where
@@ -180,7 +176,7 @@ class Groups:
     """The groups of one text: ids and group numbers of both sides."""
 
     def __init__(self, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray):
-        cuts = np.intersect1d(a_ends, b_ends)
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         self.count, self.a, self.b = len(cuts), a, b
         self.ga, self.gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
         self.na, self.nb = np.bincount(self.ga, minlength=self.count), np.bincount(self.gb, minlength=self.count)
@@ -235,7 +231,7 @@ class Aligner:
         for side in (self.a, self.b):
             words = [side.words(t) if t else [] for t in texts]
             counts = np.fromiter(map(len, words), np.int64, len(words))
-            ids, ends, sizes = side.spans([w for own in words for w in own])
+            ids, ends, sizes = side.memory.spans([w for own in words for w in own])
             edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
             sides.append((ids, ends, edges))
         shift = [0, 0]
@@ -342,7 +338,7 @@ def align(
         f"row long, `{id_col}` {kind}, {', '.join(f'{c} long' for c in numbers)}, groups_sha256 string, "
         "heavy_sum long, heavy_best long, pairs array<long>, links array<long>"
     )
-    ready = linked.select("row", id_col, *numbers, "groups_sha256", "pairs", "links").mapInArrow(look_up, schema)
+    ready = written(linked.select("row", id_col, *numbers, "groups_sha256", "pairs", "links").mapInArrow(look_up, schema))
     light = ready.select("row", F.explode(F.arrays_zip("pairs", "links")).alias("p")).select("row", "p.pairs", "p.links")
     joined = light.join(counts.filter(~is_heavy).withColumnRenamed("pair", "pairs"), "pairs")
     sums = joined.groupBy("row").agg(
