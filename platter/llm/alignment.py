@@ -24,9 +24,10 @@ from __future__ import annotations
 
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +59,12 @@ def _byte_letters() -> dict[str, int]:
 class SpanMemory:
     """Ids and span ends of words, each encoded once while at most ``most`` ids are remembered."""
 
-    def __init__(self, encode, most: int = 2_000_000):
+    def __init__(self, encode, most: int = 4_000_000):
         self.encode, self.most = encode, most
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = defaultdict(count().__next__)  # an unknown word gets the next number
         self.ids, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.starts, self.sizes, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -74,18 +75,16 @@ class SpanMemory:
         """
         if len(self.ids) > self.most:
             self._reset()
-        fresh = [w for w in dict.fromkeys(words) if w not in self.index]
+        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        fresh = len(self.index) - len(self.starts)
         if fresh:
-            made = self.encode(fresh)
-            flat, ends, lengths = zip(*made)
-            sizes = np.fromiter(map(len, flat), np.int64, len(made))
-            self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
+            flat, ends, lengths = zip(*self.encode(list(islice(reversed(self.index), fresh))[::-1]))
+            sizes = np.fromiter(map(len, flat), np.int64, fresh)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(flat), np.int64, int(sizes.sum()))])
             self.ends = np.concatenate([self.ends, np.fromiter(chain.from_iterable(ends), np.int64, int(sizes.sum()))])
-        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[rows]
         place = np.arange(sizes.sum()) + np.repeat(self.starts[rows] - np.cumsum(sizes) + sizes, sizes)
         before = np.cumsum(self.lengths[rows]) - self.lengths[rows]
@@ -140,9 +139,8 @@ class SideB:
             if word == " ":
                 out.append(([self.space], [1], 1))
             else:
-                pieces = proto.pieces
-                size = len(word) if word.isascii() else len(word.encode())
-                out.append(([p.id for p in pieces], [p.end + 1 for p in pieces], size))
+                ids, ends = zip(*[(p.id, p.end + 1) for p in proto.pieces])
+                out.append((ids, ends, len(word) if word.isascii() else len(word.encode())))
         return out
 
     def words(self, text: str) -> list[str]:
