@@ -11,7 +11,8 @@ search is exact.
 
 The work is dealt by leaf. Leaves beyond ``BLOCK`` vectors, and those that more than ``BLOCK`` queries
 visit, are cut on either side, so an item compares at most about ``BLOCK`` vectors with as many queries,
-in double precision on the original vectors, and yields the ``k + 1`` nearest of each.
+in double precision on the original vectors; a task keeps the ``k + 1`` nearest of each query over its items and
+yields them at its end, or once it holds ``HELD`` queries.
 
 Equal vectors are one query and one candidate with its ``k + 1`` smallest ids, so groups of copies cost
 nothing; no query can need more of them. Edge cases: vectors null, empty, zero or with null or
@@ -36,6 +37,8 @@ from platter.llm.common import complete_groups, group_edges, hash_sample, writte
 SAMPLE, SAMPLE_NUMBERS = 131_072, 1 << 24
 BLOCK = 4096
 PROBES = 256
+#: Queries whose nearest a task keeps before it hands them on.
+HELD = 20_000
 BRANCHES = 16
 
 
@@ -116,14 +119,23 @@ def distances(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         return np.sqrt(np.square(vectors - query).sum(axis=1))
 
 
-def nearest_of(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distances and places of the ``k`` nearest, ties to the smaller id; none beyond the ``k``-th is compared further."""
+def nearest_of(
+    query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distances, ids and places of the ``k`` nearest, ties to the smaller id, together with those ``known`` before
+    (whose ``k``-th distance turns others away; their places mean nothing)."""
     gaps = distances(query, vectors)
-    near = np.arange(len(gaps))
+    most = known[0][k - 1] if known is not None and len(known[0]) >= k else np.inf
     if len(gaps) > k:
-        near = np.flatnonzero(gaps <= np.partition(gaps, k - 1)[k - 1])
-    near = near[np.lexsort((ids[near], gaps[near]))][:k]
-    return gaps[near], near
+        most = min(most, np.partition(gaps, k - 1)[k - 1])
+    near = np.flatnonzero(gaps <= most)
+    if known is not None and not len(near):
+        return known
+    found = (gaps[near], ids[near], near)
+    if known is not None:
+        found = tuple(np.concatenate(pair) for pair in zip(known, found))
+    order = np.lexsort((found[1], found[0]))[:k]
+    return tuple(part[order] for part in found)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -166,8 +178,8 @@ def _probe(assigned: DataFrame, queries: np.ndarray, k: int) -> list[np.ndarray]
                 continue
             ids, leaves, raw = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
             for n, query in enumerate(shared.value):
-                gaps, near = nearest_of(query, raw, ids, k)
-                held[n] = heapq.nsmallest(k, [*held[n], *zip(gaps.tolist(), ids[near].tolist(), leaves[near].tolist())])
+                gaps, own, near = nearest_of(query, raw, ids, k)
+                held[n] = heapq.nsmallest(k, [*held[n], *zip(gaps.tolist(), own.tolist(), leaves[near].tolist())])
         rows = [(n, *row) for n, own in enumerate(held) for row in own]
         if rows:
             kinds = (pa.int32(), pa.float64(), pa.int64(), pa.int32())
@@ -264,25 +276,34 @@ def nearest_neighbours(
     items = stored.unionByName(queries).repartition(*item).sortWithinPartitions(*item, "asks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ``k + 1`` nearest of each query over all items of the task, as in a combine before a shuffle."""
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+        def flush() -> pa.RecordBatch:
+            sizes = [len(own[0]) for own in best.values()]
+            names = [np.repeat(np.array([key[n] for key in best], np.int64), sizes) for n in (0, 1)]
+            ids = pa.array(np.concatenate([own[1] for own in best.values()]), id_type)
+            gaps = np.concatenate([own[0] for own in best.values()])
+            best.clear()
+            return pa.RecordBatch.from_arrays([*map(pa.array, names), ids, pa.array(gaps)], ["h1", "h2", "id", "score"])
+
         for table in complete_groups(batches, item, 8192):
             edges, asks = group_edges(table, item), table.column("asks").to_numpy(zero_copy_only=False)
             ids, whole = _whole(table, "id"), _whole(table, "v")
-            h1, h2 = table.column("h1").to_numpy(), table.column("h2").to_numpy()
+            id_type = ids.type
+            h1, h2 = (table.column(c).to_numpy().tolist() for c in ("h1", "h2"))
             for a, b in zip(edges[:-1], edges[1:]):
                 cut = a + int(np.searchsorted(asks[a:b], True))
                 if cut in (a, b):
                     continue
-                mine = ids.slice(a, cut - a)
-                raw, own = _matrix(whole.slice(a, cut - a)), mine.to_numpy(zero_copy_only=False)
-                row, place, gap = [], [], []
+                raw, own = _matrix(whole.slice(a, cut - a)), ids.slice(a, cut - a).to_numpy(zero_copy_only=False)
                 for n, query in enumerate(_matrix(whole.slice(cut, b - cut)), cut):
-                    gaps, near = nearest_of(query, raw, own, k + 1)
-                    row += [n] * len(near)
-                    place.append(near), gap.append(gaps)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[row]), pa.array(h2[row]), mine.take(pa.array(np.concatenate(place))), pa.array(np.concatenate(gap))],
-                    ["h1", "h2", "id", "score"],
-                )
+                    key = h1[n], h2[n]
+                    best[key] = nearest_of(query, raw, own, k + 1, best.get(key))
+                if len(best) >= HELD:
+                    yield flush()
+        if best:
+            yield flush()
 
     found = items.mapInArrow(compare, f"h1 long, h2 long, id {kind}, score double")
     nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("score", "id"))
