@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platter.operators.steps import settled
 from platter.functions.text import album_key, loose_key
+from platter.operators.membership import anti_join, semi_join
 from platter.operators.reviews import conform, corpus_order
+from platter.operators.steps import settled
 from platter.schemas import REVIEW
 
 
@@ -125,17 +126,21 @@ def first_per_key(candidates: DataFrame) -> DataFrame:
     return keyed.groupBy("_key").agg(F.min_by(F.struct(*keyed.columns), order).alias("r")).select("r.*")
 
 
-def drop_existing(candidates: DataFrame, reviews: DataFrame, allow_duplicates: bool = False) -> DataFrame:
-    """Candidates whose album key the corpus doesn't have."""
+def drop_existing(candidates: DataFrame, reviews: DataFrame, allow_duplicates: bool = False, filtered: bool = False) -> DataFrame:
+    """Candidates whose album key the corpus doesn't have; ``filtered`` asks a Bloom filter of the corpus's keys first."""
     keyed = candidates if "_key" in candidates.columns else keyed_candidates(candidates)
     if allow_duplicates:
         return keyed
+    if filtered:
+        return anti_join(keyed, reviews, ["_key"])
     return keyed.join(reviews.select("_key").filter("_key IS NOT NULL").distinct(), "_key", "left_anti")
 
 
-def already_known(candidates: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Candidates whose album key the corpus has."""
+def already_known(candidates: DataFrame, reviews: DataFrame, filtered: bool = False) -> DataFrame:
+    """Candidates whose album key the corpus has; ``filtered`` as in ``drop_existing``."""
     keyed = candidates if "_key" in candidates.columns else keyed_candidates(candidates)
+    if filtered:
+        return semi_join(keyed, reviews, ["_key"])
     return keyed.join(reviews.select("_key"), "_key", "left_semi")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platter.functions.text import url_key
+from platter.operators.membership import anti_join
 
 # Fixed value: addresses that look like reviews.
 REVIEW_URL = r"(review|record|album|rec_|/r/|index|archive|home|^https?://[^/]+/?$)"
@@ -52,9 +53,11 @@ def manifest_order(df: DataFrame) -> DataFrame:
     return df.orderBy("timestamp", "url")
 
 
-def pending_captures(manifest: DataFrame, done: DataFrame) -> DataFrame:
-    """Captures of the manifest whose timestamp and address key are not among ``done``."""
+def pending_captures(manifest: DataFrame, done: DataFrame, filtered: bool = False) -> DataFrame:
+    """Captures of the manifest whose timestamp and address key are not among ``done``; ``filtered``: by a Bloom filter first."""
     keyed = manifest.withColumn("url_key", url_key("url"))
+    if filtered:
+        return anti_join(keyed, done, ["timestamp", "url_key"])
     return keyed.join(done.select("timestamp", "url_key").distinct(), ["timestamp", "url_key"], "left_anti")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from platter.functions.genres import canonical_genres
@@ -128,8 +128,23 @@ def fill_genres(reviews: DataFrame, tags: DataFrame, limit: int | None = None) -
     return filled.select(columns).unionByName(rest.withColumn("filled", F.lit(False)).select(columns))
 
 
-def fill_counters(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: ``missing``, ``filled``, ``unresolved``."""
-    missing = before.agg(F.count_if(missing_genre()).alias("missing")).scalar()
-    filled = after.agg(F.count_if(F.col("filled")).alias("filled"))
-    return filled.select(missing.alias("missing"), "filled", (missing - F.col("filled")).alias("unresolved"))
+def _filling() -> dict[str, Column]:
+    """What ``fill_genres`` did, told by its own rows: a row it filled had no genre before."""
+    return {"missing": F.count_if(F.col("filled") | missing_genre()), "filled": F.count_if("filled"), "unresolved": F.count_if(missing_genre())}
+
+
+def fill_counters(after: DataFrame) -> DataFrame:
+    """One row: ``missing``, ``filled``, ``unresolved``, from the filled rows alone."""
+    return after.agg(*[c.alias(n) for n, c in _filling().items()])
+
+
+def write_filled(after: DataFrame, path: str) -> DataFrame:
+    """Write the filled rows as Parquet and return ``fill_counters`` of them, counted by the pass that writes.
+
+    No shuffle lies between the count and the writer, so it runs in the tasks that write: Spark takes each of
+    those into account once, also when lost executors make it run some again.
+    """
+    seen = Observation()
+    after.observe(seen, *[c.alias(n) for n, c in _filling().items()]).write.parquet(path)
+    counted = seen.get
+    return after.sparkSession.createDataFrame([tuple(counted[n] for n in _filling())], "missing long, filled long, unresolved long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platter.operators.quantiles import exact_quantiles
 from platter.operators.select import genre_list
 
 
@@ -50,8 +51,19 @@ def reviews_per_year(df: DataFrame) -> DataFrame:
     return df.filter("review_year IS NOT NULL").groupBy("review_year").agg(F.count(F.lit(1)).alias("n"))
 
 
-def score_stats_by(df: DataFrame, key: str = "review_year", value: str = "score", approximate: bool = False) -> DataFrame:
-    """Mean, median and quartiles per key; exact with linear interpolation, or approximate by option."""
+def score_stats_by(
+    df: DataFrame, key: str = "review_year", value: str = "score", approximate: bool = False, many_values: bool = False
+) -> DataFrame:
+    """Mean, median and quartiles per key; exact with linear interpolation, or approximate by option.
+
+    ``many_values``: exact too, for columns of more distinct values a key than one buffer should hold.
+    """
+    if many_values:
+        rows = df.filter(F.col(key).isNotNull()).select(key, value)
+        at_ranks = exact_quantiles(rows, [key], value, [0.5, 0.25, 0.75]).select(F.col(key).alias("__key"), "quantiles")
+        means = rows.groupBy(key).agg(F.avg(value).alias("mean"))
+        joined = means.join(at_ranks, F.col(key) == F.col("__key"), "left")
+        return joined.select(key, "mean", *[F.get("quantiles", F.lit(j)).alias(n) for j, n in enumerate(("median", "q1", "q3"))])
     at = F.percentile_approx if approximate else F.percentile
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.avg(value).alias("mean"), at(value, F.lit(0.5)).alias("median"), at(value, F.lit(0.25)).alias("q1"), at(value, F.lit(0.75)).alias("q3")
@@ -68,11 +80,15 @@ def restrict_to_top(df: DataFrame, top: DataFrame, column: str = "value") -> Dat
     return df.join(top.select(column), column, "left_semi")
 
 
-def box_stats(df: DataFrame, value: str = "score", top_n: int = 10, whisker: float = 1.5) -> DataFrame:
-    """Quartiles and whiskers of ``value`` for the most frequent genres."""
+def box_stats(df: DataFrame, value: str = "score", top_n: int = 10, whisker: float = 1.5, many_values: bool = False) -> DataFrame:
+    """Quartiles and whiskers of ``value`` for the most frequent genres; ``many_values`` as in ``score_stats_by``."""
     rows = exploded_genres(df, untagged=None).select("value", F.col(value).alias("x")).filter("x IS NOT NULL")
     top = top_values(exploded_genres(df, untagged=None).groupBy("value").agg(F.count(F.lit(1)).alias("n")), top_n)
     rows = restrict_to_top(rows, top)
+    if many_values:
+        quartiles = exact_quantiles(rows, ["value"], "x", [0.25, 0.5, 0.75])
+        box = quartiles.select("value", *[F.get("quantiles", F.lit(j)).alias(n) for j, n in enumerate(("q1", "median", "q3"))])
+        return _whiskers(rows, box, whisker)
     # Scores have few distinct values: one row per genre and value carries all that follows.
     small = rows.groupBy("value", "x").agg(F.count(F.lit(1)).alias("n"))
     box = small.groupBy("value").agg(
@@ -80,8 +96,12 @@ def box_stats(df: DataFrame, value: str = "score", top_n: int = 10, whisker: flo
         F.percentile("x", F.lit(0.5), F.col("n")).alias("median"),
         F.percentile("x", F.lit(0.75), F.col("n")).alias("q3"),
     )
+    return _whiskers(small, box, whisker)
+
+
+def _whiskers(rows: DataFrame, box: DataFrame, whisker: float) -> DataFrame:
     fence = whisker * (F.col("q3") - F.col("q1"))
-    inside = small.join(box, "value").filter(F.col("x").between(F.col("q1") - fence, F.col("q3") + fence))
+    inside = rows.join(box, "value").filter(F.col("x").between(F.col("q1") - fence, F.col("q3") + fence))
     return inside.groupBy("value", "q1", "median", "q3").agg(F.min("x").alias("whisker_low"), F.max("x").alias("whisker_high"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from platter.functions import text
 from platter.functions.genres import canonical_genres
-from platter.operators import candidates, captures, extract, match, reviews as build, select, stats
+from platter.operators import candidates, captures, extract, match, membership, reviews as build, select, stats
 from platter.operators.select import Selection
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
@@ -169,11 +169,33 @@ def fill_genres(spark, sf_dir):
     return build.fill_genres(views.reviews(spark, sf_dir), views.crowd_tags(spark, sf_dir)).select("id", "genres", "genre", "filled")
 
 
-@register(REVIEWS_SQL + f"""SELECT count(*) AS missing, count(*) FILTER ({GENRES_SQL} <> '') AS filled,
-  count(*) FILTER ({GENRES_SQL} = '') AS unresolved FROM reviews WHERE genres IS NULL""")
+_FILLING = REVIEWS_SQL + f"""SELECT count(*) AS missing, count(*) FILTER ({GENRES_SQL} <> '') AS filled,
+  count(*) FILTER ({GENRES_SQL} = '') AS unresolved FROM reviews WHERE genres IS NULL"""
+
+
+@register(_FILLING)
 def fill_counters(spark, sf_dir):
-    before = views.reviews(spark, sf_dir)
-    return build.fill_counters(before, build.fill_genres(before, views.crowd_tags(spark, sf_dir)))
+    return build.fill_counters(build.fill_genres(views.reviews(spark, sf_dir), views.crowd_tags(spark, sf_dir)))
+
+
+@register(_FILLING)
+def fill_written(spark, sf_dir):
+    """The filled table is written, and counted while it is."""
+    return build.write_filled(build.fill_genres(views.reviews(spark, sf_dir), views.crowd_tags(spark, sf_dir)), _folder(spark))
+
+
+#: Buckets and junk of a user: what the fixed lists would name otherwise, or not at all.
+_USER_BUCKETS = [("Live", ["live"]), ("Beats", ["rap", "trap", "house"]), ("Guitars", ["rock", "punk", "indie"])]
+_USER_JUNK = ["folk", "jazz"]
+
+
+@register(REVIEWS_SQL + """SELECT DISTINCT artist, album, CASE (length(album) + try_cast(right(artist, 1) AS INT)) % 6
+  WHEN 0 THEN 'Live; Beats' WHEN 2 THEN 'Beats' WHEN 3 THEN 'Live' WHEN 4 THEN 'Guitars; Beats' ELSE '' END AS genres FROM reviews""")
+def user_genre_rules(spark, sf_dir):
+    """Genres by rules that the user hands over."""
+    tags = views.crowd_tags(spark, sf_dir).withColumn("album_tags", F.when(F.array_contains("album_tags", "pop rap"), F.reverse("album_tags")).otherwise(F.col("album_tags")))
+    named = canonical_genres(F.col("album_tags"), F.col("artist_tags"), F.col("artist"), F.col("album"), _USER_BUCKETS, _USER_JUNK)
+    return tags.select("artist", "album", named.alias("genres"))
 
 
 @register(REVIEWS_SQL + f"SELECT DISTINCT artist, album, {GENRES_SQL} AS genres FROM reviews")
@@ -270,6 +292,31 @@ def genre_box_stats(spark, sf_dir):
     return found.select("value", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "whisker_low", "whisker_high")
 
 
+_PRICE_STATS = """SELECT year(l_shipdate)::INTEGER AS review_year, round(avg(l_extendedprice), 4) AS mean, round(quantile_cont(l_extendedprice, 0.5), 4) AS median,
+  round(quantile_cont(l_extendedprice, 0.25), 4) AS q1, round(quantile_cont(l_extendedprice, 0.75), 4) AS q3 FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1"""
+
+
+@register(_PRICE_STATS)
+def price_stats_per_year(spark, sf_dir):
+    """Quartiles of a column with a distinct value in nearly every row."""
+    lines = views.table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("review_year"), F.col("l_extendedprice").cast("double").alias("price"))
+    found = stats.score_stats_by(lines, value="price", many_values=True)
+    return found.select("review_year", *[F.round(c, 4).alias(c) for c in ("mean", "median", "q1", "q3")])
+
+
+@register("""WITH e AS (SELECT unnest([p_type, l_returnflag]) AS value, l_extendedprice::DOUBLE AS price FROM lineitem JOIN part ON l_partkey = p_partkey),
+top AS (SELECT value FROM e GROUP BY 1 ORDER BY count(*) DESC, value LIMIT 10),
+b AS (SELECT value, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median, quantile_cont(price, 0.75) AS q3 FROM e SEMI JOIN top USING (value) GROUP BY 1)
+SELECT value, round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median, round(any_value(q3), 4) AS q3,
+  min(price) AS whisker_low, max(price) AS whisker_high FROM e JOIN b USING (value)
+WHERE price BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY value""")
+def price_box_stats(spark, sf_dir):
+    lines = views.table(spark, sf_dir, "lineitem").join(views.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.select(F.concat_ws("; ", "p_type", "l_returnflag").alias("genres"), F.col("l_extendedprice").cast("double").alias("price"))
+    found = stats.box_stats(rows, "price", many_values=True)
+    return found.select("value", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "whisker_low", "whisker_high")
+
+
 @register(REVIEWS_SQL + "SELECT review_year, count(*) FILTER (bnm) AS bnm, count(*) FILTER (bnr) AS bnr FROM reviews GROUP BY 1")
 def badges_per_year(spark, sf_dir):
     return stats.badges_per_year(views.reviews(spark, sf_dir))
@@ -311,6 +358,14 @@ def pending_captures(spark, sf_dir):
     return captures.pending_captures(manifest, done)
 
 
+@register(CAPTURES_SQL + f"SELECT timestamp, {_URL_KEY} AS url_key, url, digest FROM manifest WHERE digest NOT LIKE '%3'")
+def pending_captures_filtered(spark, sf_dir):
+    """A Bloom filter of the finished captures tells most pending ones before any shuffle."""
+    manifest = _manifest(spark, sf_dir)
+    done = manifest.filter(F.col("digest").endswith("3")).select("timestamp", text.url_key("url").alias("url_key"))
+    return captures.pending_captures(manifest, done, filtered=True)
+
+
 @register(CAPTURES_SQL + "SELECT timestamp[1:4] AS year, count(*) AS n FROM manifest GROUP BY 1")
 def captures_per_year(spark, sf_dir):
     return captures.captures_per_year(_manifest(spark, sf_dir))
@@ -462,6 +517,33 @@ def already_known(spark, sf_dir):
     return candidates.already_known(_collapsed(spark, sf_dir), _corpus(spark, sf_dir)).select("artist", "album")
 
 
+_LINE_KEYS = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE {} (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderdate >= DATE '1997-01-01')"
+
+
+def _recent_orders(spark, sf_dir):
+    return views.table(spark, sf_dir, "orders").filter("o_orderdate >= DATE '1997-01-01'").select(F.col("o_orderkey").alias("l_orderkey"))
+
+
+def _line_keys(spark, sf_dir):
+    return views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@register(_LINE_KEYS.format("NOT EXISTS"))
+def lines_not_known(spark, sf_dir):
+    """Anti join of a large table with many keys, behind a Bloom filter."""
+    return membership.anti_join(_line_keys(spark, sf_dir), _recent_orders(spark, sf_dir), ["l_orderkey"])
+
+
+@register(_LINE_KEYS.format("EXISTS"))
+def lines_known(spark, sf_dir):
+    return membership.semi_join(_line_keys(spark, sf_dir), _recent_orders(spark, sf_dir), ["l_orderkey"])
+
+
+@register(_CANDIDATES + "SELECT artist, album FROM candidates WHERE length(album) % 4 = 0")
+def already_known_filtered(spark, sf_dir):
+    return candidates.already_known(_collapsed(spark, sf_dir), _corpus(spark, sf_dir), filtered=True).select("artist", "album")
+
+
 @register(_MERGED + "SELECT 'wayback__' || _key AS id, artist, album FROM fresh UNION ALL SELECT DISTINCT p_brand || '/' || p_name, p_brand, p_name FROM part WHERE length(p_name) % 4 = 0")
 def append_reviews(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)

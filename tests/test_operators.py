@@ -127,7 +127,7 @@ def test_fill_genres(spark):
     tags = spark.createDataFrame([("Y", "Two", ["seen live"], ["post-punk", "jazz"])], "artist string, album string, album_tags array<string>, artist_tags array<string>")
     done = reviews.fill_genres(df, tags)
     assert {r["id"]: r["genres"] for r in done.collect()}["c"] == "Rock; Jazz"
-    assert reviews.fill_counters(df, done).first().asDict() == {"missing": 1, "filled": 1, "unresolved": 0}
+    assert reviews.fill_counters(done).first().asDict() == {"missing": 1, "filled": 1, "unresolved": 0}
     assert not reviews.fill_genres(df, tags, limit=0).filter("filled").count()
 
 
