@@ -14,7 +14,7 @@ from platter.operators import candidates, captures, extract, match, membership,
 from platter.operators.select import Selection
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
-from platter.sources import readers, sinks
+from platter.sources import readers, sinks, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,6 +410,33 @@ def capture_yield(spark, sf_dir):
     return captures.capture_yield(views.page_rows(spark, sf_dir), _extracted(spark, sf_dir)).select("capture_file", "n")
 
 
+_LAYOUTS = r"""SELECT '19980301_' || p_partkey AS capture_file, CASE p_partkey % 4
+  WHEN 0 THEN concat_ws(chr(10), '<!--', '1_artist: ' || p_brand, '2_title: ' || p_name, '3_label: ' || p_type, '4_rating: ' || p_size % 10 || '.0', '5_author: Ann Example', '-->')
+  WHEN 1 THEN '<p>' || p_brand || ': ' || p_name || '</p><p>Reviewed by Ann Example, who</p><p>wrote of 1997.</p><p>Rating: ' || p_size % 10 || '.0</p>'
+  WHEN 2 THEN '<h3>' || p_brand || ': ' || p_name || '</h3><p>some words.</p><p>' || p_size % 10 || '.0</p>'
+  ELSE '<p>' || p_brand || ': ' || p_name || '</p><p>some words.</p><p>' || p_size % 10 || '.0 / 10</p>' END AS html FROM part"""
+
+
+@register(f"SELECT capture_file, strlen(html) AS bytes, 1::BIGINT AS n FROM ({_LAYOUTS}) UNION ALL SELECT 'p' || page_id, strlen(html), 0 FROM pages")
+def capture_yield_mixed(spark, sf_dir):
+    """Sizes and records of captures of which many hold no record."""
+    empty = views.table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("capture_file"), F.lit("20000101").alias("timestamp"), "html")
+    pages = views.layout_pages(spark, sf_dir).unionByName(empty)
+    return captures.capture_yield(pages, extract.extracted(extract.extract_records(pages)))
+
+
+@register("""WITH pairs AS (SELECT p_brand AS artist, p_name AS album, p_partkey % 5 AS s, p_partkey AS k FROM part)
+SELECT artist, album, arg_max(s, k)::DOUBLE AS score, (1990 + max(k) % 9)::INTEGER AS release_year, 0.0::DOUBLE AS found_score,
+  CASE WHEN arg_max(s, k) = 0 THEN 'hit' ELSE 'wrong_score' END AS status FROM pairs GROUP BY ALL""")
+def compare_to_last_truth(spark, sf_dir):
+    """Of several truth rows of an album, the last one counts."""
+    part = views.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    truth = part.select(F.col("p_brand").alias("artist"), F.col("p_name").alias("album"), (k % 5).cast("double").alias("score"), (F.lit(1990) + k % 9).cast("int").alias("release_year"), k.alias("k"))
+    found = part.select(F.col("p_brand").alias("artist"), F.col("p_name").alias("album"), F.lit(0.0).alias("score"), F.lit(0.9).alias("confidence")).distinct()
+    return candidates.compare_to_truth(found, truth, order="k").drop("k")
+
+
 _CANDIDATES = EXTRACTIONS_SQL + r""", keyed AS (SELECT *, regexp_replace(lower(artist), '[^a-z0-9]+', '', 'g') AS ka,
   regexp_replace(regexp_replace(lower(album), '\b(the|a|an|ep|lp|and)\b', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS kb FROM extractions),
 votes AS (SELECT ka, kb, score, count(*) AS v, min(capture_file) AS f, any_value(artist) AS artist, any_value(album) AS album, min(review_date_approx) AS m FROM keyed GROUP BY ALL),
@@ -562,6 +589,22 @@ def score_snippets(spark, sf_dir):
     return found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
+_MARKED = "'Score 7.' || (p_size % 10) || chr(10) || p_name || repeat(' ', 60 + p_size % 50) || 'then ' || p_brand || ': 10.0 of ten'"
+
+
+@register(f"""WITH t AS (SELECT p_partkey AS key, {_MARKED} AS text FROM part),
+n AS (SELECT key, text, 7 AS spot, 3 AS width, 'first' AS place FROM t UNION ALL SELECT key, text, strpos(text, ': 10.0') + 2, 4, 'last' FROM t)
+SELECT key, place, replace(substr(text, greatest(1, spot - 200), spot + width + 80 - greatest(1, spot - 200)), chr(10), ' ') AS snippet FROM n""")
+def snippet_windows(spark, sf_dir):
+    """The surroundings of the first and last number of each text."""
+    size = F.col("p_size")
+    gap = F.repeat(F.lit(" "), (F.lit(60) + size % 50).cast("int"))
+    value = F.concat(F.lit("Score 7."), (size % 10).cast("string"), F.lit("\n"), F.col("p_name"), gap, F.lit("then "), F.col("p_brand"), F.lit(": 10.0 of ten"))
+    found = extract.score_snippets(views.table(spark, sf_dir, "part").select("p_partkey", value.alias("text")), "p_partkey", "text")
+    ends = found.groupBy("key").agg(F.min_by("snippet", "pos").alias("first"), F.max_by("snippet", "pos").alias("last"))
+    return ends.unpivot("key", ["first", "last"], "place", "snippet")
+
+
 # --- matching ---------------------------------------------------------------------------------------
 
 
@@ -767,6 +810,27 @@ def candidates_round_trip(spark, sf_dir):
     return readers.read_candidates(spark, path, "artist string, album string, score double, n_captures long, confidence double")
 
 
+def _stored(df: DataFrame, buckets: int = 16) -> str:
+    table = f"reviews_{uuid.uuid4().hex}"
+    store.write_clustered(df, table, buckets)
+    return table
+
+
+@register(REVIEWS_SQL + f"SELECT {SHOWN_SQL} FROM reviews QUALIFY row_number() OVER (PARTITION BY _key ORDER BY {_BEST}) = 1")
+def clustered_dedupe(spark, sf_dir):
+    """Albums from a store that is clustered by their key."""
+    table = _stored(views.reviews(spark, sf_dir, keyed=True))
+    return store.per_key(spark, table, build.dedupe_albums).select(*SHOWN)
+
+
+@register(REVIEWS_SQL + "SELECT id, _key FROM reviews WHERE review_year >= 1997 AND _key NOT IN (SELECT _key FROM reviews WHERE review_year < 1995)")
+def clustered_new(spark, sf_dir):
+    """Reviews of albums that an older store does not hold, store against store."""
+    rows = views.reviews(spark, sf_dir, keyed=True)
+    older, newer = _stored(rows.filter("review_year < 1995")), _stored(rows.filter("review_year >= 1997"))
+    return store.absent(spark, newer, older).select("id", "_key")
+
+
 def _json_files(rows: DataFrame, value, path: str, ends: str = "[]", head: str = "", most: int = 2000) -> None:
     """Files of JSON arrays or objects of some thousand members each."""
     groups = max(1, -(-rows.count() // most))
