@@ -19,19 +19,22 @@ def _hash(on: list[str], salt: int) -> Column:
 
 
 def _block(on: list[str], blocks: int) -> Column:
-    return F.pmod(_hash(on, 0), F.lit(blocks)).alias("__block")
+    """The block of a key; a key with a null has none and so meets nothing."""
+    whole = F.lit(True)
+    for c in on:
+        whole = whole & F.col(c).isNotNull()
+    return F.when(whole, F.pmod(_hash(on, 0), F.lit(blocks))).alias("__block")
 
 
 def _masks(on: list[str]) -> list[Column]:
     """The bits of a key in each word of its block: 12 of the second hash's bits choose two of 64."""
     one, chosen = F.lit(1).cast("long"), _hash(on, 1)
+    # The functions shift by constants only; there are 64 places, so a power of two is looked up.
+    powers = F.array(*[F.shiftleft(one, k) for k in range(64)])
 
     def bit(k: int) -> Column:
-        # Spark shifts by a column in SQL only; there are 64 places, so a power of two is looked up.
-        place = F.shiftrightunsigned(chosen, 6 * k).bitwiseAND(F.lit(63)).cast("int")
-        return F.element_at(_POWERS, place + 1)
+        return F.get(powers, F.shiftrightunsigned(chosen, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
 
-    _POWERS = F.array(*[F.shiftleft(one, k) for k in range(64)])
     return [bit(2 * w).bitwiseOR(bit(2 * w + 1)).alias(f"__m{w}") for w in range(WORDS)]
 
 
@@ -59,15 +62,13 @@ def _blocks(found: DataFrame) -> int:
 
 def _looked_up(rows: DataFrame, found: DataFrame, on: list[str], how: str) -> DataFrame:
     """The rows that may be (``left_semi``) or certainly are not (``left_anti``) among the filter's keys."""
-    columns = rows.columns
-    marked = rows.select(*columns, _block(on, _blocks(found)), *_masks(on))
+    # Packed, the rows may have columns of any name.
+    marked = rows.select(F.struct(*rows.columns).alias("__row"), _block(on, _blocks(found)), *_masks(on))
     side = F.broadcast(found.withColumnRenamed("__block", "__at"))  # at most MOST_BLOCKS rows
     fits = F.col("__block") == F.col("__at")
     for w in range(WORDS):
         fits = fits & (F.col(f"__b{w}").bitwiseAND(F.col(f"__m{w}")) == F.col(f"__m{w}"))
-    for c in on:
-        fits = fits & F.col(c).isNotNull()
-    return marked.join(side, fits, how).select(*columns)
+    return marked.join(side, fits, how).select("__row.*")
 
 
 def semi_join(rows: DataFrame, keys: DataFrame, on: list[str], most_blocks: int = MOST_BLOCKS) -> DataFrame:

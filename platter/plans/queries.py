@@ -696,6 +696,18 @@ def name_keys(spark, sf_dir):
     return part.select("p_partkey", text.album_key("p_brand", "p_name").alias("album_key"), text.strict_key("p_name").alias("strict_key"))
 
 
+_ACCENTS = ("aeioun", "áèîöüñ")
+
+
+@register(f"""SELECT p_partkey, {sql_key('p_brand')} || '|' || {sql_key("p_name || ' fin'")} AS album_key, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS strict_key FROM part""")
+def accented_keys(spark, sf_dir):
+    """Names with accents, a ligature and words in brackets have the keys of their plain forms."""
+    plain, accented = _ACCENTS
+    name = F.translate("p_name", plain, accented)
+    part = views.table(spark, sf_dir, "part").withColumn("brand", F.translate("p_brand", plain, accented))
+    return part.select("p_partkey", text.album_key("brand", F.concat(name, F.lit(" \ufb01n"))).alias("album_key"), text.strict_key(F.concat(name, F.lit(" (live)"))).alias("strict_key"))
+
+
 @register(r"""SELECT doc_id, regexp_replace(regexp_replace(lower(lang || ' ' || source), '\b(the|a|an|ep|lp|and)\b', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS loose FROM documents""")
 def loose_keys(spark, sf_dir):
     """Keys of short names; ``loose_keys_full`` has those of the texts."""
@@ -747,6 +759,18 @@ def name_verdicts(spark, sf_dir):
     return parts.unionByName(pages).select("id", "name", text.looks_like_name("name").alias("fine"))
 
 
+@register("""SELECT '19980301_' || p_partkey AS capture_file, CASE p_partkey % 4 WHEN 0 THEN ''
+    WHEN 1 THEN p_brand || ': ' || p_name || chr(10) || ' Reviewed by Ann Example, who' || chr(10) || ' wrote of 1997.' || chr(10) || ' Rating: ' || p_size % 10 || '.0'
+    WHEN 2 THEN p_brand || ': ' || p_name || chr(10) || ' some words.' || chr(10) || ' ' || p_size % 10 || '.0'
+    ELSE p_brand || ': ' || p_name || chr(10) || ' some words.' || chr(10) || ' ' || p_size % 10 || '.0 / 10' END AS text,
+  CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN p_brand || ': ' || p_name
+    ELSE p_brand || ': ' || p_name || ' some words. ' || p_size % 10 || '.0' || CASE p_partkey % 4 WHEN 3 THEN ' / 10' ELSE '' END END AS field FROM part""")
+def layout_texts(spark, sf_dir):
+    """Pages without their tags, and cleaned as one field."""
+    pages = views.layout_pages(spark, sf_dir).select("capture_file", text.strip_tags("html").alias("text"))
+    return pages.select("capture_file", "text", text.clean_field("text").alias("field"))
+
+
 @register(f"""WITH t AS (SELECT p_partkey, list_sort(string_split(lower(p_name || ' ' || p_name || ' ' || p_type), ' ')) AS title FROM part),
 u AS (SELECT p_partkey, list_sort(string_split(lower(p_name), ' ')) AS title FROM part),
 a AS (SELECT p_partkey, {_TAGGED} AS tags FROM t), b AS (SELECT p_partkey, {_TAGGED} AS other FROM u)
