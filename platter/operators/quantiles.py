@@ -28,7 +28,7 @@ def _rank(p: float) -> Column:
 
 
 def quantile_brackets(
-    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 100_000, rounds: int = 8
+    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 10_000, rounds: int = 8
 ) -> DataFrame:
     """Per key: ``__n`` rows and, per probability, a range of values ``low..high`` that holds its rank.
 
@@ -92,7 +92,7 @@ def _narrowed(rows: DataFrame, found: DataFrame, names: list[str], probabilities
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 100_000
+    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 10_000
 ) -> DataFrame:
     """Quantiles of ``value`` per key with linear interpolation: the keys, ``n`` and an array ``quantiles``.
 
