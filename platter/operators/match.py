@@ -7,11 +7,12 @@ placeholder artist of compilations never enters the artist join, where it would
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platter.functions.text import NUMBER_WORDS, strict_key, tag_occurrences, title_key, title_tokens, want_keys
 from platter.operators.containment import ITEM, by_rarity, candidates, filed, items
+from platter.operators.ordering import numbered
 from platter.operators.steps import settled
 
 VARIOUS = "variousartists"
@@ -227,16 +228,6 @@ def match_summary(report: DataFrame) -> DataFrame:
 
 
 def assign_batches(df: DataFrame, pos: str = "pos", size: int = 100) -> DataFrame:
-    """Delivery batches in order of ``pos`` (unique): range-sorted partitions with their offsets, no global window.
-
-    The ranges come from a sample, so the partitions are settled before they are counted.
-    """
-    ranged = df.repartitionByRange(F.col(pos)).sortWithinPartitions(pos)
-    local = settled(ranged.withColumn("__id", F.monotonically_increasing_id()))
-    part, row = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    local = local.withColumns({"__part": part, "__row": row})
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = local.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row per partition
-    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    numbered = local.join(offsets, "__part").withColumn("ordinal", F.col("__row") + F.col("__before"))
-    return numbered.withColumn("batch", F.floor(F.col("ordinal") / size)).drop("__id", "__part", "__row", "__before")
+    """Delivery batches in order of ``pos`` (unique), with exact ranks from counted ranges; ``df`` is read three times."""
+    ranked = numbered(df, [pos])
+    return ranked.withColumn("batch", F.floor(F.col("ordinal") / size))

@@ -87,6 +87,9 @@ def format_reviews(df: DataFrame, schema: str = REVIEW, untagged: str = "Untagge
     return corpus_order(named.drop("__m"))
 
 
+CORPUS_ORDER = ["review_date", "artist", "id"]
+
+
 def corpus_order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.asc_nulls_last("review_date"), F.asc_nulls_last("artist"), "id")
 

@@ -901,6 +901,29 @@ def capture_index_round_trip(spark, sf_dir):
     return readers.read_capture_index(spark, path, _SPLIT).filter("statuscode = '200' AND timestamp >= '1998' AND timestamp < '2001'")
 
 
+@register(REVIEWS_SQL + """SELECT row_number() OVER (ORDER BY review_date ASC NULLS LAST, artist ASC NULLS LAST, id) - 1 AS ordinal, artist || ' - ' || album AS value FROM reviews""")
+def ordered_lines(spark, sf_dir):
+    """Playlist lines in the corpus's order, written as part files and read back with their numbers."""
+    path = _folder(spark)
+    sinks.write_ordered(views.reviews(spark, sf_dir), build.CORPUS_ORDER, path)
+    return readers.read_ordered(spark, path)
+
+
+@register("""SELECT '1998030' || page_id % 10 || '_' || page_id || '.html' || CASE WHEN page_id % 3 = 0 THEN '.gz' ELSE '' END AS capture_file, '1998030' || page_id % 10 AS timestamp,
+  html || CASE page_id % 2 WHEN 0 THEN chr(233) || chr(8364) ELSE '' END AS html FROM pages""")
+def captures_round_trip(spark, sf_dir):
+    """Pages written as capture files, zipped or plain, in UTF-8 or Windows-1252, and read back."""
+    path, key = _folder(spark), F.col("page_id").cast("string")
+    stamp = F.concat(F.lit("1998030"), (F.col("page_id") % 10).cast("string"))
+    ending = F.when(F.col("page_id") % 3 == 0, ".gz").otherwise("")
+    marked = F.concat("html", F.when(F.col("page_id") % 2 == 0, "\u00e9\u20ac").otherwise(""))
+    pages = views.table(spark, sf_dir, "pages").select(
+        F.concat(stamp, F.lit("_"), key, F.lit(".html"), ending).alias("capture_file"), marked.alias("html"), F.when(F.col("page_id") % 4 == 0, "cp1252").otherwise("utf-8").alias("encoding")
+    )
+    sinks.write_captures(pages, path)
+    return readers.read_captures(spark, path)
+
+
 def _exported(kind: str, separator: str) -> None:
     def query(spark, sf_dir):
         path = _folder(spark)

@@ -29,9 +29,14 @@ _STEP = np.zeros(256, dtype=np.int8)
 _STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of an address and the name within it."""
+    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else f"file://{path}")
+
+
 def opened(path: str):
     """A file by its address, for reading anywhere."""
-    system, name = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else f"file://{path}")
+    system, name = located(path)
     return system.open_input_file(name)
 
 

@@ -62,3 +62,25 @@ def read_capture_index(spark: SparkSession, path: str, split_bytes: int = SPLIT_
 def read_candidates(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Candidates, ground truth, tags or stored matches as JSON, with an explicit schema."""
     return spark.read.schema(schema).json(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of ``write_ordered`` as ``ordinal`` (from 0, over all files) and ``value``.
+
+    Files are split as usual; a first pass counts the lines of each split, and only these counts reach the driver.
+    A part that is missing between others, or there twice, is an error.
+    """
+    raw = spark.read.text(path, lineSep="\n")
+    lines = raw.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    number = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long")
+    splits = lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).withColumn("part", number)
+    found = sorted(splits.collect(), key=lambda r: (r["part"], r["file"], r["start"]))
+    files = sorted({(r["part"], r["file"]) for r in found})
+    if [part for part, _ in files] != list(range(len(files))):
+        raise ValueError(f"parts of {path} are missing or doubled: {len(files)} files, numbers {[p for p, _ in files][:5]} to {files[-1][0]}")
+    shifts, before = [], 0
+    for r in found:
+        shifts.append((r["file"], r["start"], before - r["first"]))
+        before += r["n"]
+    side = F.broadcast(spark.createDataFrame(shifts, "file string, start long, shift long"))
+    return lines.join(side, ["file", "start"]).select((F.col("id") + F.col("shift")).alias("ordinal"), "value")

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platter.operators.ordering import LEAST, exact_parts, in_parts
+from platter.operators.steps import byte_slices
+from platter.sources.members import located
+
 EXPORT_COLUMNS = [
     "score", "artist", "album", "release_year", "review_date", "genre", "reviewer", "country", "bnm", "bnr", "url",
 ]
@@ -46,6 +54,38 @@ def write_text(lines: DataFrame, path: str) -> None:
     lines.write.text(path)
 
 
+def write_ordered(df: DataFrame, order: list[str], path: str, line: Column | None = None, parts: int | None = None, least: int = LEAST) -> None:
+    """Lines in ``order`` (ascending, nulls last) over all part files together; ``read_ordered`` reads them back.
+
+    ``line`` is the text of a row, by default the playlist line. A line feed in it becomes a space, a null an
+    empty line; a part file holds a counted number of lines.
+    """
+    text = F.concat_ws(" - ", "artist", "album") if line is None else line
+    placed = in_parts(df.withColumn("__line", F.replace(text, F.lit("\n"), F.lit(" "))), order, exact_parts(df, order, parts, least))
+    write_text(placed.select(F.col("__line").alias("value")), path)
+
+
+def write_captures(pages: DataFrame, path: str) -> None:
+    """A file a page in the folder ``path``: ``capture_file`` (unique, not null), ``html`` in ``encoding``, zipped where the name ends in ``.gz``.
+
+    Characters that an encoding lacks become question marks; a null page is an empty file, which Spark does not list. A page is written whole, under a name of its own,
+    so a task that runs again writes the same files. Stores are those that ``pyarrow.fs`` knows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = located(path)
+        system.create_dir(folder, recursive=True)
+        for batch in batches:
+            for part in byte_slices(batch, ("html",), 8 << 20):
+                for name, html, encoding in zip(*(c.to_pylist() for c in part.columns)):
+                    raw = (html or "").encode(encoding or "utf-8", "replace")
+                    with system.open_output_stream(f"{folder}/{name}", compression=None) as out:
+                        out.write(gzip.compress(raw, mtime=0) if name.endswith(".gz") else raw)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    pages.select("capture_file", "html", "encoding").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
