@@ -7,19 +7,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, so that lost executors change nothing.
+def shared_folder(spark: SparkSession) -> str:
+    """Where driver and executors share files: ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) it
-    lies below the warehouse, which the driver and the executors share.
+    Only a local session may have neither; it uses a folder below its warehouse. A cluster is refused, since
+    each of its machines would write to a disk of its own.
     """
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, so that lost executors change nothing."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 

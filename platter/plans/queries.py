@@ -12,6 +12,7 @@ from platter.functions import text
 from platter.functions.genres import canonical_genres
 from platter.operators import candidates, captures, extract, match, membership, reviews as build, select, stats
 from platter.operators.select import Selection
+from platter.operators.steps import shared_folder
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
 from platter.sources import readers, sinks, store
@@ -799,8 +800,7 @@ def url_keys(spark, sf_dir):
 
 def _folder(spark: SparkSession) -> str:
     """A new folder where the cluster keeps what its nodes share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
 _FILED = "id, artist, album, score, review_year, original_year, genres, country, bnm"

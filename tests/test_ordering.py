@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from platter.operators import ordering
+from platter.operators.steps import shared_folder
 from platter.sources import readers, sinks
 
 
@@ -85,3 +86,20 @@ def test_capture_files(spark, tmp_path):
     sinks.write_captures(spark.createDataFrame(pages, "capture_file string, html string, encoding string"), str(tmp_path / "c"))
     got = {r["capture_file"]: (r["timestamp"], r["html"]) for r in readers.read_captures(spark, str(tmp_path / "c")).collect()}
     assert got == {"1_a.html": ("1", "café €"), "2_b.html.gz": ("2", "中" * 1000), "4_d.html": ("4", "?")}
+
+
+class Session:
+    """The settings that a session tells of."""
+
+    def __init__(self, master, given=None, **conf):
+        self.sparkContext, self.conf = self, conf
+        self.master, self.getCheckpointDir = master, lambda: given
+
+
+def test_shared_folder():
+    kept = {"spark.sql.warehouse.dir": "/w"}
+    assert shared_folder(Session("spark://m", "s://given/id", **kept)) == "s://given/id"
+    assert shared_folder(Session("spark://m", "s://given/id", **kept, **{"spark.checkpoint.dir": "s://set/"})) == "s://set"
+    assert shared_folder(Session("local[4]", **kept)) == "/w/_checkpoints"
+    with pytest.raises(ValueError, match="share"):
+        shared_folder(Session("yarn", **kept))
