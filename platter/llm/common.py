@@ -11,27 +11,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from platter.operators.steps import settled, shared_folder
+
 #: Characters that separate words in every contract of this subpackage.
 SPACE_CLASS = "\\x20\\x09-\\x0D"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) one below the
-    warehouse, which the driver and the executors share by definition."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-
-
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a checkpoint in the shared folder, which outlives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    return settled(df)
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: as ``reliable``, but compressed and read by column."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.toDF(*[f"c{k}" for k in range(len(df.columns))]).write.parquet(path)  # names may differ in case only
     return df.sparkSession.read.parquet(path).toDF(*df.columns)
 
@@ -51,30 +44,30 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 16384) -> Iterator[pa.Table]:
+def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 16384, nbytes: int = 64 << 20) -> Iterator[pa.Table]:
     """Cut a stream sorted by ``keys`` into tables that never split a group.
 
-    A table is handed on once it has ``rows`` rows; what may continue in the next batch is kept back,
-    so memory is bounded by ``rows`` plus one group.
+    A table is handed on once it has ``rows`` rows or ``nbytes`` bytes; what may continue in the next batch is kept
+    back, so memory is bounded by these, one batch and one group.
     """
     held: list[pa.RecordBatch] = []
-    count = 0
+    count = size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
-        count += batch.num_rows
-        if count < rows:
+        count, size = count + batch.num_rows, size + batch.nbytes
+        if count < rows and size < nbytes:
             continue
         table = pa.Table.from_batches(held)
         edges = group_edges(table, keys)
         if len(edges) <= 2:
-            rows = max(rows, 2 * count)
+            rows, nbytes = max(rows, 2 * count), max(nbytes, 2 * size)
             continue
         cut = int(edges[-2])
         yield table.slice(0, cut)
         rest = table.slice(cut).combine_chunks()
-        held, count = rest.to_batches(), rest.num_rows
+        held, count, size = rest.to_batches(), rest.num_rows, rest.nbytes
     if held:
         yield pa.Table.from_batches(held)
 

@@ -9,7 +9,7 @@ is emitted as a row. A work item yields only a spanning star of each component t
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platter.llm.common import reliable
@@ -18,13 +18,17 @@ from platter.llm.common import reliable
 BLOCK = 1024
 
 
-def work_items(rows: DataFrame, bucket: list[str], spread_by: str, block: int = BLOCK) -> DataFrame:
+def work_items(rows: DataFrame, bucket: list[str], spread_by: str, block: int = BLOCK, weight: Column | None = None) -> DataFrame:
     """Add ``sub``, ``left_block``, ``right_block``: rows of big buckets go once to each pair of sub-blocks.
 
+    ``weight`` is a row's size as a number of ordinary rows (1 or more), where rows differ much: sub-blocks then hold
+    about ``block`` by weight.
+
     Buckets of a single row have no pair and are dropped. The side table holds only buckets of two or
     more rows; Spark broadcasts it when its measured size allows and joins it by shuffle otherwise.
     """
-    counts = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    n = F.count(F.lit(1)).alias("__n")
+    counts = rows.groupBy(*bucket).agg(n).filter("__n > 1") if weight is None else rows.groupBy(*bucket).agg(n, F.ceil(F.sum(weight)).alias("__w")).filter("__n > 1").select(*bucket, F.col("__w").alias("__n"))
     return _paired(rows.join(counts, bucket), spread_by, block)
 
 
@@ -71,13 +75,14 @@ def roots_of(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         labels = lower
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Label the nodes of ``edges`` (``u``, ``v``: non-null, comparable) with the smallest node they reach.
 
     Returns ``node``, ``component`` for every node that is not itself the smallest of its component. Large-star and
     small-star steps alternate until the edges are stars; each step is a grouped minimum (combined on
     the map side, so a hub is no hot key) and a join that adaptive execution may split. Each round is
-    checkpointed: a lost executor costs one round at most, and the plan never grows.
+    checkpointed: a lost executor costs one round at most, and the plan never grows. Rounds grow with the logarithm
+    of the nodes and end when the edges no longer change; there is no limit to them.
     """
     def fingerprint(df: DataFrame) -> tuple:
         row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -85,9 +90,7 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
     current = reliable(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = fingerprint(current)
-    for _ in range(rounds):
-        if not state[0]:
-            break
+    while state[0]:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -98,6 +101,4 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         was, state = state, fingerprint(current)
         if was == state:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return current.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -13,6 +13,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -22,6 +23,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from platter.llm import bpe, chat, components, langid, nearcopies, packing, pii, quality, queries, secrets, simhash, toxicity, vectors
+from platter.llm.common import complete_groups
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -889,3 +891,25 @@ def test_pipeline_drops_edited_copies(spark):
 
 def test_near_copies_of_odd_rows(odd):
     assert sorted(str(r["doc_id"]) for r in nearcopies.keep_one_of_each(odd).collect()) == ["1", "4", "5", "6", "None"]
+
+
+def test_long_near_copies_are_cut_by_size(spark, monkeypatch):
+    """Sub-blocks hold few long texts, and no link between them is lost."""
+    monkeypatch.setattr(nearcopies, "PLAIN", 16)
+    base = [f"w{k}" for k in range(300)]
+    texts = [(k, " ".join(base[: 7 * k] + [f"other{k}"] + base[7 * k + 1 :])) for k in range(40)] + [(90, "short text"), (91, "short text")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    sized = nearcopies.prints_of(df).filter("size > 100").select("node", "size", F.lit(1).alias("b"))
+    items = components.work_items(sized, ["b"], "node", 64, F.greatest(F.lit(1.0), F.col("size") / F.lit(16)))
+    rows = items.groupBy("left_block", "right_block").count().collect()
+    assert len({r["left_block"] for r in rows}) == 12 and max(r["count"] for r in rows) < 25  # 40 texts of 18.5 rows each, 64 a block
+    found = {r["doc_id"]: r["component_id"] for r in nearcopies.similar_components(df, block=64).collect()}
+    assert found == {k: 0 for k in range(40)} | {90: 90, 91: 90}
+
+
+def test_tables_end_by_bytes():
+    batches = [pa.RecordBatch.from_arrays([pa.array([k // 3]), pa.array(["x" * 1000])], ["k", "t"]) for k in range(30)]
+    cut = list(complete_groups(iter(batches), ["k"], rows=10_000, nbytes=5_000))
+    assert len(cut) > 4 and max(t.num_rows for t in cut) <= 6
+    assert [v for t in cut for v in t.column("k").to_pylist()] == [k // 3 for k in range(30)]
+    assert all(set(a.column("k").to_pylist()).isdisjoint(b.column("k").to_pylist()) for a, b in zip(cut, cut[1:]))
