@@ -33,15 +33,20 @@ def sort_key(order: list[str]) -> Column:
     return F.struct(*[c for k, name in enumerate(order) for c in (F.col(name).isNull().alias(f"n{k}"), F.col(name).alias(f"v{k}"))])
 
 
-def _interval(key: Column, borders: str, schema: str) -> Column:
-    """How many borders are at or below the key, by bisection; the array is a constant that is parsed and sorted once a plan."""
+def _placed(df: DataFrame, key: Column, borders: str, schema: str, name: str) -> DataFrame:
+    """``df`` with ``name``: how many borders are at or below the key, by bisection.
+
+    The array of borders is a scalar subquery, so it is parsed and sorted once a query, not once a row.
+    """
     steps = [1 << k for k in reversed(range(len(json.loads(borders)).bit_length()))]
     if not steps:
-        return F.lit(0)
-    found = F.array_sort(F.from_json(F.lit(borders), schema))
-    return F.aggregate(
+        return df.withColumn(name, F.lit(0))
+    parsed = df.sparkSession.range(1).select(F.array_sort(F.from_json(F.lit(borders), schema)).alias("b")).scalar()
+    found = F.col("__borders")
+    low = F.aggregate(
         F.array(*map(F.lit, steps)), F.lit(0), lambda low, step: F.when(F.get(found, low + step - F.lit(1)) <= key, low + step).otherwise(low)
     )
+    return df.withColumn("__borders", parsed).withColumn(name, low).drop("__borders")
 
 
 def exact_parts(df: DataFrame, order: list[str], parts: int | None = None, least: int = LEAST) -> Parts:
@@ -62,14 +67,14 @@ def exact_parts(df: DataFrame, order: list[str], parts: int | None = None, least
         share = min(1.0, factor * 2 * PER_PART / most)
         drawn = keyed.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < int(share * (1 << 40)))
         if borders:
-            drawn = drawn.filter(_interval(F.col("key"), text, schema).isin(heavy))
+            drawn = _placed(drawn, F.col("key"), text, schema, "i").filter(F.col("i").isin(heavy))
         fresh = {r[0] for r in drawn.select(F.to_json("key")).distinct().collect()} - borders
         if not fresh and share >= 1:
             break
         borders |= fresh
         factor *= 1 if fresh else 16
         text = "[" + ",".join(sorted(borders)) + "]"
-        placed = keyed.groupBy(_interval(F.col("key"), text, schema).alias("i"))
+        placed = _placed(keyed, F.col("key"), text, schema, "i").groupBy("i")
         placed = placed.agg(F.count(F.lit(1)).alias("n"), (F.min("key") < F.max("key")).alias("several"))
         rows = placed.collect()
         counts = {r["i"]: r["n"] for r in rows}
@@ -98,7 +103,7 @@ def _joined(df: DataFrame, borders: set[str], schema: str, counts: dict[int, int
 
 def in_parts(df: DataFrame, order: list[str], plan: Parts) -> DataFrame:
     """The rows with ``__part``, each part a partition of its number, sorted by ``order`` (nulls last)."""
-    placed = df.withColumn("__part", _interval(sort_key(order), plan.borders, plan.schema))
+    placed = _placed(df, sort_key(order), plan.borders, plan.schema, "__part")
     return placed.repartitionById(len(plan.offsets), "__part").sortWithinPartitions(*[F.asc_nulls_last(c) for c in order])
 
 
@@ -110,9 +115,9 @@ def numbered(df: DataFrame, order: list[str], name: str = "ordinal", parts: int
     """
     plan = exact_parts(df, order, parts, least)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    offset = F.get(F.from_json(F.lit(json.dumps(plan.offsets)), "array<long>"), F.col("__part"))
-    local = in_parts(df, order, plan).withColumn("__row", row)
-    return local.withColumn(name, offset + F.col("__row")).drop("__part", "__row")
+    offsets = df.sparkSession.range(1).select(F.from_json(F.lit(json.dumps(plan.offsets)), "array<long>").alias("o")).scalar()
+    local = in_parts(df, order, plan).withColumn("__row", row).withColumn("__offsets", offsets)
+    return local.withColumn(name, F.get("__offsets", F.col("__part")) + F.col("__row")).drop("__part", "__row", "__offsets")
 
 
 def order_breaks(rows: DataFrame, order: list[str], ordinal: str = "ordinal") -> DataFrame:

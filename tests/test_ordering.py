@@ -1,6 +1,7 @@
 """Exact ranks, files in order, capture files, and extraction from SQL."""
 
 import random
+import time
 import uuid
 
 import pytest
@@ -57,7 +58,16 @@ def test_ranks_of_odd_tables(spark):
 def test_ranks_need_no_window_and_one_shuffle(table):
     plan = ordering.numbered(table.drop("__part", "__row"), ["d", "id"], parts=4, least=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and plan.count("Repartition") == 2  # the input's own, and the one by part
-    assert "from_json" not in plan  # the borders are a constant
+
+
+def test_many_borders_are_parsed_once(spark):
+    """Hundreds of borders cost a row a bisection; were they parsed for each row, this would take minutes."""
+    df = spark.range(200_000).select(F.xxhash64("id").alias("v"))
+    start = time.time()
+    found = ordering.numbered(df, ["v"], parts=400, least=1)
+    got = found.agg(F.count_distinct("ordinal").alias("n"), F.max("ordinal").alias("m")).first()
+    assert (got["n"], got["m"]) == (200_000, 199_999)
+    assert time.time() - start < 60
 
 
 def test_lines_read_back_in_order(spark, table, rows, tmp_path):
