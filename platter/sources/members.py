@@ -4,8 +4,8 @@ A range of bytes can't tell by itself whether it starts inside a string or how d
 first pass takes, for every range, the parity of its quotes and its change of depth under both
 assumptions; these few numbers per range, put one after another, give the true state at every start. The
 second pass reads each range with its state and yields the members that start in it, following the last
-one past its end. One file is thus read by as many tasks as it has ranges, and a task holds one chunk
-and one member.
+one past its end. A file is thus read by several tasks, and a task holds one chunk and one member. Ranges get
+longer where an input would have more than ``MOST_RANGES`` of them, so plan and tasks stay few.
 
 Files are listed by Spark and read by ``pyarrow.fs``, which must know their store. Files may hold
 several values one after another, all arrays or all objects. Strings that hold brackets, commas, quotes
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThanOrEqual, InputPartition, LessThan
 
 SPLIT_BYTES, CHUNK = 64 << 20, 1 << 20
+#: Ranges of an input beside one a file, and what is read at a time past a range's end for its last member.
+MOST_RANGES, PAST_END = 2048, 16 << 10
 _STEP = np.zeros(256, dtype=np.int8)
 _STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
 
@@ -70,10 +72,14 @@ def _quotes(raw: np.ndarray, escaped: bool) -> tuple[np.ndarray, bool]:
     return (raw == 0x22) & ~odd[:-1], bool(odd[-1])
 
 
-def _chunks(file, start: int, end: int | None) -> Iterator[np.ndarray]:
+def _chunks(file, start: int, end: int, on: bool = False) -> Iterator[np.ndarray]:
+    """The bytes of a range; ``on`` goes on to the file's end in growing pieces."""
     file.seek(start)
-    while end is None or start < end:
-        raw = file.read(CHUNK if end is None else min(CHUNK, end - start))
+    past = PAST_END
+    while start < end or on:
+        size = min(CHUNK, end - start) if start < end else past
+        past = past if start < end else min(CHUNK, 2 * past)
+        raw = file.read(size)
         if not raw:
             return
         start += len(raw)
@@ -97,7 +103,7 @@ def range_members(path: str, start: int, end: int, in_string: bool, depth: int)
     """The members of top-level values whose leading bracket or comma lies in the range."""
     with opened(path) as file:
         escaped, held, position = _escaped(file, start), None, start  # held: the bytes of an open member
-        for raw in _chunks(file, start, None):
+        for raw in _chunks(file, start, end, on=True):
             quote, escaped = _quotes(raw, escaped)
             within = (np.cumsum(quote) + int(in_string)) % 2 == 1
             in_string = bool(within[-1])
@@ -126,8 +132,12 @@ def range_members(path: str, start: int, end: int, in_string: bool, depth: int)
 
 
 def planned_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> list[tuple[str, int, int, bool, int]]:
-    """``path, start, end, in_string, depth`` of every range of all files; a few numbers per range reach the driver."""
+    """``path, start, end, in_string, depth`` of every range of all files; a few numbers per range reach the driver.
+
+    A range has ``split_bytes``, or the share of all bytes that leaves ``MOST_RANGES`` if that is more.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "length")  # lists, without reading
+    split_bytes = max(split_bytes, -(-(files.agg(F.sum("length")).first()[0] or 0) // MOST_RANGES))
     cuts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     ranges = files.filter("length > 0").select("path", F.explode(cuts).alias("start"), "length")
     ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, "length").alias("end"))
@@ -155,7 +165,7 @@ def json_members(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES)
     plan = planned_ranges(spark, path, split_bytes)
     if not plan:
         return spark.createDataFrame([], "value string")
-    ranges = spark.createDataFrame(plan, "path string, start long, end long, in_string boolean, depth long").repartition(len(plan), "path", "start")
+    ranges = spark.createDataFrame(plan, "path string, start long, end long, in_string boolean, depth long").repartition(min(len(plan), MOST_RANGES), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

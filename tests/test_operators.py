@@ -427,3 +427,17 @@ def test_interleaved_alternatives(spark):
     pages = spark.createDataFrame([("f", "1997", "x")] * 3, "capture_file string, timestamp string, html string").coalesce(1)
     got = Counter((r["artist"], r["pos"]) for r in extract.extract_records(pages, [mixed]).collect())
     assert got == Counter({("First Band", 1): 3, ("Other Band", 2): 3})
+
+
+def test_json_ranges_stay_few(spark, tmp_path, monkeypatch):
+    """A split far below the input's size makes longer ranges, not more, and no range reads much past its end."""
+    rows = [{"n": k, "t": '"[,\\'} for k in range(2000)]
+    (tmp_path / "many.json").write_text(json.dumps(rows))
+    monkeypatch.setattr(members, "MOST_RANGES", 8)
+    plan = members.planned_ranges(spark, str(tmp_path / "many.json"), 10)
+    assert 2 < len(plan) <= 9
+    found = members.json_members(spark, str(tmp_path / "many.json"), 10)
+    assert found.rdd.getNumPartitions() <= 8
+    assert sorted(json.loads(r[0])["n"] for r in found.collect()) == list(range(2000))
+    with members.opened(str(tmp_path / "many.json")) as file:
+        assert len(next(members._chunks(file, 5, 105, on=True))) == 100
