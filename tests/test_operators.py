@@ -431,6 +431,10 @@ def test_interleaved_alternatives(spark):
 
 def test_json_ranges_stay_few(spark, tmp_path, monkeypatch):
     """A split far below the input's size makes longer ranges, not more, and no range reads much past its end."""
+    import json
+
+    from platter.sources import members
+
     rows = [{"n": k, "t": '"[,\\'} for k in range(2000)]
     (tmp_path / "many.json").write_text(json.dumps(rows))
     monkeypatch.setattr(members, "MOST_RANGES", 8)
