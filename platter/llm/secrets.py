@@ -1,7 +1,7 @@
 """Secret scans by grammar inference.
 
-Labelled credentials (what the base patterns find in a bounded sample of documents) become a prefix
-tree with counts; its states are merged, red-blue fashion, while their outgoing frequencies agree
+Labelled credentials (what the base patterns find in all documents) become a prefix
+tree with counts, which Spark takes over the distinct tokens; its states are merged, red-blue fashion, while their outgoing frequencies agree
 within a Hoeffding bound, which leaves a probabilistic automaton of the credentials' format. A second
 automaton is inferred from ordinary tokens of the same documents, from which tokens that look like
 credentials themselves are taken out first, so that an unlabelled secret can't hide its own kind.
@@ -9,10 +9,10 @@ Every candidate of every text, which is each run of ``LEAST_CHARS`` or more char
 credential alphabet but the dot, is then scored by the mean log-likelihood ratio of the two. Candidates above the
 margin are spans of the kind ``format``; base spans are scored too and always stay.
 
-The margin is a quantile of the scores of ordinary tokens that the automata haven't seen. The automata
+The margin is a quantile of the scores of all ordinary tokens. The automata
 read character classes; within a class all characters are equally likely.
 
-Edge cases: a null or empty text has no spans; without a labelled credential in the sample nothing is
+Edge cases: a null or empty text has no spans; without a labelled credential nothing is
 inferred and only base spans are returned; repeated rows and null ids are kept; an empty table gives
 an empty result; other columns are ignored by ``find_secrets`` and kept by ``redact_secrets``.
 Offsets are code points, ends exclusive.
@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platter.llm.common import hash_sample, reliable, sha256_hex, text_or_empty
+from platter.llm.common import reliable, sha256_hex, text_or_empty
 
 Span = tuple[int, int]
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "format")
-#: Bounds of the fit: documents in the sample, tokens of a class for the automata, ordinary ones for the
-#: margin, and characters of a token (a longer one teaches no end).
-SAMPLE_DOCS, SAMPLE_TOKENS, MARGIN_TOKENS, SAMPLE_CHARS = 16_384, 600, 3_000, 256
+#: Bounds of the fit: prefixes that make states, and characters of a token (a longer one teaches no end).
+MOST_PREFIXES, SAMPLE_CHARS = 8_192, 256
 #: The shortest credential that a base pattern knows.
 LEAST_CHARS = 12
 MARGIN_QUANTILE = 0.995
@@ -79,27 +78,62 @@ def labelled_tokens(text: str) -> tuple[set[str], set[str]]:
 class Automaton:
     """A probabilistic automaton over character classes, inferred by merging compatible states."""
 
-    def __init__(self, words: list[str], alpha: float = 0.05):
+    def __init__(self, words: list[str] = (), alpha: float = 0.05):
         self.next: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [defaultdict(int)]
         for word in words:
             state = 0
             for symbol in word[:SAMPLE_CHARS].translate(_CLASS_OF):
                 self.count[state][symbol] += 1
-                if symbol not in self.next[state]:
-                    self.next[state][symbol] = len(self.next)
-                    self.next.append({})
-                    self.count.append(defaultdict(int))
-                state = self.next[state][symbol]
+                state = self._child(state, symbol)
             if len(word) <= SAMPLE_CHARS:
                 self.count[state][END] += 1
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
+        self._take_logs()
+
+    @classmethod
+    def of_counts(cls, prefixes: dict[str, int]) -> Automaton:
+        """Inferred from counted prefixes (class strings, whole ones with ``END``); a prefix whose own successors are left out is a leaf."""
+        made = cls()
+        inner = {p[:-1] for p in prefixes}
+        places = {"": 0}
+        for prefix in sorted(prefixes, key=lambda p: (len(p), p)):
+            parent = places[prefix[:-1]]
+            made.count[parent][prefix[-1]] += prefixes[prefix]
+            if prefix in inner:
+                places[prefix] = made._child(parent, prefix[-1])
+        made._merge_states()
+        made._take_logs()
+        return made
+
+    def _child(self, state: int, symbol: str) -> int:
+        if symbol not in self.next[state]:
+            self.next[state][symbol] = len(self.next)
+            self.next.append({})
+            self.count.append(defaultdict(int))
+        return self.next[state][symbol]
+
+    def steps(self, symbols: str) -> Iterator[tuple[int, str]]:
+        """The states that a class string passes (an unknown path restarts) and the symbols read there, ``END`` included."""
+        state = 0
+        for symbol in symbols:
+            yield state, symbol
+            state = self.next[state].get(symbol, 0)
+
+    def _take_logs(self) -> None:
         self.logs = []
         for counts in self.count:
             total = sum(counts.values()) + 0.5 * (len(_CLASSES) + 1)
             self.logs.append({s: math.log((counts.get(s, 0) + 0.5) / total) for s in (*_WITHIN, END)})
 
+    def recount(self, counts: dict[tuple[int, str], int]) -> None:
+        """Put counted steps of whole words in place of the prefixes' counts."""
+        self.count = [defaultdict(int) for _ in self.next]
+        for (state, symbol), n in counts.items():
+            self.count[state][symbol] = n
+        self._take_logs()
+
     def _close(self, a: int, b: int) -> bool:
         """Whether the subtree of ``b`` is statistically compatible with the automaton at ``a``."""
         stack = [(a, b)]
@@ -147,7 +181,10 @@ class Automaton:
 
     def log_likelihood(self, word: str) -> float:
         """Mean log-likelihood of a character, the word's end included; an unknown path restarts."""
-        state, total, symbols = 0, 0.0, word.translate(_CLASS_OF)
+        return self.symbols_likelihood(word.translate(_CLASS_OF))
+
+    def symbols_likelihood(self, symbols: str) -> float:
+        state, total = 0, 0.0
         for symbol in symbols:
             total += self.logs[state][symbol] - _WITHIN[symbol]
             state = self.next[state].get(symbol, 0)
@@ -170,6 +207,16 @@ class Grammar:
         self.margin = max(margin, scores[int(MARGIN_QUANTILE * (len(scores) - 1))]) if scores else margin
         self.memory.clear()
 
+    @classmethod
+    def of_automata(cls, credential: Automaton, ordinary: Automaton, margin: float = 0.0) -> Grammar:
+        made = cls.__new__(cls)
+        made.credential, made.ordinary, made.margin, made.memory = credential, ordinary, margin, {}
+        return made
+
+    def score_symbols(self, symbols: str) -> float:
+        """The score of every token of one class string."""
+        return self.credential.symbols_likelihood(symbols) - self.ordinary.symbols_likelihood(symbols)
+
     def score(self, token: str) -> float:
         known = self.memory.get(token)
         if known is None:
@@ -179,14 +226,8 @@ class Grammar:
         return known
 
 
-def infer_grammar(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.0, sample_docs: int = SAMPLE_DOCS
-) -> Grammar | None:
-    """Fit on about ``sample_docs`` documents, those whose id has a small hash (the same in every run).
-
-    The driver gets at most ``SAMPLE_TOKENS`` tokens of each class and ``MARGIN_TOKENS`` further ordinary ones.
-    """
-    sample = hash_sample(docs.select(F.xxhash64(id_col).alias("__hash"), text_or_empty(text_col).alias("__text")), sample_docs)
+def class_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``good`` (a credential), ``symbols`` (a class string) and ``n`` (distinct tokens that have it) of all tokens of all documents."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,16 +240,91 @@ def infer_grammar(
                 [pa.array([t for t, _ in ordered], pa.string()), pa.array([g for _, g in ordered], pa.bool_())], ["token", "good"]
             )
 
-    found = reliable(sample.select("__text").mapInArrow(tokens, "token string, good boolean").distinct())
+    found = docs.select(text_or_empty(text_col).alias("__text")).mapInArrow(tokens, "token string, good boolean").distinct()
+    chars, names = "".join(c for c, _ in _CLASSES), "".join(n * len(c) for c, n in _CLASSES)
+    return reliable(found.groupBy("good", F.translate("token", chars, names).alias("symbols")).agg(F.count(F.lit(1)).alias("n")))
+
 
-    def picked(good: bool, most: int) -> list[str]:
-        rows = found.filter(F.col("good") == F.lit(good)).select("token").orderBy(F.xxhash64("token"), "token").limit(most)
-        return [r["token"] for r in rows.collect()]
+def infer_automaton(words: DataFrame, most: int = MOST_PREFIXES) -> Automaton:
+    """States from the ``most`` most frequent prefixes of ``symbols`` (with ``n``), frequencies from every token.
 
-    credentials, ordinary = picked(True, SAMPLE_TOKENS), picked(False, SAMPLE_TOKENS + MARGIN_TOKENS)
-    if not credentials:
+    Frequencies of rarer prefixes decide no merge. If any prefix was left out, all class strings are read by
+    the automaton and its frequencies counted anew. At most 7 numbers a prefix or state reach the driver.
+    """
+    whole = F.when(F.length("symbols") <= SAMPLE_CHARS, F.concat("symbols", F.lit(END))).otherwise(F.substring("symbols", 1, SAMPLE_CHARS))
+    ended = words.select(whole.alias("w"), "n")
+    prefix = F.transform(F.sequence(F.lit(1), F.length("w")), lambda k: F.substring(F.col("w"), F.lit(1), k))
+    counted = reliable(ended.select(F.explode(prefix).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n")))
+    rows = counted.orderBy(F.desc("n"), "p").limit(most + 1).collect()
+    if len(rows) <= most:
+        return Automaton.of_counts({r["p"]: r["n"] for r in rows})
+    kept = {r["p"] for r in rows if r["n"] > rows[-1]["n"]}  # closed: what a prefix begins with is at least as frequent
+    parents = words.sparkSession.createDataFrame([(p,) for p in ("", *sorted(kept))], "parent string")
+    parent = F.expr("substring(p, 1, length(p) - 1)")
+    fringe = counted.join(F.broadcast(parents), parent == F.col("parent"), "left_semi").collect()
+    made = Automaton.of_counts({r["p"]: r["n"] for r in fringe})
+    shared = words.sparkSession.sparkContext.broadcast(made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, str], int] = defaultdict(int)
+        for batch in batches:
+            for symbols, n in zip(*(c.to_pylist() for c in batch.columns)):
+                for step in shared.value.steps(symbols):
+                    total[step] += n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _ in total], pa.int64()), pa.array([c for _, c in total], pa.string()), pa.array(list(total.values()), pa.int64())], ["state", "symbol", "n"]
+        )
+
+    steps = ended.mapInArrow(run, "state long, symbol string, n long").groupBy("state", "symbol").agg(F.sum("n").alias("n"))
+    made.recount({(r["state"], r["symbol"]): r["n"] for r in steps.collect()})
+    return made
+
+
+def _scored(words: DataFrame, grammar: Grammar) -> DataFrame:
+    shared = words.sparkSession.sparkContext.broadcast(grammar)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("score", pa.array([shared.value.score_symbols(s) for s in batch.column(0).to_pylist()], pa.float64()))
+
+    return words.select("symbols", "n").mapInArrow(run, "symbols string, n long, score double")
+
+
+def weighted_quantile(scores: DataFrame, quantile: float, cells: tuple[int, ...] = (100, 100_000, 100_000_000)) -> float | None:
+    """The largest ``score`` in the cell of 1e-8 that holds the element ``int(quantile * (n - 1))`` of all, ``n`` being weights.
+
+    Finer cells are counted within the one that holds the rank, so about a thousand numbers reach the driver a step.
+    """
+    rows, below, rank = scores, 0, None
+    for k, cell in enumerate(cells):
+        at = F.floor(F.col("score") * cell)
+        counts = sorted(rows.groupBy(at.alias("c")).agg(F.sum("n").alias("n"), F.max("score").alias("top")).collect())
+        if not counts:
+            return None
+        rank = int(quantile * (sum(r["n"] for r in counts) - 1)) if rank is None else rank
+        for found in counts:
+            if below + found["n"] > rank:
+                break
+            below += found["n"]
+        rows = rows.filter(at == found["c"])
+    return found["top"]
+
+
+def infer_grammar(docs: DataFrame, text_col: str = "text", margin: float = 0.0, most: int = MOST_PREFIXES) -> Grammar | None:
+    """Fit on the distinct tokens of all documents: automata, and the margin from every ordinary token that a candidate could be."""
+    words = class_strings(docs, text_col)
+    good, ordinary = words.filter("good"), words.filter("NOT good")
+    if not good.limit(1).count():
         return None
-    return Grammar(sorted(credentials), sorted(ordinary[:SAMPLE_TOKENS]), sorted(ordinary[SAMPLE_TOKENS:]) or None, margin)
+    credential = infer_automaton(good, most)
+    alpha = F.col("symbols").rlike("^[hlu]*$")
+    # What a first draft takes for credentials is no ordinary token; plain words are never in doubt.
+    draft = Grammar.of_automata(credential, infer_automaton(ordinary.filter(alpha), most))
+    plain = reliable(_scored(ordinary, draft).filter(alpha | (F.col("score") <= margin)).select("symbols", "n"))
+    made = Grammar.of_automata(credential, infer_automaton(plain, most), margin)
+    top = weighted_quantile(reliable(_scored(plain.filter(F.length("symbols") >= LEAST_CHARS), made)), MARGIN_QUANTILE)
+    made.margin = margin if top is None else max(margin, top)
+    return made
 
 
 @dataclass
@@ -259,7 +375,7 @@ def joined(spans: dict[str, list[Span]], kinds: tuple[str, ...]) -> str:
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.0) -> DataFrame:
     """Per row: ``id_col``, counts of the base kinds, ``base_sha256``, ``spans``, ``n_format`` (spans that the
     grammar adds), ``n_candidates`` (tokens scored) and ``n_likely`` (base spans of the inferred format)."""
-    shared = docs.sparkSession.sparkContext.broadcast(infer_grammar(docs, id_col, text_col, margin))
+    shared = docs.sparkSession.sparkContext.broadcast(infer_grammar(docs, text_col, margin))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = shared.value
@@ -304,7 +420,7 @@ def redact_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", margin: float = 0.0
 ) -> DataFrame:
     """All rows and columns, with secrets cut out of the texts and the length column brought up to date."""
-    shared = docs.sparkSession.sparkContext.broadcast(infer_grammar(docs, id_col, text_col, margin))
+    shared = docs.sparkSession.sparkContext.broadcast(infer_grammar(docs, text_col, margin))
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -493,6 +493,24 @@ def test_planted_secrets_are_found_in_a_table(spark, docs, labelled):
     assert all(found[5_000 + k]["n_likely"] == 1 for k in range(labelled)) and sum(r["n_candidates"] for r in found.values()) > 500
 
 
+def test_grammar_counts_every_document(spark):
+    """No sample: each of 700 credentials counts, also where only frequent prefixes make states; the margin is the exact rank."""
+    rng = random.Random(19)
+    key = lambda: "".join(rng.choices("0123456789ghjkGHJK", k=rng.randint(14, 20)))
+    keys = sorted({key() for _ in range(700)})
+    docs = spark.createDataFrame([(k, f"password={v} plain{v[:3].lower()} word") for k, v in enumerate(keys)], "doc_id long, text string")
+    for most in (secrets.MOST_PREFIXES, 50):
+        grammar = secrets.infer_grammar(docs, most=most)
+        assert sum(grammar.credential.count[0].values()) >= len(keys)
+        steps = sum(n for counts in grammar.credential.count for n in counts.values())
+        assert most > 50 or steps == sum(len(v) + 1 for v in keys)
+        assert all(grammar.score(v) > grammar.margin for v in keys)
+    scores = [rng.gauss(0, 2) for _ in range(500)]
+    weighted = spark.createDataFrame([(s, 3) for s in scores], "score double, n long")
+    got = secrets.weighted_quantile(weighted, 0.995)
+    assert abs(got - sorted(scores * 3)[int(0.995 * 1499)]) < 1e-8 and secrets.weighted_quantile(weighted.limit(0), 0.5) is None
+
+
 def plain_merging(words, bound):
     """Red-blue merging over nested dictionaries, written plainly: the language as a function of a word."""
 
