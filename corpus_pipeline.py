@@ -31,9 +31,9 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles with Jaccard 0.8 or more."""
+    """One document of each group of near copies: SimHash fingerprints within 2 bits, or five-word shingles with Jaccard 0.8 or more."""
     small_batches(spark)
-    return nearcopies.keep_one_of_each(docs)
+    return nearcopies.keep_one_of_each(docs, radius=2)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

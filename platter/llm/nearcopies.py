@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from platter.llm.common import complete_groups, group_edges, reliable, text_or_empty
 from platter.llm.components import connected_components, dealt, roots_of, work_items
-from platter.llm.simhash import first_of_each
+from platter.llm.simhash import fingerprint_links, fingerprint_of, first_of_each
 
 #: Rows of a sub-block; their shingle sets are in memory at once. A set over ``PLAIN`` shingles counts as several
 #: rows, so a sub-block holds about ``BLOCK * PLAIN`` shingles (16 MB), or a single longer text.
@@ -140,9 +140,12 @@ def similar_links(items: DataFrame, order: list[str], similarity: float = SIMILA
 
 
 def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, block: int = BLOCK
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, block: int = BLOCK, radius: int | None = None
 ) -> DataFrame:
-    """Every row's ``id_col``, ``component_id`` (the smallest id among the texts that links reach) and ``node``; ids are non-null."""
+    """Every row's ``id_col``, ``component_id`` (the smallest id among the texts that links reach) and ``node``; ids are non-null.
+
+    With a ``radius``, texts whose SimHash fingerprints differ in so many bits or fewer are linked too (see ``simhash``).
+    """
     prints = reliable(prints_of(docs, id_col, text_col))
     classes = reliable(prints.groupBy("node").agg(F.min(id_col).alias("__least"), F.first("size").alias("size"), F.first("keys").alias("keys")))
     bucket = ["tab", "key"]
@@ -155,18 +158,43 @@ def similar_components(
     members = reliable(work_items(rows.join(kept, bucket, "left_semi"), bucket, "node", block, weight).drop("size"))
     wanted = reliable(classes.join(members.select("node").distinct(), "node").select("node", F.col("__least").alias(id_col)))
     items = dealt(members.join(sets_of(docs, wanted, id_col, text_col), "node"), bucket)
-    labels = connected_components(similar_links(items, [*bucket, "left_block", "right_block"], similarity))
+    links = similar_links(items, [*bucket, "left_block", "right_block"], similarity)
+    if radius is not None:
+        links = links.unionByName(fingerprint_node_links(docs, radius, id_col, text_col))
+    labels = connected_components(links)
     labelled = classes.join(labels, "node", "left").select("node", "__least", F.coalesce("component", "node").alias("__label"))
     least = labelled.groupBy("__label").agg(F.min("__least").alias("component_id"))
     by_node = labelled.join(least, "__label").select("node", "component_id")
     return prints.join(by_node, "node").select(id_col, "component_id", "node")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each component, with all its columns; rows without an id are kept as they are.
+def fingerprint_node_links(docs: DataFrame, radius: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Spanning edges ``u``, ``v`` between the nodes of texts whose SimHash fingerprints differ in ``radius`` bits or fewer."""
+    text = text_or_empty(text_col).alias("__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            nodes = pa.array([node_of(shingles_of(t)) for t in texts], pa.int64())
+            prints = np.fromiter((fingerprint_of(t) for t in texts), dtype=np.uint64, count=len(texts))
+            yield pa.RecordBatch.from_arrays([nodes, pa.array(prints.view(np.int64))], ["node", "fp"])
+
+    both = reliable(docs.select(text).mapInArrow(run, "node long, fp long").distinct())
+    first = reliable(both.groupBy("fp").agg(F.min("node").alias("first")))
+    same = both.join(first, "fp").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    near = fingerprint_links(first.select("fp"), radius)
+    for end in ("u", "v"):
+        near = near.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"__{end}")), end)
+    return same.unionByName(near.select(F.col("__u").alias("u"), F.col("__v").alias("v")).filter("u <> v"))
+
+
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, radius: int | None = None
+) -> DataFrame:
+    """One document of each component, with all its columns; rows without an id are kept as they are. ``radius`` as in ``similar_components``.
 
     Where an id occurs on several rows, each is judged by its own text (see ``simhash.first_of_each``).
     """
-    found = similar_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, similarity)
+    found = similar_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, similarity, radius=radius)
     prints = found.select(id_col, "component_id", F.col("node").alias("print"))
     return first_of_each(docs, prints, lambda t: node_of(shingles_of(t)), id_col, text_col)

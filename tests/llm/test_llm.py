@@ -931,3 +931,24 @@ def test_tables_end_by_bytes():
     assert len(cut) > 4 and max(t.num_rows for t in cut) <= 6
     assert [v for t in cut for v in t.column("k").to_pylist()] == [k // 3 for k in range(30)]
     assert all(set(a.column("k").to_pylist()).isdisjoint(b.column("k").to_pylist()) for a, b in zip(cut, cut[1:]))
+
+
+def test_near_dedup_links_by_fingerprints_too(spark):
+    """Texts that SimHash links and the shingles' Jaccard doesn't are one in the pipeline's stage; links of both kinds chain."""
+    words = [f"w{k}" for k in range(60)]
+    looped = words * 30
+    # A long text and one with each shingle less often repeated: equal fingerprints need not have Jaccard 0.8.
+    base = " ".join(looped)
+    far = next(
+        other for seed in range(500)
+        if (other := " ".join(looped + [f"x{seed}_{k}" for k in range(30)])) and (simhash.fingerprint_of(base) ^ simhash.fingerprint_of(other)).bit_count() <= 2
+    )
+    a, b = nearcopies.shingles_of(base), nearcopies.shingles_of(far)
+    assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.8
+    near = far + " once more"
+    rows = [(1, base), (2, far), (3, near), (4, "something else " * 9), (5, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    import corpus_pipeline
+
+    assert sorted(r["doc_id"] for r in nearcopies.keep_one_of_each(docs).collect()) == [1, 2, 4, 5]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 4, 5]
