@@ -8,6 +8,7 @@ normalisation and legacy decoding leave the JVM, as Arrow-batched helpers.
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -212,6 +213,28 @@ def strip_tags(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"(?U)\n\s*\n+", "\n"), r"(?U)^\s+|\s+$", "")
 
 
+_SCRIPT = re.compile(r"<(script|style)[^>]*>.*?</\1>", re.I | re.S | re.A)
+_LINE_END = re.compile(r"<br\s*/?>|</(?:p|tr|div|li|h[1-6]|td|th|b|strong|table|ul|ol|dt|dd)\s*>", re.I | re.A)
+#: What Java's Unicode classes take for white space.
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANK_LINES = re.compile(f"\n[{_WHITE}]*\n+")
+_REVIEWER = r"(?:by|reviewed by)\s+([A-Z][A-Za-z.'-]+(?:\s+[A-Z][A-Za-z.'-]+){1,3})"
+
+
+def stripped(page: str) -> str:
+    """``strip_tags`` of one string, for tasks that hold pages in Python anyway."""
+    s = re.sub("<[^>]+>", " ", _LINE_END.sub("\n", _SCRIPT.sub(" ", page)))
+    if "&" in s:
+        s = html.unescape(html.unescape(s))
+    return _BLANK_LINES.sub("\n", re.sub("[ \t]+", " ", s.replace("\xa0", " "))).strip(_WHITE)
+
+
+def reviewer_of(page_text: str) -> str:
+    """The name that ``find_reviewer`` cleans, '' for none."""
+    found = re.search(_REVIEWER, page_text, re.A)
+    return found[1] if found else ""
+
+
 def clean_field(c: Column | str, longest: int = 140) -> Column:
     """A field as extracted: entities resolved once, cut at bylines and ratings, outer punctuation trimmed."""
     s = F.regexp_replace(unescape(F.coalesce(_col(c), F.lit(""))), r"(?U)\s+", " ")
@@ -220,5 +243,5 @@ def clean_field(c: Column | str, longest: int = 140) -> Column:
 
 
 def find_reviewer(c: Column | str) -> Column:
-    name = F.regexp_extract(_col(c), r"(?:by|reviewed by)\s+([A-Z][A-Za-z.'-]+(?:\s+[A-Z][A-Za-z.'-]+){1,3})", 1)
+    name = F.regexp_extract(_col(c), _REVIEWER, 1)
     return F.when(name != "", clean_field(name, 60))

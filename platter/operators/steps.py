@@ -32,6 +32,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(spark: SparkSession, nbytes: int = 4 << 20) -> None:
+    """Bound the memory of Python workers on long texts: batches of about ``nbytes`` bytes, or a single longer row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(nbytes))
+
+
 def byte_slices(batch: pa.RecordBatch, columns: tuple[str, ...], budget: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch where the bytes of ``columns`` reach ``budget``: slices share its memory, and a row is never cut."""
     if not batch.num_rows:

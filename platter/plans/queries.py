@@ -12,7 +12,7 @@ from platter.functions import text
 from platter.functions.genres import canonical_genres
 from platter.operators import candidates, captures, extract, match, membership, reviews as build, select, stats
 from platter.operators.select import Selection
-from platter.operators.steps import shared_folder
+from platter.operators.steps import bounded_batches, shared_folder
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
 from platter.sources import readers, sinks, store
@@ -737,6 +737,7 @@ def loose_keys_full(spark, sf_dir):
 @register(also="page_texts_full")
 def page_texts(spark, sf_dir):
     """Text, reviewer and cleaned field of every whole page; tested by brute force."""
+    bounded_batches(spark)
     pages = views.table(spark, sf_dir, "pages").select("page_id", text.strip_tags("html").alias("text"))
     return pages.select("page_id", "text", text.find_reviewer("text").alias("reviewer"), text.clean_field("text").alias("head"))
 

@@ -93,7 +93,9 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review pages rendered from parts: one capture per brand and size, a table row per part."""
     score = F.format_string("%.1f", (F.col("p_size") % 10).cast("double"))
     row = F.concat(F.lit('<tr><td><a href="/r">'), "p_brand", F.lit(": "), "p_name", F.lit("</a></td><td>"), score, F.lit("</td></tr>"))
-    grouped = table(spark, sf_dir, "part").groupBy("p_brand", "p_size").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
+    # A fixed number of tasks: adaptive execution would read few long pages by one, though extractors cost far more than their bytes.
+    parts = table(spark, sf_dir, "part").repartition(2 * spark.sparkContext.defaultParallelism, "p_brand", "p_size")
+    grouped = parts.groupBy("p_brand", "p_size").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
     stamp = F.concat((F.lit(1996) + F.col("p_size") % 5).cast("string"), F.lit("0615"))
     return grouped.select(
         F.concat_ws("_", stamp, F.replace("p_brand", F.lit("#"), F.lit("")), F.col("p_size").cast("string")).alias("capture_file"),

@@ -445,3 +445,21 @@ def test_json_ranges_stay_few(spark, tmp_path, monkeypatch):
     assert sorted(json.loads(r[0])["n"] for r in found.collect()) == list(range(2000))
     with members.opened(str(tmp_path / "many.json")) as file:
         assert len(next(members._chunks(file, 5, 105, on=True))) == 100
+
+
+def test_page_text_in_a_task_equals_the_column(spark):
+    """``stripped`` and ``reviewer_of`` give what the column functions give, and extraction keeps few Python steps."""
+    from platter.functions import text
+    from platter.operators import extract
+
+    pages = ["", " a b c ", "<SCRIPT x>1</script>a<br/>b</P >\n \n　\nc", "<p>x &amp;lt;b&amp;gt; &nbsp; y</p>\x1c\n\x1c\nz\x1c", "by Ann O'Neil-Smith Lee", "<p>reviewed by Ann B. Example, who</p>", "<style>a</ſtyle>b</style>c\x85 ", "a < b > c <unclosed"]
+    frame = spark.createDataFrame(list(enumerate(pages)), "k int, html string").repartition(1)
+    column = text.strip_tags("html").alias("t")
+    for row in frame.select("html", column).collect():
+        assert text.stripped(row["html"]) == row["t"], row["html"]
+    for row in frame.select(column).select("t", text.find_reviewer("t").alias("r")).collect():
+        assert (text.reviewer_of(row["t"]) or None) == row["r"]
+    captures = frame.select(F.col("k").cast("string").alias("capture_file"), F.lit("1998").alias("timestamp"), "html")
+    plan = extract.extract_records(captures)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") <= 3
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
