@@ -36,17 +36,18 @@ def sort_key(order: list[str]) -> Column:
 def _placed(df: DataFrame, key: Column, borders: str, schema: str, name: str) -> DataFrame:
     """``df`` with ``name``: how many borders are at or below the key, by bisection.
 
-    The array of borders is a scalar subquery, so it is parsed and sorted once a query, not once a row.
+    The array of borders is a scalar subquery, so it is parsed and sorted once a query, not once a row. Every step of the
+    bisection is a column of its own, which Spark compiles; a lambda over the steps would be interpreted row by row.
     """
     steps = [1 << k for k in reversed(range(len(json.loads(borders)).bit_length()))]
     if not steps:
         return df.withColumn(name, F.lit(0))
     parsed = df.sparkSession.range(1).select(F.array_sort(F.from_json(F.lit(borders), schema)).alias("b")).scalar()
-    found = F.col("__borders")
-    low = F.aggregate(
-        F.array(*map(F.lit, steps)), F.lit(0), lambda low, step: F.when(F.get(found, low + step - F.lit(1)) <= key, low + step).otherwise(low)
-    )
-    return df.withColumn("__borders", parsed).withColumn(name, low).drop("__borders")
+    placed = df.withColumns({"__borders": parsed, "__at": key, name: F.lit(0)})
+    for step in steps:
+        below = F.get("__borders", F.col(name) + F.lit(step - 1)) <= F.col("__at")
+        placed = placed.withColumn(name, F.col(name) + F.when(below, step).otherwise(0))
+    return placed.drop("__borders", "__at")
 
 
 def exact_parts(df: DataFrame, order: list[str], parts: int | None = None, least: int = LEAST) -> Parts:
@@ -74,11 +75,12 @@ def exact_parts(df: DataFrame, order: list[str], parts: int | None = None, least
         borders |= fresh
         factor *= 1 if fresh else 16
         text = "[" + ",".join(sorted(borders)) + "]"
-        placed = _placed(keyed, F.col("key"), text, schema, "i").groupBy("i")
-        placed = placed.agg(F.count(F.lit(1)).alias("n"), (F.min("key") < F.max("key")).alias("several"))
-        rows = placed.collect()
-        counts = {r["i"]: r["n"] for r in rows}
-        heavy = [r["i"] for r in rows if r["n"] > most and r["several"]]
+        placed = _placed(keyed, F.col("key"), text, schema, "i")
+        counts = {r["i"]: r["n"] for r in placed.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        heavy = [i for i, n in counts.items() if n > most]
+        if heavy:  # an interval of one key can't be parted; keys as aggregates are sorted for, so only these rows are asked
+            several = placed.filter(F.col("i").isin(heavy)).groupBy("i").agg((F.min("key") < F.max("key")).alias("several"))
+            heavy = [r["i"] for r in several.filter("several").collect()]
     return _joined(df, borders, schema, counts, most)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As ``settled``, for large rows: a compressed Parquet table of its own in the shared folder, read by column and by split."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_batches(spark: SparkSession, nbytes: int = 4 << 20) -> None:
     """Bound the memory of Python workers on long texts: batches of about ``nbytes`` bytes, or a single longer row."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(nbytes))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platter.operators.ordering import LEAST, exact_parts, in_parts
-from platter.operators.steps import byte_slices
+from platter.operators.steps import byte_slices, stored
 from platter.sources.members import located
 
 EXPORT_COLUMNS = [
@@ -58,11 +58,14 @@ def write_ordered(df: DataFrame, order: list[str], path: str, line: Column | Non
     """Lines in ``order`` (ascending, nulls last) over all part files together; ``read_ordered`` reads them back.
 
     ``line`` is the text of a row, by default the playlist line. A line feed in it becomes a space, a null an
-    empty line; a part file holds a counted number of lines.
+    empty line; a part file holds a counted number of lines. ``df`` is computed once: its keys and what makes the lines
+    are kept while they are ranked.
     """
-    text = F.concat_ws(" - ", "artist", "album") if line is None else line
-    placed = in_parts(df.withColumn("__line", F.replace(text, F.lit("\n"), F.lit(" "))), order, exact_parts(df, order, parts, least))
-    write_text(placed.select(F.col("__line").alias("value")), path)
+    own = ["artist", "album"] if line is None else [line.alias("__line")]
+    rows = stored(df.select(*dict.fromkeys(order), *[c for c in own if not isinstance(c, str) or c not in order]))
+    placed = in_parts(rows, order, exact_parts(rows, order, parts, least))
+    text = F.concat_ws(" - ", "artist", "album") if line is None else F.col("__line")
+    write_text(placed.select(F.replace(text, F.lit("\n"), F.lit(" ")).alias("value")), path)
 
 
 def write_captures(pages: DataFrame, path: str) -> None:

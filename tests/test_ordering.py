@@ -91,6 +91,22 @@ def test_lines_read_back_in_order(spark, table, rows, tmp_path):
         readers.read_ordered(spark, path)
 
 
+def test_ordered_lines_compute_their_rows_once(spark, tmp_path):
+    """What is dear to compute is not computed again for drawing, counting and placing."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(3000).select(F.concat(F.lit("a"), (F.col("id") % 7).cast("string")).alias("artist"), F.lit("x").alias("album"), "id")
+    sinks.write_ordered(rows.mapInArrow(count, rows.schema), ["artist", "id"], f"{tmp_path}/once", parts=5, least=1)
+    assert seen.value == 3000
+    got = [r["value"] for r in readers.read_ordered(spark, f"{tmp_path}/once").orderBy("ordinal").collect()]
+    assert got == sorted(got) and len(got) == 3000
+
+
 def test_capture_files(spark, tmp_path):
     pages = [("1_a.html", "café €", "cp1252"), ("2_b.html.gz", "中" * 1000, None), ("3_c.html", None, "utf-8"), ("4_d.html", "中", "cp1252")]
     sinks.write_captures(spark.createDataFrame(pages, "capture_file string, html string, encoding string"), str(tmp_path / "c"))
