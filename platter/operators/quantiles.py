@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platter.operators.steps import settled
 
+#: Ranges that a round has narrowed may hold so many rows: their values are shuffled, which costs less than another reading of all rows.
+NARROWED = 1 << 20
+#: Keys whose brackets are broadcast: some MB.
+FEW_KEYS = 20_000
+
 
 def _keyed(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The rows with a value, under names that clash with no column: ``__k0``…, ``__x``."""
@@ -15,8 +23,13 @@ def _keyed(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def _beside(rows: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
-    """Every row with its key's brackets; null keys meet. Spark broadcasts the brackets by their measured size."""
+    """Every row with its key's brackets (settled ones); null keys meet.
+
+    Brackets of few keys are broadcast. Those of many are not, and neither are the rows: as a Parquet table, rows of few
+    bytes may be so many that they are the larger side all the same.
+    """
     side = brackets.select(*[F.col(n).alias(f"{n}b") for n in names], "__n", "__b")
+    side = F.broadcast(side) if brackets.count() <= FEW_KEYS else side.hint("merge")
     on = F.lit(True)
     for n in names:
         on = on & F.col(n).eqNullSafe(F.col(f"{n}b"))
@@ -28,10 +41,12 @@ def _rank(p: float) -> Column:
 
 
 def quantile_brackets(
-    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 10_000, rounds: int = 8
+    df: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000, most: int = 10_000, rounds: int = 8, narrowed: int = 0
 ) -> DataFrame:
     """Per key: ``__n`` rows and, per probability, a range of values ``low..high`` that holds its rank.
 
+    Once a round has narrowed the ranges, they may hold ``narrowed`` rows instead of ``most``.
+
     Every element of ``__b`` has ``low``, ``high``, ``below`` (rows less than ``low``) and ``inside`` (rows within the
     range). A round takes two ranks around the wanted one from a mergeable sketch of the rows that are still
     inside (``percentile_approx``, rank error ``inside / accuracy``), counts the rows below and inside, and keeps
@@ -50,28 +65,30 @@ def quantile_brackets(
     for _ in range(rounds):
         open_rows = F.aggregate("__b", F.lit(0).cast("long"), lambda a, b: F.greatest(a, F.when(b["low"] < b["high"], b["inside"]).otherwise(0)))
         largest = found.agg(F.max(open_rows)).first()[0] or 0
-        if largest <= most or (left is not None and largest >= left):
+        if largest <= (most if left is None else max(most, narrowed)) or (left is not None and largest >= left):
             break
+        found = settled(_narrowed(rows, found, names, probabilities, accuracy, whole=left is None))
         left = largest
-        found = settled(_narrowed(rows, found, names, probabilities, accuracy))
     return found
 
 
-def _narrowed(rows: DataFrame, found: DataFrame, names: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
+def _narrowed(rows: DataFrame, found: DataFrame, names: list[str], probabilities: list[float], accuracy: int, whole: bool) -> DataFrame:
+    """``found`` with narrower ranges; ``whole`` says that all of a key's ranges still are its whole range, so one sketch serves them."""
     parts = range(len(probabilities))
     joined = _beside(rows, found, names)
     inside = [F.col("__x").between(F.col("__b")[j]["low"], F.col("__b")[j]["high"]) for j in parts]
     # The wanted rank within a range differs by key, so the sketch gives a grid of ranks, and the key picks from it.
     steps = max(8, accuracy // 8)
     grid = [k / steps for k in range(steps + 1)]
-    sketches = [F.percentile_approx(F.when(inside[j], F.col("__x")), grid, F.lit(accuracy)).alias(f"__s{j}") for j in parts]
+    wanted = [F.col("__x")] if whole else [F.when(inside[j], F.col("__x")) for j in parts]
+    sketches = [F.percentile_approx(x, grid, F.lit(accuracy)).alias(f"__s{j}") for j, x in enumerate(wanted)]
     sketched = joined.groupBy(*names, "__n", "__b").agg(*sketches)
     ranges = []
     for j, p in enumerate(probabilities):
-        old = F.col("__b")[j]
+        old, sketch = F.col("__b")[j], "__s0" if whole else f"__s{j}"
         at = (_rank(p) - old["below"]) / old["inside"] * steps
-        low = F.get(f"__s{j}", F.greatest(F.floor(at) - 2, F.lit(0)).cast("int"))
-        high = F.get(f"__s{j}", F.least(F.ceil(at) + 2, F.lit(steps)).cast("int"))
+        low = F.get(sketch, F.greatest(F.floor(at) - 2, F.lit(0)).cast("int"))
+        high = F.get(sketch, F.least(F.ceil(at) + 2, F.lit(steps)).cast("int"))
         ranges.append(F.struct(F.when(at >= 3, low).otherwise(old["low"]).alias("low"), F.when(at <= steps - 3, high).otherwise(old["high"]).alias("high")))
     tried = settled(sketched.select(*names, "__n", F.col("__b").alias("__old"), F.array(*ranges).alias("__b")))
     counted = _beside(rows, tried, names).groupBy(*names).agg(
@@ -102,9 +119,10 @@ def exact_quantiles(
     """
     names = [f"__k{i}" for i in range(max(1, len(keys)))]
     parts = range(len(probabilities))
-    found = quantile_brackets(df, keys, value, probabilities, accuracy, most)
-    joined = _beside(_keyed(df, keys, value), found, names)
-    hits = F.filter(F.array(*[F.when(F.col("__x").between(F.col("__b")[j]["low"], F.col("__b")[j]["high"]), F.lit(j)) for j in parts]), lambda j: j.isNotNull())
+    found = quantile_brackets(df, keys, value, probabilities, accuracy, most, narrowed=NARROWED)
+    within = [F.col("__x").between(F.col("__b")[j]["low"], F.col("__b")[j]["high"]) for j in parts]
+    joined = _beside(_keyed(df, keys, value), found, names).filter(reduce(or_, within, F.lit(False)))  # few rows are listed by range
+    hits = F.filter(F.array(*[F.when(w, F.lit(j)) for j, w in enumerate(within)]), lambda j: j.isNotNull())
     rank = F.element_at(F.array(*[_rank(p) for p in probabilities]), F.col("__j") + 1)
     inside = joined.select(*names, "__n", "__x", "__b", F.explode(hits).alias("__j"))
     inside = inside.select(*names, "__n", "__x", "__j", F.get("__b", F.col("__j"))["below"].alias("__below"))

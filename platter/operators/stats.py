@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from platter.operators.quantiles import exact_quantiles
 from platter.operators.select import genre_list
+from platter.operators.steps import settled, stored
 
 
 def summarize_reviews(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -81,14 +82,18 @@ def restrict_to_top(df: DataFrame, top: DataFrame, column: str = "value") -> Dat
 
 
 def box_stats(df: DataFrame, value: str = "score", top_n: int = 10, whisker: float = 1.5, many_values: bool = False) -> DataFrame:
-    """Quartiles and whiskers of ``value`` for the most frequent genres; ``many_values`` as in ``score_stats_by``."""
-    rows = exploded_genres(df, untagged=None).select("value", F.col(value).alias("x")).filter("x IS NOT NULL")
-    top = top_values(exploded_genres(df, untagged=None).groupBy("value").agg(F.count(F.lit(1)).alias("n")), top_n)
-    rows = restrict_to_top(rows, top)
+    """Quartiles and whiskers of ``value`` for the most frequent genres; ``many_values`` as in ``score_stats_by``, with ``df`` computed once."""
+    exploded = exploded_genres(df, untagged=None).select("value", F.col(value).alias("x"))
+    if many_values:
+        exploded = stored(exploded)
+    top = top_values(exploded.groupBy("value").agg(F.count(F.lit(1)).alias("n")), top_n)
+    rows = exploded.filter("x IS NOT NULL")
     if many_values:
+        rows = restrict_to_top(rows, settled(top))  # read in every pass
         quartiles = exact_quantiles(rows, ["value"], "x", [0.25, 0.5, 0.75])
         box = quartiles.select("value", *[F.get("quantiles", F.lit(j)).alias(n) for j, n in enumerate(("q1", "median", "q3"))])
         return _whiskers(rows, box, whisker)
+    rows = restrict_to_top(rows, top)
     # Scores have few distinct values: one row per genre and value carries all that follows.
     small = rows.groupBy("value", "x").agg(F.count(F.lit(1)).alias("n"))
     box = small.groupBy("value").agg(
@@ -101,7 +106,8 @@ def box_stats(df: DataFrame, value: str = "score", top_n: int = 10, whisker: flo
 
 def _whiskers(rows: DataFrame, box: DataFrame, whisker: float) -> DataFrame:
     fence = whisker * (F.col("q3") - F.col("q1"))
-    inside = rows.join(box, "value").filter(F.col("x").between(F.col("q1") - fence, F.col("q3") + fence))
+    # One row a genre, of the few that ``box_stats`` takes: without the hint all rows are shuffled before their size is known.
+    inside = rows.join(F.broadcast(box), "value").filter(F.col("x").between(F.col("q1") - fence, F.col("q3") + fence))
     return inside.groupBy("value", "q1", "median", "q3").agg(F.min("x").alias("whisker_low"), F.max("x").alias("whisker_high"))
 
 

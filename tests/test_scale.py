@@ -71,6 +71,26 @@ def test_statistics_by_brackets_equal_those_by_buffers(measured):
     assert [tuple(r) for r in plain] == [pytest.approx(tuple(r)) for r in bracketed]
 
 
+def test_box_statistics_read_their_rows_once(spark):
+    """Quantiles pass over the rows several times, but compute them once; rows of few bytes are not broadcast to the brackets."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(30_000).select(F.concat_ws("; ", F.concat(F.lit("g"), (F.col("id") % 3).cast("string")), F.lit("all")).alias("genres"), (F.col("id") * 7919 % 30_011).cast("double").alias("v"))
+    found = stats.box_stats(rows.mapInArrow(count, rows.schema), "v", many_values=True)
+    got = {r["value"]: r for r in found.collect()}
+    assert seen.value == 30_000
+    every = [float(k * 7919 % 30_011) for k in range(30_000)]
+    assert [got["all"][c] for c in ("q1", "median", "q3", "whisker_low", "whisker_high")] == [pytest.approx(x) for x in (*[expected(every, p) for p in (0.25, 0.5, 0.75)], min(every), max(every))]
+    side = spark.range(3).select(F.col("id").alias("__k0"), F.lit(1).alias("__n"), F.array(F.lit(1.0)).alias("__b"))
+    joined = plan(quantiles._beside(spark.range(5).select(F.col("id").alias("__k0"), F.lit(1.0).alias("__x")), side, ["__k0"]))
+    assert "BuildRight" in joined and "BuildLeft" not in joined
+
+
 @pytest.fixture(scope="module")
 def strangers(spark):
     hot = spark.range(3000).select(F.lit(5).cast("long").alias("a"), F.lit("x").alias("b"), F.col("id").alias("__block"))
