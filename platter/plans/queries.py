@@ -12,7 +12,7 @@ from platter.functions import text
 from platter.functions.genres import canonical_genres
 from platter.operators import candidates, captures, extract, match, membership, reviews as build, select, stats
 from platter.operators.select import Selection
-from platter.operators.steps import bounded_batches, shared_folder
+from platter.operators.steps import bounded_batches, shared_folder, stored
 from platter.plans import views
 from platter.plans.views import CAPTURES_SQL, EXTRACTIONS_SQL, GENRES_SQL, REVIEWS_SQL, sql_key
 from platter.sources import readers, sinks, store
@@ -835,24 +835,27 @@ def candidates_round_trip(spark, sf_dir):
     return readers.read_candidates(spark, path, "artist string, album string, score double, n_captures long, confidence double")
 
 
-def _stored(df: DataFrame, buckets: int = 16) -> str:
-    table = f"reviews_{uuid.uuid4().hex}"
-    store.write_clustered(df, table, buckets)
-    return table
+def _clustered(*parts: DataFrame) -> list[str]:
+    """A store of each of ``parts``, all of equally many buckets."""
+    buckets = store.buckets_for(max(rows.count() for rows in parts))
+    tables = [f"reviews_{uuid.uuid4().hex}" for _ in parts]
+    for rows, table in zip(parts, tables):
+        store.write_clustered(rows, table, buckets)
+    return tables
 
 
 @register(REVIEWS_SQL + f"SELECT {SHOWN_SQL} FROM reviews QUALIFY row_number() OVER (PARTITION BY _key ORDER BY {_BEST}) = 1")
 def clustered_dedupe(spark, sf_dir):
     """Albums from a store that is clustered by their key."""
-    table = _stored(views.reviews(spark, sf_dir, keyed=True))
+    [table] = _clustered(stored(views.reviews(spark, sf_dir, keyed=True).select(*SHOWN, "_key")))
     return store.per_key(spark, table, build.dedupe_albums).select(*SHOWN)
 
 
 @register(REVIEWS_SQL + "SELECT id, _key FROM reviews WHERE review_year >= 1997 AND _key NOT IN (SELECT _key FROM reviews WHERE review_year < 1995)")
 def clustered_new(spark, sf_dir):
     """Reviews of albums that an older store does not hold, store against store."""
-    rows = views.reviews(spark, sf_dir, keyed=True)
-    older, newer = _stored(rows.filter("review_year < 1995")), _stored(rows.filter("review_year >= 1997"))
+    rows = stored(views.reviews(spark, sf_dir, keyed=True).filter("review_year < 1995 OR review_year >= 1997").select("id", "review_date", "review_year", "_key"))
+    older, newer = _clustered(rows.filter("review_year < 1995"), rows.filter("review_year >= 1997"))
     return store.absent(spark, newer, older).select("id", "_key")
 
 

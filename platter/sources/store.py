@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: A key with more than this many buckets' worth of rows would make one task of the readers too long.
 HOT_BUCKETS = 2
+#: Rows of a bucket, which one task sorts and one task reads.
+BUCKET_ROWS = 1 << 20
 
 
 def hot_keys(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -18,11 +20,17 @@ def hot_keys(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return counts.filter(F.col("__n") * buckets > total * HOT_BUCKETS).select("__hot")
 
 
+def buckets_for(rows: int, least: int = 16) -> int:
+    """How many buckets hold ``rows`` rows with about ``BUCKET_ROWS`` each: a power of two, so that few sizes occur."""
+    return max(least, 1 << max(0, -(-rows // BUCKET_ROWS) - 1).bit_length())
+
+
 def write_clustered(df: DataFrame, table: str, buckets: int, key: str = "_key", order: Sequence[str] = ("review_date",)) -> None:
     """Write ``df`` as ``table``, a file a bucket of ``key``, sorted by key and ``order``; rows of hot keys as ``{table}_hot``.
 
     A bucket is read by one task, so rows of hot keys, which no number of buckets divides, lie apart and
-    unclustered. Both tables together hold every row once; an empty input gives two empty tables.
+    unclustered. Both tables together hold every row once; an empty input gives two empty tables. ``df`` is read
+    four times: keep one that is dear (``steps.stored``).
     """
     heavy = F.broadcast(hot_keys(df, key, buckets))
     hot = F.col(key).eqNullSafe(F.col("__hot"))

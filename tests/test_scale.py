@@ -178,3 +178,30 @@ def test_counters_of_the_pass_that_writes(spark, tmp_path):
     assert counted == reviews.fill_counters(df).first().asDict() == {"missing": 3, "filled": 1, "unresolved": 2}
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
     assert reviews.write_filled(df.limit(0), str(tmp_path / "none")).first().asDict() == {"missing": 0, "filled": 0, "unresolved": 0}
+
+
+@pytest.mark.parametrize("name", ["clustered_dedupe", "clustered_new"])
+def test_stores_compute_their_rows_once(spark, monkeypatch, name):
+    """Counting hot keys, writing them apart and writing the buckets compute the chain of joins once, for all stores together."""
+    from platter.plans import queries, views
+
+    seen, plain = spark.sparkContext.accumulator(0), views.reviews
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counted(*args, **kwargs):
+        rows = plain(*args, **kwargs)
+        return rows.mapInArrow(count, rows.schema)
+
+    folder = "/root/testdata/sf0.001"
+    total = plain(spark, folder).count()
+    monkeypatch.setattr(views, "reviews", counted)
+    assert queries.QUERIES[name](spark, folder).count() > 0
+    assert seen.value == total
+
+
+def test_buckets_grow_with_the_rows():
+    assert [store.buckets_for(n) for n in (0, 1, 1 << 24, (1 << 24) + 1, 216_000_000)] == [16, 16, 16, 32, 256]
