@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from platter.llm.bpe import splitter, text_slices
 from platter.llm.common import sha256_hex, text_or_empty, written
+from platter.operators.steps import bounded_batches
 
 #: A pair with at least this share of all entries is looked up instead of joined; there are at most so many.
 HEAVY = 1 << 16
@@ -59,7 +60,7 @@ def _byte_letters() -> dict[str, int]:
 class SpanMemory:
     """Ids and span ends of words, each encoded once while at most ``most`` ids are remembered."""
 
-    def __init__(self, encode, most: int = 4_000_000):
+    def __init__(self, encode, most: int = 2_000_000):
         self.encode, self.most = encode, most
         self._reset()
 
@@ -281,6 +282,7 @@ def link_rows(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: s
                     [id_col, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "links"],
                 )
 
+    bounded_batches(docs.sparkSession)  # a batch's texts are Python strings all at once
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<long>"
     return docs.select(id_col, text_or_empty(text_col).alias("__text")).mapInArrow(run, schema)

@@ -272,3 +272,16 @@ def test_neighbours_query(spark):
     true, found = nearest(rows), {q: {i for i, _ in own} for q, own in got.items()}
     hits = sum(len(found[q] & {i for i, _ in own[0]}) for q, own in true.items())
     assert set(found) == set(true) and hits >= 0.9 * sum(len(own[0]) for own in true.values())
+
+
+def test_alignment_bounds_its_batches(spark):
+    """A task turns 4 MB of texts into Python strings at once, not Spark's default of 10,000 rows or 64 MB."""
+    import public_tokenizers
+
+    from platter.llm import alignment
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    alignment.link_rows(docs, *files, public_tokenizers.PATTERN, "doc_id", "text")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
