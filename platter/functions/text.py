@@ -237,7 +237,12 @@ def reviewer_of(page_text: str) -> str:
 
 def clean_field(c: Column | str, longest: int = 140) -> Column:
     """A field as extracted: entities resolved once, cut at bylines and ratings, outer punctuation trimmed."""
-    s = F.regexp_replace(unescape(F.coalesce(_col(c), F.lit(""))), r"(?U)\s+", " ")
+    return trim_field(unescape(F.coalesce(_col(c), F.lit(""))), longest)
+
+
+def trim_field(c: Column | str, longest: int = 140) -> Column:
+    """``clean_field`` of a field whose entities are resolved."""
+    s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"(?U)\s+", " ")
     s = F.get(F.split(s, r"(?i)(?U)\s+(?:reviewed by|review by|rating\s*[:=]|posted|by\s+[A-Z])", 2), F.lit(0))
     return F.substring(F.regexp_replace(s, "^[ \t\n\r\\-–—:·|*]+|[ \t\n\r\\-–—:·|*]+$", ""), 1, longest)
 

@@ -486,3 +486,30 @@ def test_records_of_a_long_page_leave_in_batches(spark):
     pages = spark.createDataFrame([("a", "1998", page), ("b", "1998", page)], "capture_file string, timestamp string, html string").coalesce(1)
     found = extract.extract_records(pages, own).groupBy("capture_file", "extractor").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("album").alias("d"))
     assert sorted(map(tuple, found.collect())) == sorted((c, e.__name__, count, count) for c in "ab" for e in own)
+
+
+def test_extraction_keeps_two_python_steps(spark):
+    """Entities are resolved where pages are read: a task holds the workers of two Python steps, and fields come out as ``clean_field`` has them."""
+    from platter.functions import text
+    from platter.operators.extract import Found
+
+    labels = ["A &amp; B: C &amp;amp; D", "Caf&eacute;&#58; x: y &#8211;", "No colon", ": lead", "Two: Parts: of &lt;it&gt;", "", "R&B: T&nbsp;x by Ann"]
+
+    def labelled(html, body, name):
+        yield from (Found("5.0", label, markup=k % 2 == 1, as_cleaned=True, reviewer="Ann &amp; Bob", publisher=" L&eacute;g ") for k, label in enumerate(labels))
+        yield Found("5.0", None, artist="Own &amp; Artist", as_cleaned=True, album="Own Album")
+        yield Found("5.0", "Label: Album", artist="Own Artist", as_cleaned=True)
+
+    pages = spark.createDataFrame([("f", "1997", "by Ann O'Neil Lee")], "capture_file string, timestamp string, html string").coalesce(1)
+    rows = extract.extract_records(pages, [labelled])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 2
+    found = [text.stripped(label) if k % 2 else label for k, label in enumerate(labels)]
+    want = [(k, *(x if colon else (None, None))) for k, label in enumerate(found) for a, colon, b in [label.partition(":")] for x in [(a, b)]]
+    want += [(len(labels), "Own &amp; Artist", "Own Album"), (len(labels) + 1, "Own Artist", " Album")]
+    frame = spark.createDataFrame(want, "pos int, a string, b string").filter("b IS NOT NULL")
+    cleaned = frame.select("pos", text.clean_field("a").alias("a"), text.clean_field("b").alias("b")).filter(text.looks_like_name("a") & text.looks_like_name("b"))
+    got = [(r["pos"], r["artist"], r["album"]) for r in rows.orderBy("pos").collect()]
+    assert got == sorted(map(tuple, cleaned.collect())) and len(got) >= 5
+    assert {(r["reviewer"], r["label"]) for r in rows.filter("pos < 7").collect()} == {("Ann & Bob", "L\u00e9g")}
+    assert {(r["reviewer"], r["label"]) for r in rows.filter("pos >= 7").collect()} == {("Ann O'Neil Lee", None)}
