@@ -12,8 +12,9 @@ pairs of every row. They come back to the rows in two ways: a pair that holds a
 of all (row, pair) entries or more is looked up in a broadcast table, which has ``HEAVY`` rows at most
 by that definition; the others, none of which can be a hot key, by a join.
 
-Words between white space are encoded once per task: neither tokenizer has a token across the start
-of a word. A B file with such a piece is refused.
+Texts are cut at lone spaces between other characters, where tokens of both sides end, since neither tokenizer
+has a token across the start of a word (a B file with such a piece is refused). The groups of such a chunk are
+found once per task.
 
 Edge cases: null and empty texts, and texts whose joined A or B bytes differ from space and text, have
 no tokens: zeros and an empty ``groups_sha256``. Repeated rows count as rows; null ids stay; further
@@ -25,7 +26,7 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain, count, islice
 
@@ -42,7 +43,15 @@ from platter.operators.steps import bounded_batches
 HEAVY = 1 << 16
 #: Groups with more links than this are paired by distinct ids.
 WIDE = 4096
-_CHUNK = re.compile(" +[^ ]*|[^ ]+")
+#: Words that a tokenizer is given at once: a call for each costs more than its tokens, and long answers keep the garbage collector busy.
+LINE = 512
+#: Chunks that are learned at once.
+LEARN = 8192
+#: Where tokens of both sides end whatever stands around: a lone space between other than white space.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_WORD = re.compile(" +[^ ]*|[^ ]+")
+#: Ids of words one after another, their ends within their word, and for every word how many it has and its length.
+Encoded = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _byte_table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,46 +59,27 @@ def _byte_table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.frombuffer(b"".join(tokens), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter by which byte-level vocabularies write each byte."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
+def _sizes(items: list) -> np.ndarray:
+    return np.fromiter(map(len, items), np.int64, len(items))
 
 
-class SpanMemory:
-    """Ids and span ends of words, each encoded once while at most ``most`` ids are remembered."""
+def _ends(offsets: list[tuple[int, int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets))[1::2]
 
-    def __init__(self, encode, most: int = 2_000_000):
-        self.encode, self.most = encode, most
-        self._reset()
 
-    def _reset(self) -> None:
-        self.index: dict[str, int] = defaultdict(count().__next__)  # an unknown word gets the next number
-        self.ids, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.starts, self.sizes, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def blocks(items: Sequence, size: int) -> Iterator[Sequence]:
+    return (items[k : k + size] for k in range(0, len(items), size))
 
-    def spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and ends (from the start of ``words``) one after another, and how many each word has.
 
-        ``encode`` gives for every word its ids, their ends within it and its length.
-        """
-        if len(self.ids) > self.most:
-            self._reset()
-        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        fresh = len(self.index) - len(self.starts)
-        if fresh:
-            flat, ends, lengths = zip(*self.encode(list(islice(reversed(self.index), fresh))[::-1]))
-            sizes = np.fromiter(map(len, flat), np.int64, fresh)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(flat), np.int64, int(sizes.sum()))])
-            self.ends = np.concatenate([self.ends, np.fromiter(chain.from_iterable(ends), np.int64, int(sizes.sum()))])
-        sizes = self.sizes[rows]
-        place = np.arange(sizes.sum()) + np.repeat(self.starts[rows] - np.cumsum(sizes) + sizes, sizes)
-        before = np.cumsum(self.lengths[rows]) - self.lengths[rows]
-        return self.ids[place], self.ends[place] + np.repeat(before, sizes), sizes
+def _byte_ends(chunks: list[str]) -> np.ndarray:
+    return np.cumsum(_sizes(chunks if all(map(str.isascii, chunks)) else [c.encode() for c in chunks]))
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter by which byte-level vocabularies write each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
 class SideA:
@@ -106,14 +96,21 @@ class SideA:
         for entry, number in vocabulary.items():
             entries[number] = bytes(letters[x] for x in entry) if all(x in letters for x in entry) else entry.encode()
         self.table = _byte_table(entries)
-        self.split, self.memory = splitter(pattern), SpanMemory(self._encode)
-
-    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int], int]]:
-        made = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [(m.ids, [end for _, end in m.offsets], len(w)) for w, m in zip(words, made)]
-
-    def words(self, text: str) -> list[str]:
-        return self.split(" " + text)
+        self.words = splitter(pattern)
+
+    def encode(self, words: list[str]) -> Encoded:
+        """``LINE`` words a call, as words that are already cut: the library gives ends within each."""
+        known: dict[str, int] = defaultdict(count().__next__)
+        rows = np.fromiter(map(known.__getitem__, words), np.int64, len(words))  # marks and endings are words of many chunks
+        distinct, flat, last, counts = list(known), [], [], []
+        for own in blocks(distinct, LINE):
+            made = self.tokenizer.encode(own, is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(made.ids, np.int64)), last.append(_ends(made.offsets))
+            counts.append(np.bincount(np.array(made.word_ids, np.int64), minlength=len(own)))
+        ids, ends, counts = map(np.concatenate, (flat, last, counts))
+        sizes = counts[rows]
+        place = np.arange(sizes.sum()) + np.repeat((np.cumsum(counts) - counts)[rows] - np.cumsum(sizes) + sizes, sizes)
+        return ids[place], ends[place], sizes, _sizes(distinct)[rows]
 
 
 class SideB:
@@ -121,6 +118,7 @@ class SideB:
 
     def __init__(self, path: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         entries = []
@@ -130,22 +128,43 @@ class SideB:
                 raise ValueError(f"piece {number} runs across the start of a word")
             entries.append(bytes([int(piece[3:5], 16)]) if model.is_byte(number) else piece.replace("▁", " ").encode())
         self.table, self.space = _byte_table(entries), model.piece_to_id("▁")
-        self.memory = SpanMemory(self._encode)
-
-    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int], int]]:
-        """Of words that start with a space, which the model adds to what it is given."""
-        made = self.model.encode([w[1:] for w in words], return_type="proto", num_threads=1)
-        out = []
-        for word, proto in zip(words, made):
-            if word == " ":
-                out.append(([self.space], [1], 1))
-            else:
-                ids, ends = zip(*[(p.id, p.end + 1) for p in proto.pieces])
-                out.append((ids, ends, len(word) if word.isascii() else len(word.encode())))
-        return out
+        trained = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+        plain = not (trained.normalizer_spec.precompiled_charsmap or trained.normalizer_spec.remove_extra_whitespaces)
+        self.joins = plain and trained.trainer_spec.model_type == trained.trainer_spec.BPE
 
-    def words(self, text: str) -> list[str]:
-        return _CHUNK.findall(" " + text)
+    def encode(self, words: list[str]) -> Encoded:
+        """Of words that start with a space, which the model adds to what it is given.
+
+        ``LINE`` words are handed over in a line where the model treats them alike there: merges of pairs in a
+        fixed order, on texts as they stand, of which none crosses the start of a word. A word of nothing but
+        spaces, or with the letter that stands for them, goes alone.
+        """
+        alone = [n for n, w in enumerate(words) if not self.joins or w[-1] == " " or "\u2581" in w]
+        apart = set(alone)
+        others = [n for n in range(len(words)) if n not in apart] if alone else range(len(words))
+        order = np.array([*others, *alone], np.int64)
+        flat, last, counts, lengths = [], [], [], []
+        for numbers in chain(blocks(others, LINE), blocks(alone, 1)):
+            own = [words[n] for n in numbers]
+            line = "".join(own)
+            spans = _sizes(own) if line.isascii() else _sizes([w.encode() for w in own])
+            if line == " ":
+                ids, ends = [self.space], np.array([1])
+            else:
+                made = self.model.encode(line[1:], return_type="offset_mapping", return_bytes=True, num_threads=1)
+                ids, ends = made["ids"], _ends(made["offsets"]) + 1
+            bounds = np.cumsum(spans)
+            place = np.searchsorted(bounds, ends)
+            flat.append(np.array(ids, np.int64)), last.append(ends - (bounds - spans)[place])
+            counts.append(np.bincount(place, minlength=len(own))), lengths.append(spans)
+        ids, ends, sizes, lengths = map(np.concatenate, (flat, last, counts, lengths))
+        if alone:  # back into the words' order
+            back = np.argsort(np.repeat(order, sizes), kind="stable")
+            ids, ends, back = ids[back], ends[back], np.argsort(order)
+            sizes, lengths = sizes[back], lengths[back]
+        return ids, ends, sizes, lengths
+
+    words = staticmethod(_WORD.findall)
 
 
 def refined(ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -175,7 +194,7 @@ class Groups:
     """The groups of one text: ids and group numbers of both sides."""
 
     def __init__(self, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray):
-        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        self.cuts = cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         self.count, self.a, self.b = len(cuts), a, b
         self.ga, self.gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
         self.na, self.nb = np.bincount(self.ga, minlength=self.count), np.bincount(self.gb, minlength=self.count)
@@ -192,17 +211,23 @@ class Groups:
         out[1::2] = np.array([",", "|", ";"], dtype=object)[np.where(last, 1 + side % 2, 0)]
         return "".join(out[:-1].tolist()).encode()
 
-    def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs as ``a * width + b``, and the number of links of each."""
+    def linked(self, width: int, most: int | None = None) -> np.ndarray:
+        """The pairs of all groups, or those of at most ``most`` links, one a link, group by group, as ``a * width + b``."""
         first_b = np.cumsum(self.nb) - self.nb
-        wide = self.na * self.nb > WIDE
-        small = ~wide[self.ga]
-        groups, ids = self.ga[small], self.a[small]
+        groups, ids = self.ga, self.a
+        if most is not None:
+            small = (self.na * self.nb <= most)[groups]
+            groups, ids = groups[small], ids[small]
         times = self.nb[groups]
         ahead = np.cumsum(times) - times
         place = np.arange(times.sum()) + np.repeat(first_b[groups] - ahead, times)
-        keys, counts = [np.repeat(ids, times) * width + self.b[place]], []
-        found, n = np.unique(keys[0], return_counts=True)
+        return np.repeat(ids, times) * width + self.b[place]
+
+    def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs as ``a * width + b``, and the number of links of each."""
+        first_b = np.cumsum(self.nb) - self.nb
+        wide = self.na * self.nb > WIDE
+        found, n = np.unique(self.linked(width, WIDE), return_counts=True)
         if not wide.any():
             return found, n
         keys, counts = [found], [n]
@@ -217,38 +242,94 @@ class Groups:
 
 
 class Aligner:
-    """Both tokenizers of a task and the groups of whole texts."""
+    """Both tokenizers of a task, and the groups of texts.
+
+    Texts are cut into chunks at whose ends tokens of both sides end; what a chunk adds to its text is found once
+    while at most ``most`` pairs are remembered. A text with a chunk that can't be told apart is taken whole.
+    """
 
-    def __init__(self, a_path: str, b_path: str, pattern: str):
+    def __init__(self, a_path: str, b_path: str, pattern: str, most: int = 1_500_000):
         self.a, self.b = SideA(a_path, pattern), SideB(b_path)
         self.width = len(self.b.table[2])
         self.numbers = np.array([str(n) for n in range(max(len(self.a.table[2]), self.width))], dtype=object)
+        self.most = most
+        self._reset()
 
-    def groups(self, texts: list[str]) -> Iterator[Groups | None]:
-        """The groups of each text, None where it has no tokens."""
-        sides = []
+    def groups(self, chunks: list[str]) -> Groups | None:
+        """The groups of the chunks as one text, None if a side does not give its bytes back or has no end between two chunks."""
+        text = "".join(chunks)
+        target, found = text.encode(), []
         for side in (self.a, self.b):
-            words = [side.words(t) if t else [] for t in texts]
-            counts = np.fromiter(map(len, words), np.int64, len(words))
-            ids, ends, sizes = side.memory.spans([w for own in words for w in own])
-            edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-            sides.append((ids, ends, edges))
-        shift = [0, 0]
-        for n, text in enumerate(texts):
-            if not text:
-                yield None
+            ids, ends, sizes, lengths = side.encode([w for c in chunks for w in side.words(c)])
+            coarse = ends + np.repeat(np.cumsum(lengths) - lengths, sizes)
+            if side is self.a and len(target) != len(text):  # characters to bytes
+                lead = (np.frombuffer(target, dtype=np.uint8) & 0xC0) != 0x80
+                coarse = np.append(np.flatnonzero(lead), len(target))[coarse]
+            joined, sizes = decoded(ids, side.table)
+            if joined != target:
+                return None
+            found += [ids, refined(coarse, sizes)]
+        made = Groups(*found)
+        return made if len(chunks) == 1 or np.isin(_byte_ends(chunks), made.cuts, assume_unique=True).all() else None
+
+    def _reset(self) -> None:
+        self.index: dict[str, int] = defaultdict(count().__next__)  # an unknown chunk gets the next number
+        self.lines: list[str | None] = []
+        self.told, self.pairs = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Note of each chunk its line, the numbers of A, B, groups and links, where its pairs start, and its pairs, repeats included.
+
+        A chunk that can't be told apart from its text, or holds a wide group, has no line.
+        """
+        made = None if len(chunks) == 1 and "\u2581" in chunks[0] else self.groups(chunks)
+        if len(chunks) > 1 and made is None:
+            half = len(chunks) // 2
+            self._learn(chunks[:half]), self._learn(chunks[half:])
+            return
+        if made is None or made.links and int((made.na * made.nb).max()) > WIDE:
+            if len(chunks) > 1:
+                half = len(chunks) // 2
+                self._learn(chunks[:half]), self._learn(chunks[half:])
+                return
+            self.lines.append(None)
+            self.told = np.concatenate([self.told, [[0, 0, 0, 0, len(self.pairs)]]])
+            return
+        edges = np.concatenate([[0], np.searchsorted(made.cuts, _byte_ends(chunks)) + 1])
+        each = made.line(self.numbers).decode().split(";")
+        self.lines += [";".join(each[s:e]) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        links = np.concatenate([[0], np.cumsum(made.na * made.nb)])
+        told = [np.add.reduceat(n, edges[:-1]) for n in (made.na, made.nb, np.ones(made.count, np.int64))]
+        self.told = np.concatenate([self.told, np.column_stack([*told, np.diff(links[edges]), len(self.pairs) + links[edges[:-1]]])])
+        self.pairs = np.concatenate([self.pairs, made.linked(self.width)])
+
+    def rows(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], bytes | None, np.ndarray, np.ndarray]]:
+        """Of each text its numbers of A, B, groups and links, its line (None without tokens), its distinct pairs and their links."""
+        if len(self.pairs) > self.most:
+            self._reset()
+        cut = [_CUT.split(t) if t else [] for t in texts]
+        sizes = _sizes(cut)
+        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        fresh = len(self.index) - len(self.lines)
+        if fresh:
+            new = [" " + c for c in islice(reversed(self.index), fresh)][::-1]
+            for own in blocks(new, LEARN):
+                self._learn(own)
+        for end, size, text in zip(np.cumsum(sizes).tolist(), sizes.tolist(), texts):
+            own = numbers[end - size : end]
+            lines = [self.lines[n] for n in own.tolist()]
+            if None in lines or not lines:
+                g = self.groups([" " + text]) if text else None
+                if g is None:
+                    yield (0, 0, 0, 0), None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                else:
+                    yield (len(g.a), len(g.b), g.count, g.links), g.line(self.numbers), *g.pairs(self.width)
                 continue
-            target, found = (" " + text).encode(), []
-            chars = len(text) + 1
-            for k, (side, (ids, ends, edges)) in enumerate(zip((self.a, self.b), sides)):
-                own, coarse = ids[edges[n] : edges[n + 1]], ends[edges[n] : edges[n + 1]] - shift[k]
-                if k == 0 and len(target) != chars:  # characters to bytes
-                    lead = (np.frombuffer(target, dtype=np.uint8) & 0xC0) != 0x80
-                    coarse = np.append(np.flatnonzero(lead), len(target))[coarse]
-                joined, sizes = decoded(own, side.table)
-                found.append((own, refined(coarse, sizes)) if joined == target else None)
-                shift[k] += chars if k == 0 else len(target)
-            yield None if None in found else Groups(*found[0], *found[1])
+            told = self.told[own]
+            links = told[:, 3]
+            ahead = np.cumsum(links) - links
+            place = np.arange(links.sum()) + np.repeat(told[:, 4] - ahead, links)
+            yield tuple(told[:, :4].sum(axis=0).tolist()), ";".join(lines).encode(), *np.unique(self.pairs[place], return_counts=True)
 
 
 @lru_cache(maxsize=1)
@@ -265,14 +346,8 @@ def link_rows(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: s
             texts = batch.column(1).to_pylist()
             for s, e in text_slices(texts):
                 numbers, digests, keys, counts = [], [], [], []
-                for g in own.groups(texts[s:e]):
-                    if g is None:
-                        numbers.append((0, 0, 0, 0)), digests.append("")
-                        keys.append(np.zeros(0, np.int64)), counts.append(np.zeros(0, np.int64))
-                        continue
-                    pair, n = g.pairs(own.width)
-                    numbers.append((len(g.a), len(g.b), g.count, g.links))
-                    digests.append(sha256_hex(g.line(own.numbers)))
+                for told, line, pair, n in own.rows(texts[s:e]):
+                    numbers.append(told), digests.append("" if line is None else sha256_hex(line))
                     keys.append(pair), counts.append(n)
                 ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int64())) for x in (keys, counts)]

@@ -285,3 +285,29 @@ def test_alignment_bounds_its_batches(spark):
     files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     alignment.link_rows(docs, *files, public_tokenizers.PATTERN, "doc_id", "text")
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+
+
+def test_chunks_are_told_once_and_words_go_to_the_libraries_together(monkeypatch):
+    """Alike chunks of texts cost no second call, many words share one, and odd texts come out as in the plain version."""
+    rng = random.Random(3)
+    odd = [" ", "  ", "\t", "\n", "\u2581", "\x1c", "\x85", "\xa0", "\u3000", "a", "don't", "1234", "\u65e5\u672c", "\xe9", "e\u0301", "<s>", "<0x41>", "<|endoftext|>", "\x00", "the", ",", "x\n  y"]
+    rows = [(n, rng.choice(["", " "]).join(rng.choices(odd, k=rng.choice([1, 2, 4, 12])))) for n in range(300)]
+    plain = [(300 + n, " ".join(f"w{k % 700}," for k in range(n, n + 900))) for n in range(20)]
+    expected = {r[0]: r for r in aligned(rows + plain)}
+    for most in (10, 1_000_000):  # forgetting changes nothing
+        own, calls = alignment.Aligner(A_FILE, B_FILE, P.PATTERN, most), []
+        inner = own.b.model.encode
+
+        class Counted:
+            def encode(self, given, **more):
+                calls.append(given)
+                return inner(given, **more)
+
+        monkeypatch.setattr(own.b, "model", Counted())
+        for part in (rows[:150], rows[150:], plain):
+            calls.clear()
+            for (key, _), (told, line, pairs, links) in zip(part, own.rows([t for _, t in part]), strict=True):
+                want = expected[key]
+                assert told == want[1:5] and len(set(pairs.tolist())) == len(pairs) and links.sum() == told[3]
+                assert ("" if line is None else hashlib.sha256(line).hexdigest()) == want[-1]
+        assert len(calls) <= 4  # 18,000 words in the last texts, 700 of them different
