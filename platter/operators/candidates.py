@@ -24,7 +24,8 @@ def collapse_candidates(rows: DataFrame, base: float = 0.4, per_row: float = 0.2
     of (key, file), so that no key's files are ever gathered.
     """
     order = F.struct("capture_file", "extractor_idx", "pos")
-    keyed = settled(loose_keyed(rows).filter("key_artist <> '' AND key_album <> ''"))  # two aggregations read the extractors' rows
+    # Two aggregations read the extractors' rows. The condition follows the settled keys: before, it would work them out again, in a Python worker of its own.
+    keyed = settled(loose_keyed(rows)).filter("key_artist <> '' AND key_album <> ''")
     keys = ["key_artist", "key_album"]
     blank = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
     names = F.struct((-(F.length("artist") + F.length("album"))).alias("l"), order.alias("o"))

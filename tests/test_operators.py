@@ -513,3 +513,15 @@ def test_extraction_keeps_two_python_steps(spark):
     assert got == sorted(map(tuple, cleaned.collect())) and len(got) >= 5
     assert {(r["reviewer"], r["label"]) for r in rows.filter("pos < 7").collect()} == {("Ann & Bob", "L\u00e9g")}
     assert {(r["reviewer"], r["label"]) for r in rows.filter("pos >= 7").collect()} == {("Ann O'Neil Lee", None)}
+
+
+def test_votes_compute_keys_in_one_python_step(spark, monkeypatch):
+    """Keys and the condition on them are one Python step: a task of extraction and votes holds three workers."""
+    kept, settled = [], candidates.settled
+    monkeypatch.setattr(candidates, "settled", lambda df: kept.append(df) or settled(df))
+    page = "".join(f'<tr><td><a href="/r">{label}</a></td><td>5.0</td></tr>' for label in ("Ween: Mollusk", "The Ween: Mollusk EP", "Ween: The and", "The A: Mollusk"))
+    pages = spark.createDataFrame([("f", "1997", page)], "capture_file string, timestamp string, html string")
+    found = candidates.collapse_candidates(extract.extracted(extract.extract_records(pages)))
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("ArrowEvalPython"), plan.count("MapInArrow")) == (1, 2)
+    assert [(r["key_artist"], r["key_album"], r["n_captures"]) for r in found.collect()] == [("ween", "mollusk", 4)]
