@@ -525,3 +525,16 @@ def test_votes_compute_keys_in_one_python_step(spark, monkeypatch):
     plan = kept[0]._jdf.queryExecution().executedPlan().toString()
     assert (plan.count("ArrowEvalPython"), plan.count("MapInArrow")) == (1, 2)
     assert [(r["key_artist"], r["key_album"], r["n_captures"]) for r in found.collect()] == [("ween", "mollusk", 4)]
+
+
+@pytest.mark.parametrize("name", [
+    "misses_by_year_whole",
+    "score_disagreements",
+])
+def test_queries_on_votes_hold_three_workers_a_task(spark, monkeypatch, name):
+    """The step that reads the pages has three Python steps, the keys being one of them."""
+    kept = []
+    monkeypatch.setattr(candidates, "settled", lambda df: kept.append(df) or spark.createDataFrame([], df.schema))
+    queries.QUERIES[name](spark, SMALL)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in kept]
+    assert [(p.count("ArrowEvalPython"), p.count("MapInArrow")) for p in plans] == [(1, 2)]
