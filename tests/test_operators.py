@@ -531,6 +531,7 @@ def test_votes_compute_keys_in_one_python_step(spark, monkeypatch):
     "misses_by_year_whole",
     "score_disagreements",
     "append_reviews",
+    "already_known_filtered",
 ])
 def test_queries_on_votes_hold_three_workers_a_task(spark, monkeypatch, name):
     """The step that reads the pages has three Python steps, the keys being one of them."""
