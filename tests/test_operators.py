@@ -533,6 +533,7 @@ def test_votes_compute_keys_in_one_python_step(spark, monkeypatch):
     "append_reviews",
     "already_known_filtered",
     "unverified_candidates_whole",
+    "compare_to_whole_truth",
 ])
 def test_queries_on_votes_hold_three_workers_a_task(spark, monkeypatch, name):
     """The step that reads the pages has three Python steps, the keys being one of them."""
